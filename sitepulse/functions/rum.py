@@ -8,15 +8,15 @@ GOOD_SHARE = 0.75
 POOR_SHARE = 0.25
 
 
-def spread(start: Column, end: Column, density: Column, width: str, clamp: str, dtype: str) -> Column:
+def spread(start: Column, end: Column, density: Column, width: Column, clamp: Column, dtype: str) -> Column:
     """Cut one bin ``[start, end)`` into equal steps and share its density between them.
 
     The end is clamped to ``start + clamp``. Returns ``array<struct<start, density>>``; an empty
     bin, or one without an end, gives an empty array. The edges stay in their own exact type.
     """
     lo = F.coalesce(start, F.lit(0)).cast(dtype)
-    step = F.lit(width).cast(dtype)
-    hi = F.when(end.isNotNull(), F.least(end.cast(dtype), (lo + F.lit(clamp).cast(dtype)).cast(dtype)))
+    step = width.cast(dtype)
+    hi = F.when(end.isNotNull(), F.least(end.cast(dtype), (lo + clamp.cast(dtype)).cast(dtype)))
     steps = (hi - lo).cast("double") / step.cast("double")
     # Rounded first: 0.07 / 0.01 is slightly above 7 in binary.
     n = F.ceil(F.round(steps, 6)).cast("int")
@@ -30,7 +30,7 @@ def spread(start: Column, end: Column, density: Column, width: str, clamp: str,
                 share.alias("density"),
             ),
         ),
-    ).otherwise(F.array())
+    )
 
 
 def client_of(form_factor: Column) -> Column:

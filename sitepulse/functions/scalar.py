@@ -93,6 +93,6 @@ def advertises_http3(header: Column) -> Column:
     return F.coalesce(offered.like("%h3=%") | offered.like("%h3-29=%"), F.lit(False))
 
 
-def at_most_one_per(flag: Column) -> Column:
+def one_if(flag: Column) -> Column:
     """1 where the flag is true, else 0; NULL counts as false."""
     return F.when(flag, F.lit(1)).otherwise(F.lit(0))
