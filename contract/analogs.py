@@ -108,18 +108,21 @@ RUM_MS = (
 
 
 def ms_bins(k: int) -> tuple[tuple[str, str, str], ...]:
-    """Given bins of one paint metric: start, end, density."""
+    """Given bins of one paint metric: start, end, density.
+
+    Odd divisors keep the shares off binary fractions, whose rounding is a matter of taste.
+    """
     start = f"CAST(100 * floor(l_quantity) + {k} AS BIGINT)"
     return (
-        (start, f"{start} + 100 * (l_linenumber % 4) + {50 * (k % 2) + 50}", "l_discount"),
-        ("CAST(0 AS BIGINT)", "CAST(1000 AS BIGINT)", "l_tax"),
-        ("CAST(20000 AS BIGINT)", "CAST(60000 AS BIGINT)", "CAST(0.125 AS DOUBLE)"),
+        (start, f"{start} + 100 * (l_linenumber % 4) + {50 * (k % 2) + 50}", "l_discount / 7"),
+        ("CAST(0 AS BIGINT)", "CAST(1000 AS BIGINT)", "l_tax / 11"),
+        ("CAST(20000 AS BIGINT)", "CAST(60000 AS BIGINT)", "CAST(0.13 AS DOUBLE)"),
     )
 
 
 CLS_BINS = (
-    ("CAST(l_discount AS DECIMAL(38,9))", "CAST(l_discount + 0.05 * (1 + l_linenumber % 3) AS DECIMAL(38,9))", "l_tax"),
-    ("CAST(1 AS DECIMAL(38,9))", "CAST(CASE WHEN l_quantity > 45 THEN 20 ELSE 1.25 END AS DECIMAL(38,9))", "CAST(0.25 AS DOUBLE)"),
+    ("CAST(l_discount AS DECIMAL(38,9))", "CAST(l_discount + 0.05 * (1 + l_linenumber % 3) AS DECIMAL(38,9))", "l_tax / 11"),
+    ("CAST(1 AS DECIMAL(38,9))", "CAST(CASE WHEN l_quantity > 45 THEN 20 ELSE 1.25 END AS DECIMAL(38,9))", "CAST(0.27 AS DOUBLE)"),
 )
 # NULL and empty bin arrays.
 BINS_NULL, BINS_EMPTY = "l_linenumber = 5", "l_linenumber = 6"

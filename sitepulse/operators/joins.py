@@ -30,14 +30,17 @@ def sums_on_pages(
     pages: DataFrame,
     measures: Mapping[str, Column],
     by: Sequence[str] = (),
-    page_by: Sequence[str] = (),
+    subsets: Mapping[str, Column] | None = None,
+    subset: str = "lens",
 ) -> DataFrame:
-    """Sums over the join of requests to pages, grouped by ``PAGE_KEYS + by + page_by``.
+    """Sums over the join of requests to pages, per ``PAGE_KEYS``, ``by`` and subset of pages.
 
     Both sides are summed per key first and the join multiplies the request sums by the number
     of matching page rows, which is what the row-by-row join would add up to. A page holding a
-    large share of all requests shrinks to a few rows before it is shuffled.
+    large share of all requests shrinks to a few rows before it is shuffled. ``subsets`` are named
+    predicates on pages; each becomes one counter beside the key, so pages shuffle once.
     """
+    subsets = subsets or {"": F.lit(True)}
 
     def keyed(df: DataFrame) -> DataFrame:
         present = F.lit(True)
@@ -48,12 +51,34 @@ def sums_on_pages(
     requested = keyed(requests).groupBy(*PAGE_KEYS, *by).agg(
         *[F.sum(value).alias(name) for name, value in measures.items()]
     )
-    crawled = keyed(pages).groupBy(*PAGE_KEYS, *page_by).agg(F.count(F.lit(1)).alias("_page_rows"))
+    in_any = F.lit(False)
+    for predicate in subsets.values():
+        in_any = in_any | predicate
+    counters = {name: f"_pages_{i}" for i, name in enumerate(subsets)}
+    crawled = (
+        keyed(pages)
+        .where(in_any)
+        .groupBy(*PAGE_KEYS)
+        .agg(*[F.sum(scalar.one_if(subsets[name])).alias(column) for name, column in counters.items()])
+    )
     joined = requested.join(crawled, list(PAGE_KEYS), "inner")
-    return joined.select(
+    if len(counters) == 1:
+        ((name, column),) = counters.items()
+        matched = joined.withColumn(subset, F.lit(name)).withColumnRenamed(column, "_page_rows")
+    else:
+        each = [
+            F.when(F.col(column) > 0, F.struct(F.lit(name).alias("name"), F.col(column).alias("rows")))
+            for name, column in counters.items()
+        ]
+        matched = (
+            joined.withColumn("_s", F.explode(F.array_compact(F.array(*each))))
+            .withColumn(subset, F.col("_s.name"))
+            .withColumn("_page_rows", F.col("_s.rows"))
+        )
+    return matched.select(
         *PAGE_KEYS,
         *by,
-        *page_by,
+        subset,
         *[(F.col(name) * F.col("_page_rows")).alias(name) for name in measures],
     )
 

@@ -77,12 +77,12 @@ def request_histograms(
     dates: Sequence[str] | None = None,
 ) -> DataFrame:
     """Histograms over request facts of crawled pages. Bins are counted per page before the join."""
-    pages = lenses_.tag(_on_dates(scan(tables.pages, root_only=True), dates), lenses)
+    pages = _on_dates(scan(tables.pages, root_only=True), dates)
     requests = request_facts(
         _on_dates(scan(tables.requests, root_only=True), dates), [x.fact for x in metrics]
     )
     joined = joins.sums_on_pages(
-        _bins(requests, metrics), pages, {"volume": F.lit(1)}, by=("metric", "bin"), page_by=("lens",)
+        _bins(requests, metrics), pages, {"volume": F.lit(1)}, ("metric", "bin"), lenses_.subsets(lenses)
     )
     counts = joined.groupBy(*KEYS, "bin").agg(F.sum("volume").alias("volume"))
     return histogram.pdf_cdf(counts, KEYS).select(*COLUMNS)

@@ -85,6 +85,11 @@ def select(choice: str | None) -> list[Lens]:
     return [get(choice)]
 
 
+def subsets(lenses: Sequence[Lens]) -> dict[str, Column]:
+    """Page predicate of each lens by name."""
+    return {lens.name: lens.on_pages() for lens in lenses}
+
+
 def tag(pages: DataFrame, lenses: Sequence[Lens]) -> DataFrame:
     """Add a ``lens`` column: one row per lens a page belongs to.
 

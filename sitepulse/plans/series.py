@@ -199,9 +199,9 @@ def request_series(
     }
     joined = joins.sums_on_pages(
         requests,
-        lenses_.tag(pages, lenses),
+        pages,
         {name: value for kind in sorted(kinds) for name, value in measures[kind].items()},
-        page_by=("lens",),
+        subsets=lenses_.subsets(lenses),
     )
     sums = [F.sum(name).alias(name) for kind in sorted(kinds) for name in measures[kind]]
     wide = joined.groupBy(*KEYS).agg(*sums)
