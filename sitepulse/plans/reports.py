@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sitepulse.functions import scalar
 from sitepulse.plans import histograms, lens as lenses_, metrics as m, series
-from sitepulse.plans.tables import CrawlTables
+from sitepulse.plans.tables import CrawlTables, scan
 
 HISTOGRAM_SCHEMA = (
     "client string, bin double, volume double, pdf double, cdf double, date string, lens string, metric string"
@@ -112,20 +112,27 @@ class ReportStore:
 # ---------------------------------------------------------------- readiness and dates
 
 
-def readiness(tables: CrawlTables, date: str) -> DataFrame:
-    """Which of the eight needed slices of a crawl exist: one pass over each table."""
+def readiness(tables: CrawlTables, date: str | None = None) -> DataFrame:
+    """Rows in each slice a crawl needs, per date: one pass over each table."""
     parts = []
     for name, table in (("pages", tables.pages), ("requests", tables.requests)):
         found = (
-            table.where(F.col("date") == F.to_date(F.lit(date)))
+            scan(table, date=date)
             .where(F.col("client").isin(*CLIENTS) & F.col("is_root_page").isNotNull())
-            .groupBy("client", "is_root_page")
+            .groupBy("date", "client", "is_root_page")
             .agg(F.count(F.lit(1)).alias("rows"))
         )
-        parts.append(found.select(F.lit(name).alias("source"), "client", "is_root_page", "rows"))
+        parts.append(found.select("date", F.lit(name).alias("source"), "client", "is_root_page", "rows"))
     return parts[0].unionByName(parts[1])
 
 
+def ready_dates(tables: CrawlTables) -> DataFrame:
+    """Dates whose eight slices all have rows."""
+    slices = 2 * len(CLIENTS) * 2
+    counted = readiness(tables).groupBy("date").agg(F.count(F.lit(1)).alias("slices"))
+    return counted.where(F.col("slices") == slices).select("date")
+
+
 def missing_slices(tables: CrawlTables, date: str) -> list[tuple[str, str, bool]]:
     """Slices of (table, client, root page or not) that have no row; empty when ready."""
     found = {(r.source, r.client, r.is_root_page) for r in readiness(tables, date).collect()}
@@ -286,10 +293,10 @@ def backfill(
     share one scan of all of them."""
     wanted: dict[str, list[tuple[str, str]]] = {}
     chosen = [metric.name for metric in m.matching(m.HISTOGRAMS, pattern)]
+    ready = {row.date.isoformat() for row in ready_dates(tables).toLocalIterator()}
     for date in dates:
-        missing = missing_slices(tables, _iso(date))
-        if missing:
-            raise NotReady(f"crawl {date} lacks {missing}")
+        if _iso(date) not in ready:
+            raise NotReady(f"crawl {date} lacks {missing_slices(tables, _iso(date))}")
         done = set() if force else store.existing_histograms(date)
         wanted[date] = [(x.name, n) for x in lenses_.select(lens) for n in chosen if (x.name, n) not in done]
     same: dict[tuple[tuple[str, str], ...], list[str]] = {}
