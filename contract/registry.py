@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from functools import cache
 
-from contract import operators, reports
+from contract import etl, operators, reports
 
 
 @cache
 def registered() -> dict:
     found: dict = {}
-    for module in (reports, operators):
+    for module in (reports, operators, etl):
         for name, entry in module.queries().items():
             if name in found:
                 raise ValueError(f"query {name} registered twice")
