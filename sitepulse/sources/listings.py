@@ -4,14 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-_ENTRY = T.StructType(
-    [
-        T.StructField("_about", T.StringType()),
-        T.StructField("d:Title", T.StringType()),
-        T.StructField("d:Description", T.StringType()),
-        T.StructField("topic", T.StringType()),
-    ]
-)
+_ENTRY = "_about string, `d:Title` string, `d:Description` string, topic string"
 
 
 def read_ranked_domains(spark: SparkSession, path: str) -> DataFrame:
@@ -22,20 +15,34 @@ def read_ranked_domains(spark: SparkSession, path: str) -> DataFrame:
 def read_directory(spark: SparkSession, path: str) -> DataFrame:
     """Entries of a directory dump in document order: ``position, url, title, description, topic``.
 
-    ``position`` orders entries by file, then by place in the file.
+    The dump is cut at the closing tags, so a large file is read by many tasks, and each entry is
+    parsed on its own. ``position`` orders entries by file, then by place in the file.
     """
-    entries = spark.read.format("xml").option("rowTag", "ExternalPage").schema(_ENTRY).load(path)
-    return entries.select(
-        F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-        ).alias("position"),
-        F.col("_about").alias("url"),
+    pieces = spark.read.option("lineSep", "</ExternalPage>").text(path)
+    found = F.regexp_extract("value", r"(?s)(<ExternalPage\b.*)$", 1)
+    entries = (
+        pieces.select(
+            F.struct(
+                F.col("_metadata.file_path").alias("file"),
+                F.col("_metadata.file_block_start").alias("block"),
+                F.monotonically_increasing_id().alias("row"),
+            ).alias("position"),
+            found.alias("_element"),
+        )
+        .where(F.col("_element") != "")
+        .withColumn("_e", F.from_xml(F.concat("_element", F.lit("</ExternalPage>")), _ENTRY))
+    )
+
+    def text(name: str):
         # A missing element reads as an empty text.
-        F.coalesce(F.col("`d:Title`"), F.lit("")).alias("title"),
-        F.coalesce(F.col("`d:Description`"), F.lit("")).alias("description"),
-        "topic",
+        return F.coalesce(F.col("_e").getField(name), F.lit(""))
+
+    return entries.select(
+        "position",
+        F.col("_e._about").alias("url"),
+        text("d:Title").alias("title"),
+        text("d:Description").alias("description"),
+        F.col("_e.topic").alias("topic"),
     )
 
 
