@@ -400,7 +400,7 @@ RULES = {
 _THIRD = f"(page_domain <> {_DOMAIN_SQL})"
 
 
-@register(f"""WITH r AS (SELECT CASE WHEN page_id % 2 = 0 THEN url ELSE 'http://www.example.net/' END AS page, url FROM pages),
+@register(rf"""WITH r AS (SELECT CASE WHEN page_id % 2 = 0 THEN url ELSE 'http://www.example.net/' END AS page, url FROM pages),
 d AS (SELECT *, CASE WHEN page = url THEN {_DOMAIN_SQL} ELSE 'example.net' END AS page_domain FROM r),
 h AS (SELECT *, {_HOST_SQL} AS host FROM d),
 b AS (SELECT page, url,

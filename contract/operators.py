@@ -8,6 +8,7 @@ from contract.analogs import read
 from contract.reports import DATED, density_sql, rounded
 from sitepulse.functions import jsoncols, scalar
 from sitepulse.operators import distribution, histogram, joins, kilobytes, timeseries as ts
+from sitepulse.session import stage
 
 QUERIES: dict = {}
 
@@ -295,7 +296,8 @@ def _weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _weight_counts(spark, sf_dir, max_rank=None):
     long = kilobytes.long_form(_weights(spark, sf_dir), _PARTS, max_rank)
-    return distribution.value_counts(long, F.col("value"), ["metric"])
+    # Counts feed several steps; a written table keeps the raw rows to one scan.
+    return stage(distribution.value_counts(long, F.col("value"), ["metric"]), "weight-counts")
 
 
 @register(f'WITH {_EDA} SELECT rank AS "RANK", "TOTAL", "HTML", "JS", "OTHER", count(*) AS n FROM weights GROUP BY ALL')

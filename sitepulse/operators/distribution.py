@@ -7,6 +7,7 @@ two levels, so no task ever holds one whole series. ``by`` names the columns tha
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from math import nextafter
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -74,7 +75,7 @@ def exact_quantiles(
     parts, results = [F.max("total").alias("_total")], []
     for name, p in probabilities.items():
         if discrete:
-            position = F.greatest(F.ceil(F.col("total") * F.lit(p)), F.lit(1)) - 1
+            position = F.greatest(F.ceil(F.col("total") * F.lit(nextafter(p, 0))), F.lit(1)) - 1
             parts.append(at(position).alias(f"_{name}"))
             results.append(F.col(f"_{name}").alias(name))
         else:

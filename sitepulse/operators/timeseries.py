@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from math import nextafter
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -17,8 +18,11 @@ ACCURACY = 10_000
 
 
 def quantiles(value: Column, buckets: int = 1001, accuracy: int = ACCURACY) -> Column:
-    """All five quantiles of one value from a single mergeable sketch."""
-    fractions = F.array(*[F.lit(k / buckets) for k in OFFSETS[buckets]])
+    """All five quantiles of one value from a single mergeable sketch.
+
+    Position k of n * k / buckets rows is meant exactly, so a fraction is never rounded upwards.
+    """
+    fractions = F.array(*[F.lit(nextafter(k / buckets, 0)) for k in OFFSETS[buckets]])
     return F.percentile_approx(value, fractions, F.lit(accuracy))
 
 
