@@ -15,7 +15,6 @@ from sitepulse.plans.tables import CrawlTables, scan
 
 KEYS = ("lens", "metric", "date", "client")
 COLUMNS = (*KEYS, "bin", "volume", "pdf", "cdf")
-_RUM_EDGE = "decimal(38,9)"
 
 
 def _on_dates(table: DataFrame, dates: Sequence[str] | None) -> DataFrame:
@@ -39,20 +38,23 @@ def _condition(metric: m.CrawlHistogram, bin: Column) -> Column:
 
 
 def _bins(rows: DataFrame, metrics: Sequence[m.CrawlHistogram]) -> DataFrame:
-    """One row per input row and metric that counts it, with columns ``metric, bin``."""
-    if len(metrics) == 1:
-        metric = metrics[0]
-        bin = metric.bin(F.col(metric.fact))
-        return rows.where(_condition(metric, bin)).withColumns(
-            {"metric": F.lit(metric.name), "bin": bin.cast("double")}
-        )
-    entries = []
+    """One row per input row and metric that counts it: ``number`` of the metric and its ``bin``.
+
+    The bins of a row are built side by side, NaN standing for "not counted", and exploded. No
+    filter on a parsed value is left that could move below the parse and repeat it.
+    """
+    bins = []
     for metric in metrics:
         bin = metric.bin(F.col(metric.fact))
-        entry = F.struct(F.lit(metric.name).alias("metric"), bin.cast("double").alias("bin"))
-        entries.append(F.when(_condition(metric, bin), entry))
-    exploded = rows.withColumn("_b", F.explode(F.array_compact(F.array(*entries))))
-    return exploded.withColumns({"metric": F.col("_b.metric"), "bin": F.col("_b.bin")}).drop("_b")
+        bins.append(F.when(_condition(metric, bin), bin.cast("double")).otherwise(F.lit(float("nan"))))
+    exploded = rows.select("*", F.posexplode(F.array(*bins)).alias("number", "bin"))
+    return exploded.where(F.col("bin").isNull() | ~F.isnan("bin"))
+
+
+def _named(rows: DataFrame, metrics: Sequence) -> DataFrame:
+    """Replace the metric number by its name."""
+    names = F.array(*[F.lit(metric.name) for metric in metrics])
+    return rows.withColumn("metric", F.get(names, F.col("number"))).drop("number")
 
 
 def crawl_histograms(
@@ -61,13 +63,31 @@ def crawl_histograms(
     lenses: Sequence[Lens],
     dates: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Histograms over page facts, in one scan and one shuffle of counts."""
+    """Histograms over page facts, in one scan.
+
+    Pages are counted per combination of lenses; only those counts are then spread over lenses.
+    """
     pages = _on_dates(scan(tables.pages, root_only=True), dates)
-    if len(metrics) == 1 and metrics[0].floor:
-        pages = scan(pages, since=metrics[0].floor)
-    rows = lenses_.tag(page_facts(pages, [x.fact for x in metrics]), lenses)
-    counts = _bins(rows, metrics).groupBy(*KEYS, "bin").agg(F.count(F.lit(1)).alias("volume"))
-    return histogram.pdf_cdf(counts, KEYS).select(*COLUMNS)
+    floors = [metric.floor for metric in metrics]
+    if all(floors):
+        pages = scan(pages, since=min(floors))
+    if len(lenses) == 1:
+        pages = pages.where(lenses[0].on_pages())
+    rows = page_facts(pages, [x.fact for x in metrics])
+    in_lenses = lenses_.mask(lenses) if len(lenses) > 1 else F.lit(1)
+    counts = (
+        _bins(rows.withColumn("mask", in_lenses), metrics)
+        .groupBy("mask", "number", "date", "client", "bin")
+        .agg(F.count(F.lit(1)).alias("volume"))
+    )
+    return histogram.pdf_cdf(_per_lens(_named(counts, metrics), lenses), KEYS).select(*COLUMNS)
+
+
+def _per_lens(sums: DataFrame, lenses: Sequence[Lens]) -> DataFrame:
+    """Volumes per lens from volumes per combination of lenses."""
+    if len(lenses) == 1:
+        return sums.withColumn("lens", F.lit(lenses[0].name)).drop("mask")
+    return lenses_.unmask(sums, lenses).groupBy(*KEYS, "bin").agg(F.sum("volume").alias("volume"))
 
 
 def request_histograms(
@@ -82,21 +102,20 @@ def request_histograms(
         _on_dates(scan(tables.requests, root_only=True), dates), [x.fact for x in metrics]
     )
     joined = joins.sums_on_pages(
-        _bins(requests, metrics), pages, {"volume": F.lit(1)}, ("metric", "bin"), lenses_.subsets(lenses)
+        _bins(requests, metrics), pages, {"volume": F.lit(1)}, ("number", "bin"), lenses_.subsets(lenses)
     )
-    counts = joined.groupBy(*KEYS, "bin").agg(F.sum("volume").alias("volume"))
+    counts = _named(joined, metrics).groupBy(*KEYS, "bin").agg(F.sum("volume").alias("volume"))
     return histogram.pdf_cdf(counts, KEYS).select(*COLUMNS)
 
 
-def _tag_rum(rows: DataFrame, pages: DataFrame | None, lenses: Sequence[Lens]) -> DataFrame:
-    """Add a ``lens`` column, one row per lens a site is in.
+def _with_rum_mask(rows: DataFrame, pages: DataFrame | None, lenses: Sequence[Lens]) -> DataFrame:
+    """Add ``mask``, one bit per lens a site is in.
 
     Rank lenses read the row itself. All technology lenses share one join to the crawled sites of
     the month, reduced to one row per site and month.
     """
     if len(lenses) == 1:
-        chosen = lenses[0].restrict_rum(rows, pages, on_month=True)
-        return chosen.withColumn("lens", F.lit(lenses[0].name))
+        return lenses[0].restrict_rum(rows, pages, on_month=True).withColumn("mask", F.lit(1))
     by_site = [lens for lens in lenses if lens.technology is not None]
     if by_site:
         flags = {f"_in_{lens.name}": lens.on_pages() for lens in by_site}
@@ -119,81 +138,76 @@ def _tag_rum(rows: DataFrame, pages: DataFrame | None, lenses: Sequence[Lens]) -
             & (F.col("yyyymm") == F.col("_yyyymm")),
             "left",
         )
-    tags = []
-    for lens in lenses:
+    bits = F.lit(0)
+    for i, lens in enumerate(lenses):
         if lens.technology is not None:
-            tags.append(F.when(F.col(f"_in_{lens.name}"), F.lit(lens.name)))
+            member = F.col(f"_in_{lens.name}")
         elif lens.rum_rank is not None:
-            ranked = F.col("experimental.popularity.rank") <= F.lit(lens.rum_rank)
-            tags.append(F.when(ranked, F.lit(lens.name)))
+            member = F.col("experimental.popularity.rank") <= F.lit(lens.rum_rank)
         else:
-            tags.append(F.lit(lens.name))
-    return rows.withColumn("lens", F.explode(F.array_compact(F.array(*tags))))
+            member = F.lit(True)
+        bits = bits + F.when(member, F.lit(1 << i)).otherwise(F.lit(0))
+    return rows.withColumn("mask", bits)
 
 
-def rum_histograms(
-    tables: CrawlTables,
-    metrics: Sequence[m.RumHistogram],
-    lenses: Sequence[Lens],
-    dates: Sequence[str] | None = None,
-) -> DataFrame:
-    """Histograms over the pre-binned table, in one scan of it.
+def _rum_volumes(rows: DataFrame, metrics: Sequence[m.RumHistogram], lenses: Sequence[Lens], edge: str) -> DataFrame:
+    """Volume per bin of metrics whose bin edges share the type ``edge``.
 
-    Densities are summed per given bin first; only those sums are spread over finer steps.
+    Densities are summed per given bin and combination of lenses first; only those sums are spread
+    over lenses and finer steps.
     """
-    rows, pages = tables.rum, tables.pages
-    if dates is not None:
-        rows = rows.where(F.col("yyyymm").isin(*[int(d[:4] + d[5:7]) for d in dates]))
-        pages = _on_dates(pages, dates) if pages is not None else None
-    tagged = _tag_rum(rows, pages, lenses)
-
-    def bins(metric: m.RumHistogram) -> Column:
-        return F.transform(
-            F.coalesce(F.col(f"{metric.path}.histogram.bin"), F.array()),
-            lambda b: F.struct(
-                F.lit(metric.name).alias("metric"),
-                b["start"].cast(_RUM_EDGE).alias("start"),
-                b["end"].cast(_RUM_EDGE).alias("end"),
-                b["density"].cast("double").alias("density"),
-            ),
-        )
-
-    each = tagged.select(
-        "lens",
-        scalar.month_date(F.col("yyyymm")).alias("date"),
+    given = F.array(*[F.col(f"{metric.path}.histogram.bin") for metric in metrics])
+    by = ["mask", "number", "yyyymm", "client"]
+    each = rows.select(
+        "mask",
+        "yyyymm",
         rum.client_of(F.col("form_factor.name")).alias("client"),
-        F.explode(F.concat(*[bins(metric) for metric in metrics])).alias("b"),
+        F.posexplode(given).alias("number", "bins"),
     )
-    summed = each.groupBy(
-        "lens", F.col("b.metric").alias("metric"), "date", "client", F.col("b.start").alias("start"),
-        F.col("b.end").alias("end"),
-    ).agg(F.sum("b.density").alias("density"))
-
-    def per_metric(value) -> Column:
-        choice = F.lit(None).cast("string")
-        for metric in metrics:
-            if value(metric) is not None:
-                choice = F.when(F.col("metric") == metric.name, F.lit(value(metric))).otherwise(choice)
-        return choice
+    summed = _named(histogram.bin_volumes(each, F.col("bins"), by), metrics)
+    if len(lenses) == 1:
+        summed = summed.withColumn("lens", F.lit(lenses[0].name))
+    else:
+        summed = lenses_.unmask(summed, lenses)
+    summed = summed.withColumn("date", scalar.month_date(F.col("yyyymm")))
+
+    def per_metric(value: str) -> Column:
+        values = F.array(*[F.lit(getattr(metric, value)) for metric in metrics])
+        names = F.array(*[F.lit(metric.name) for metric in metrics])
+        return F.get(values, (F.array_position(names, F.col("metric")) - 1).cast("int"))
 
     steps = rum.spread(
-        F.col("start"), F.col("end"), F.col("density"),
-        per_metric(lambda x: x.width), per_metric(lambda x: x.clamp), _RUM_EDGE,
-    )
-    kept = F.array(F.struct(F.col("start").alias("start"), F.col("density").alias("density")))
-    spread_names = [x.name for x in metrics if x.width is not None]
-    pieces = F.when(F.col("metric").isin(*spread_names), steps).otherwise(kept) if spread_names else kept
-    scale = F.lit(1)
-    for metric in metrics:
-        if metric.scale != 1:
-            scale = F.when(F.col("metric") == metric.name, F.lit(metric.scale)).otherwise(scale)
-    volumes = (
+        F.col("start"), F.col("end"), F.col("density"), per_metric("width"), per_metric("clamp"), edge
+    )
+    kept = F.array(F.struct(F.col("start").cast(edge).alias("start"), F.col("density").alias("density")))
+    pieces = F.when(per_metric("width").isNotNull(), steps).otherwise(kept)
+    return (
         summed.select(*KEYS, F.explode(pieces).alias("s"))
         .groupBy(*KEYS, F.col("s.start").alias("start"))
         .agg(F.sum("s.density").alias("volume"))
-        .withColumn("bin", F.col("start").cast("double") / scale)
+        .withColumn("bin", F.col("start").cast("double") / per_metric("scale"))
         .drop("start")
     )
+
+
+def rum_histograms(
+    tables: CrawlTables,
+    metrics: Sequence[m.RumHistogram],
+    lenses: Sequence[Lens],
+    dates: Sequence[str] | None = None,
+) -> DataFrame:
+    """Histograms over the pre-binned table. Each metric's column is read once."""
+    rows, pages = tables.rum, tables.pages
+    if dates is not None:
+        rows = rows.where(F.col("yyyymm").isin(*[int(d[:4] + d[5:7]) for d in dates]))
+        pages = _on_dates(pages, dates) if pages is not None else None
+    masked = _with_rum_mask(rows, pages, lenses)
+    volumes = None
+    for exact, edge in ((False, "bigint"), (True, "decimal(38,9)")):
+        alike = [metric for metric in metrics if metric.exact_edges == exact]
+        if alike:
+            part = _rum_volumes(masked, alike, lenses, edge)
+            volumes = part if volumes is None else volumes.unionByName(part)
     return histogram.pdf_cdf(volumes, KEYS).select(*COLUMNS)
 
 
@@ -225,7 +239,7 @@ def shape(long: DataFrame, metric: m.CrawlHistogram | m.RumHistogram) -> DataFra
     """One metric's rows in report columns and types, without ordering."""
     rows = long.where(F.col("metric") == metric.name)
     if isinstance(metric, m.RumHistogram):
-        bin = F.col("bin").cast("decimal(38,9)") if metric.name == "cruxCls" else F.col("bin")
+        bin = F.col("bin").cast("decimal(38,9)") if metric.exact_edges else F.col("bin")
         bin = bin.cast("bigint") if metric.width is None else bin
         return rows.select("lens", "date", "client", bin.alias("bin"), "volume", "pdf", "cdf")
     bin = F.col("bin").cast("bigint") if metric.whole_bins else F.col("bin")

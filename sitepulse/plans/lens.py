@@ -99,3 +99,19 @@ def tag(pages: DataFrame, lenses: Sequence[Lens]) -> DataFrame:
         return pages.where(lenses[0].on_pages()).withColumn("lens", F.lit(lenses[0].name))
     names = F.array(*[F.when(lens.on_pages(), F.lit(lens.name)) for lens in lenses])
     return pages.withColumn("lens", F.explode(F.array_compact(names)))
+
+
+def mask(lenses: Sequence[Lens]) -> Column:
+    """One bit per lens a page belongs to. Few combinations occur, so counts per mask stay small."""
+    bits = F.lit(0)
+    for i, lens in enumerate(lenses):
+        bits = bits + F.when(lens.on_pages(), F.lit(1 << i)).otherwise(F.lit(0))
+    return bits
+
+
+def unmask(rows: DataFrame, lenses: Sequence[Lens], column: str = "mask") -> DataFrame:
+    """One row per lens in the mask, with a ``lens`` column; for rows that are aggregated already."""
+    names = F.array(
+        *[F.when(F.col(column).bitwiseAND(F.lit(1 << i)) != 0, F.lit(lens.name)) for i, lens in enumerate(lenses)]
+    )
+    return rows.withColumn("lens", F.explode(F.array_compact(names))).drop(column)

@@ -36,6 +36,8 @@ class RumHistogram:
     width: str | None = None
     clamp: str | None = None
     scale: int = 1
+    # Bin edges are exact decimals instead of whole milliseconds.
+    exact_edges: bool = False
 
 
 @dataclass(frozen=True)
@@ -164,7 +166,7 @@ CRAWL_HISTOGRAMS = (
 
 _MS = {"width": "100", "clamp": "5000", "scale": 1000}
 RUM_HISTOGRAMS = (
-    RumHistogram("cruxCls", "layout_instability.cumulative_layout_shift", "0.01", "10"),
+    RumHistogram("cruxCls", "layout_instability.cumulative_layout_shift", "0.01", "10", exact_edges=True),
     RumHistogram("cruxDcl", "dom_content_loaded", **_MS),
     RumHistogram("cruxFcp", "first_contentful_paint", **_MS),
     RumHistogram("cruxFp", "first_paint", **_MS),

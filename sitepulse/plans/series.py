@@ -46,7 +46,7 @@ class _Plan:
     name: str
     facts: tuple[str, ...]
     condition: Column
-    aggregates: Callable[[Column | None], dict[str, Column]]
+    aggregates: Callable[[Column], dict[str, Column]]
     measures: dict[str, Column]
     keep: Column | None = None
 
@@ -55,10 +55,6 @@ def _since(floor: str | None) -> Column:
     return F.lit(True) if floor is None else F.col("date") >= F.to_date(F.lit(floor))
 
 
-def _guard(value: Column, condition: Column | None) -> Column:
-    return value if condition is None else F.when(condition, value)
-
-
 def _plan(metric) -> _Plan:
     name = metric.name
     if isinstance(metric, m.Quantiles):
@@ -71,7 +67,7 @@ def _plan(metric) -> _Plan:
         columns = ts.quantile_columns(sketch, metric.scale, metric.places)
         return _Plan(
             name, tuple(facts), condition,
-            lambda c: {f"{name}__sketch": ts.quantiles(_guard(F.col(metric.fact), c), metric.buckets)},
+            lambda c: {f"{name}__sketch": ts.quantiles(F.when(c, F.col(metric.fact)), metric.buckets)},
             dict(zip(ts.QUANTILE_NAMES, columns)),
             sketch.isNotNull() if metric.drop_empty else None,
         )
@@ -84,7 +80,7 @@ def _plan(metric) -> _Plan:
         passed = score.isin("true", "1")
         return _Plan(
             name, (f"score_{metric.audit}", present), condition,
-            lambda c: {f"{name}__passed": ts.count_where(passed if c is None else passed & c)},
+            lambda c: {f"{name}__passed": ts.count_where(passed & c)},
             {"percent": scalar.percent(F.col(f"{name}__passed"), F.col(f"{name}__rows"))},
         )
     if isinstance(metric, m.FeatureShare):
@@ -98,8 +94,8 @@ def _plan(metric) -> _Plan:
         return _Plan(
             name, ("features",), _since(metric.floor),
             lambda c: {
-                f"{name}__num": F.sum(_guard(F.size(counted), c)),
-                f"{name}__unnested": F.sum(_guard(ts.left_unnest_rows(used), c)),
+                f"{name}__num": F.sum(F.when(c, F.size(counted))),
+                f"{name}__unnested": F.sum(F.when(c, ts.left_unnest_rows(used))),
             },
             {"num_urls": num, "percent": F.round(scalar.safe_divide(num, rows) * 100, 5)},
         )
@@ -139,24 +135,20 @@ def page_series(
 ) -> DataFrame:
     """Quantiles, pass rates, feature shares and counts of root pages from one aggregate.
 
-    A single metric filters its rows; several guard their own aggregates instead.
+    Each metric guards its own aggregates. A filter on parsed values would serve one metric only,
+    and Spark would move it below the parse and parse twice.
     """
     plans = [_plan(metric) for metric in metrics]
-    alone = len(plans) == 1
     pages = scan(tables.pages, after=after, until=until, root_only=True)
     floors = [getattr(metric, "floor", None) for metric in metrics]
     if all(floors):
         pages = scan(pages, since=min(floors))
     rows = page_facts(pages, [fact for plan in plans for fact in plan.facts])
-    if alone:
-        rows = rows.where(plans[0].condition)
     rows = lenses_.tag(rows, lenses)
     aggregates: dict[str, Column] = {}
     for plan in plans:
-        aggregates[f"{plan.name}__rows"] = (
-            F.count(F.lit(1)) if alone else ts.count_where(plan.condition)
-        )
-        aggregates.update(plan.aggregates(None if alone else plan.condition))
+        aggregates[f"{plan.name}__rows"] = ts.count_where(plan.condition)
+        aggregates.update(plan.aggregates(plan.condition))
     wide = rows.groupBy(*KEYS).agg(*[value.alias(name) for name, value in aggregates.items()])
     results = {}
     for plan in plans:
