@@ -7,17 +7,27 @@ Spark packs them into the JSON documents the reports read, the check SQL reads t
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 
 from sitepulse.plans.facts import AUDITS, SUMMARY_NUMBERS
 from sitepulse.plans.metrics import FEATURE_SHARES
-from sitepulse.plans.tables import CrawlTables
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """A table with fewer splits than cores, dealt out to all of them before documents are built.
+
+    Test tables are single files. A table of many files stays as it is, without a shuffle.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def _number(k: int, times: int, over: int, plus: str = "") -> str:
     """An even number from the order value, at times NULL or 0."""
     return (
@@ -206,7 +216,7 @@ def crawl_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         named_struct('id', CAST(NULL AS STRING), 'feature', try_element_at(array({names}), {at})) END,
       CASE WHEN o_orderkey % 5 = 0 AND {FEATURE_INDEX} < {len(FEATURE_SHARES)} THEN
         named_struct('id', try_element_at(array({ids}), {at}), 'feature', 'Other') END))"""
-    return read(spark, sf_dir, "orders").selectExpr(
+    return dealt(read(spark, sf_dir, "orders")).selectExpr(
         *_split_select(PAGE_KEYS_SPARK),
         f"to_json(named_struct({_fields(SUMMARY)})) AS summary",
         f"to_json(named_struct({_fields(PAYLOAD)})) AS payload",
@@ -245,7 +255,7 @@ def crawl_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         for i, rows in enumerate(HEADERS)
     )
-    items = read(spark, sf_dir, "lineitem").selectExpr(
+    items = dealt(read(spark, sf_dir, "lineitem")).selectExpr(
         "l_orderkey",
         f"{URL} AS url",
         f"to_json(named_struct('respHttpVersion', {HTTP_VERSION})) AS summary",
@@ -268,7 +278,7 @@ def rum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pre-binned real-user table."""
     by_name = {name: _bins(ms_bins(k), "BIGINT") for k, name in enumerate(RUM_MS)}
     ttfb = by_name.pop("time_to_first_byte")
-    return read(spark, sf_dir, "lineitem").selectExpr(
+    return dealt(read(spark, sf_dir, "lineitem")).selectExpr(
         "CAST(date_format(add_months(l_shipdate, 276), 'yyyyMM') AS INT) AS yyyymm",
         f"{ORIGIN} AS origin",
         f"named_struct('name', {DEVICE}) AS form_factor",
@@ -282,7 +292,7 @@ def rum(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rum_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The real-user device summary."""
     shares = {column: value for name in SUMMARY_NAMES for column, value in triple(name).items()}
-    return read(spark, sf_dir, "lineitem").selectExpr(
+    return dealt(read(spark, sf_dir, "lineitem")).selectExpr(
         "CAST(date_format(add_months(l_shipdate, 276), 'yyyyMM') AS INT) AS yyyymm",
         "trunc(add_months(l_shipdate, 276), 'MM') AS date",
         f"{DEVICE} AS device",
@@ -291,7 +301,28 @@ def rum_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tables(spark: SparkSession, sf_dir: str) -> CrawlTables:
-    return CrawlTables(
-        crawl_pages(spark, sf_dir), crawl_requests(spark, sf_dir), rum(spark, sf_dir), rum_summary(spark, sf_dir)
-    )
+class DerivedTables:
+    """The four tables, each derived when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._source = (spark, sf_dir)
+
+    @cached_property
+    def pages(self) -> DataFrame:
+        return crawl_pages(*self._source)
+
+    @cached_property
+    def requests(self) -> DataFrame:
+        return crawl_requests(*self._source)
+
+    @cached_property
+    def rum(self) -> DataFrame:
+        return rum(*self._source)
+
+    @cached_property
+    def rum_summary(self) -> DataFrame:
+        return rum_summary(*self._source)
+
+
+def tables(spark: SparkSession, sf_dir: str) -> DerivedTables:
+    return DerivedTables(spark, sf_dir)

@@ -64,7 +64,7 @@ _RELEASE = "CASE WHEN page_id % 2 = 0 THEN 'chrome' ELSE 'android' END || '-Mar_
 
 def hars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """HAR documents, one per web page, in release folders of two clients."""
-    return read(spark, sf_dir, "pages").selectExpr(f"{_HAR} AS doc", f"'/crawls/' || {_RELEASE} || '/x.har' AS path")
+    return analogs.dealt(read(spark, sf_dir, "pages")).selectExpr(f"{_HAR} AS doc", f"'/crawls/' || {_RELEASE} || '/x.har' AS path")
 
 
 _HOME = f"{_CASE} <> 2"
@@ -203,7 +203,8 @@ def body_truncate_utf8(spark, sf_dir):
     """Whole texts cut to a byte budget that differs by document."""
     budget = F.lit(_BUDGET) * (1 + F.col("doc_id") % 10)
     cut = text.fit_json_bytes(F.col("text"), budget)
-    return read(spark, sf_dir, "documents").select("doc_id", F.md5(cut.cast("binary")).alias("cut_md5"))
+    documents = analogs.dealt(read(spark, sf_dir, "documents"))
+    return documents.select("doc_id", F.md5(cut.cast("binary")).alias("cut_md5"))
 
 
 @register("SELECT url, CAST(('0x' || right(sha256(url), 1))::INTEGER % 4 AS INTEGER) AS shard FROM pages")
@@ -419,7 +420,7 @@ def classify_requests(spark, sf_dir):
         spark.createDataFrame([(rule,) for rule in rules], "value string").coalesce(1).write.text(paths[name])
     rules = classify.parse_rules(listings.read_rule_lists(spark, paths))
     page = F.when(F.col("page_id") % 2 == 0, F.col("url")).otherwise("http://www.example.net/")
-    return classify.classify(read(spark, sf_dir, "pages").select(page.alias("page"), "url"), rules)
+    return classify.classify(analogs.dealt(read(spark, sf_dir, "pages")).select(page.alias("page"), "url"), rules)
 
 
 @register(f"""SELECT url, {_HOST_SQL} AS host, {_DOMAIN_SQL} AS domain, array_to_string({_PARTS_SQL}, '.') AS subdomain FROM pages""")
@@ -466,6 +467,23 @@ def list_shard_dates(spark, sf_dir):
     return reports.list_shard_dates(shards, "pages", "2000_01_01", "2050")
 
 
+@register("""SELECT '20' || strftime(date_trunc('year', o_orderdate), '%y_01_01') AS date, count(*) AS n FROM orders
+WHERE o_orderkey % 2 = 0 GROUP BY ALL""")
+def shard_scan(spark, sf_dir):
+    """Tables sharded by folder name, scanned by a wildcard; the dates go through a CSV file."""
+    root, path = scratch_path(spark, "shards"), scratch_path(spark, "dates")
+    kind = F.when(F.col("o_orderkey") % 2 == 0, "pages").otherwise("requests")
+    name = F.concat(F.date_format(F.trunc(F.col("o_orderdate").cast("date"), "YEAR"), "yy_MM_dd"), F.lit("_desktop_"), kind)
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", name.alias("t"))
+    orders.write.partitionBy("t").parquet(root)
+    # Partition folders are named t=<shard>, which the prefix strips.
+    shards = listings.read_shards(spark, root, "t=")
+    listings.write_dates(reports.list_shard_dates(shards, "pages"), path)
+    dates = spark.read.schema("date string").csv(path)
+    counted = shards.where(F.col("suffix").endswith("_pages")).groupBy(scalar.shard_date(F.col("suffix")).alias("date"))
+    return dates.join(counted.agg(F.count(F.lit(1)).alias("n")), "date")
+
+
 def _long_series(names, lens_names, where: str = "TRUE") -> str:
     """Check SQL of series in long form: one column ``value`` per measure that a report has."""
     parts = []

@@ -30,11 +30,13 @@ def quantile_columns(
     sketch: Column, scale: float = 1, places: int | None = 2
 ) -> list[Column]:
     """``p10`` .. ``p90`` from a quantile array."""
-    columns = []
-    for i, name in enumerate(QUANTILE_NAMES):
-        value = F.get(sketch, F.lit(i)).cast("double") / F.lit(float(scale))
-        columns.append((F.round(value, places) if places is not None else value).alias(name))
-    return columns
+
+    def scaled(quantile: Column) -> Column:
+        value = quantile.cast("double") / F.lit(float(scale))
+        return value if places is None else F.round(value, places)
+
+    values = F.transform(sketch, scaled)
+    return [F.get(values, F.lit(i)).alias(name) for i, name in enumerate(QUANTILE_NAMES)]
 
 
 def count_where(condition: Column) -> Column:

@@ -197,10 +197,11 @@ def rum_histograms(
     dates: Sequence[str] | None = None,
 ) -> DataFrame:
     """Histograms over the pre-binned table. Each metric's column is read once."""
-    rows, pages = tables.rum, tables.pages
+    rows = tables.rum
     if dates is not None:
         rows = rows.where(F.col("yyyymm").isin(*[int(d[:4] + d[5:7]) for d in dates]))
-        pages = _on_dates(pages, dates) if pages is not None else None
+    by_site = any(lens.technology is not None for lens in lenses)
+    pages = _on_dates(tables.pages, dates) if by_site else None
     masked = _with_rum_mask(rows, pages, lenses)
     volumes = None
     for exact, edge in ((False, "bigint"), (True, "decimal(38,9)")):

@@ -106,19 +106,13 @@ def _plan(metric) -> _Plan:
     raise TypeError(f"not a page series: {metric!r}")
 
 
-def _measure_struct(name: str, measures: dict[str, Column]) -> Column:
-    return F.struct(
-        F.lit(name).alias("metric"),
-        *[
-            measures.get(column, F.lit(None)).cast(dtype).alias(column)
-            for column, dtype in MEASURES.items()
-        ],
-    )
-
-
 def _long(wide: DataFrame, rows: dict[str, tuple[Column, dict[str, Column]]]) -> DataFrame:
     """Turn one wide aggregate row per key into one row per metric that has a result."""
-    entries = [F.when(keep, _measure_struct(name, measures)) for name, (keep, measures) in rows.items()]
+    missing = {column: F.lit(None).cast(dtype).alias(column) for column, dtype in MEASURES.items()}
+    entries = []
+    for name, (keep, measures) in rows.items():
+        given = {column: value.cast(MEASURES[column]).alias(column) for column, value in measures.items()}
+        entries.append(F.when(keep, F.struct(F.lit(name).alias("metric"), *{**missing, **given}.values())))
     exploded = wide.select(*KEYS, F.explode(F.array_compact(F.array(*entries))).alias("m"))
     return exploded.select(
         "lens",
@@ -267,7 +261,8 @@ def rum_series(
         results[metric.name] = (F.col(seen) > 0, {"percent": share})
     if len(metrics) == 1:
         rows = rows.where(present[f"{metrics[0].name}__seen"])
-    rows = _tag_summary(rows, tables.pages, lenses)
+    by_site = any(lens.technology is not None or lens.rum_rank is not None for lens in lenses)
+    rows = _tag_summary(rows, tables.pages if by_site else None, lenses)
     # The report date comes from the month number, whatever date the row carries.
     rows = rows.withColumns(
         {"date": scalar.month_date(F.col("yyyymm")), "client": rum.client_of(F.col("device"))}

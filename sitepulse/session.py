@@ -25,6 +25,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        # Hundreds of columns are built per report run; their source lines are not needed.
+        "spark.sql.dataFrameQueryContext.enabled": "false",
         **conf,
     }
     for key, value in settings.items():

@@ -66,3 +66,14 @@ def load_json_lines(spark: SparkSession, source: str, target: str, schema: T.Str
     """Load JSON lines into a columnar table of a declared schema."""
     spark.read.schema(schema).json(source).write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)
+
+
+def read_shards(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
+    """All table shards in folders ``root/<prefix><suffix>``, with the ``suffix`` of each row."""
+    name = F.regexp_extract("_metadata.file_path", rf"/{prefix}([^/]+)/[^/]+$", 1)
+    return spark.read.parquet(f"{root}/{prefix}*").select("*", name.alias("suffix"))
+
+
+def write_dates(dates: DataFrame, path: str) -> None:
+    """A short list of dates as CSV without a header, in the given order."""
+    dates.coalesce(1).write.mode("overwrite").csv(path)
