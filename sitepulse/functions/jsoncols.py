@@ -93,8 +93,9 @@ def named_score(scores: Column, name: str) -> Column:
 
 
 def is_present(doc: Column) -> Column:
-    """The document is there and is not the empty object."""
-    return doc.isNotNull() & ~doc.rlike(r"^\s*\{\s*\}\s*$")
+    """The document is there and is not the empty object. Long documents are not searched."""
+    empty = (F.octet_length(doc) < 1024) & doc.rlike(r"^\s*\{\s*\}\s*$")
+    return doc.isNotNull() & ~empty
 
 
 def document_text(doc: Column, path: str = "$") -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,9 +47,13 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="sitepulse-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_dir(spark.sparkContext.applicationId)
+
+
+@cache
+def _local_dir(application: str) -> str:
+    """One folder per local application, for tests without the setting."""
+    return tempfile.mkdtemp(prefix=f"sitepulse-{application}-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
