@@ -126,13 +126,13 @@ def ms_bins(k: int) -> tuple[tuple[str, str, str], ...]:
     return (
         (start, f"{start} + 100 * (l_linenumber % 4) + {50 * (k % 2) + 50}", "l_discount / 7"),
         ("CAST(0 AS BIGINT)", "CAST(1000 AS BIGINT)", "l_tax / 11"),
-        ("CAST(20000 AS BIGINT)", "CAST(60000 AS BIGINT)", "CAST(0.13 AS DOUBLE)"),
+        ("CAST(20000 AS BIGINT)", "CAST(60000 AS BIGINT)", "(l_quantity + CAST(0.3 AS DOUBLE)) / 13"),
     )
 
 
 CLS_BINS = (
     ("CAST(l_discount AS DECIMAL(38,9))", "CAST(l_discount + 0.05 * (1 + l_linenumber % 3) AS DECIMAL(38,9))", "l_tax / 11"),
-    ("CAST(1 AS DECIMAL(38,9))", "CAST(CASE WHEN l_quantity > 45 THEN 20 ELSE 1.25 END AS DECIMAL(38,9))", "CAST(0.27 AS DOUBLE)"),
+    ("CAST(1 AS DECIMAL(38,9))", "CAST(CASE WHEN l_quantity > 45 THEN 20 ELSE 1.25 END AS DECIMAL(38,9))", "(l_quantity + CAST(0.7 AS DOUBLE)) / 17"),
 )
 # NULL and empty bin arrays.
 BINS_NULL, BINS_EMPTY = "l_linenumber = 5", "l_linenumber = 6"
