@@ -96,8 +96,3 @@ def is_present(doc: Column) -> Column:
     """The document is there and is not the empty object. Long documents are not searched."""
     empty = (F.octet_length(doc) < 1024) & doc.rlike(r"^\s*\{\s*\}\s*$")
     return doc.isNotNull() & ~empty
-
-
-def document_text(doc: Column, path: str = "$") -> Column:
-    """Sub-document at a JSON path as compact text with keys in their given order."""
-    return F.get_json_object(doc, path)

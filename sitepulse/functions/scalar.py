@@ -7,10 +7,6 @@ from pyspark.sql import Column, functions as F
 MS_PER_DAY = 86_400_000
 
 
-def col(value: Column | str) -> Column:
-    return F.col(value) if isinstance(value, str) else value
-
-
 def bucket(value: Column, width: float, scale: float) -> Column:
     """``floor(value / width) * scale`` as an integer: the lower edge of a bin."""
     return (F.floor(value / F.lit(width)) * F.lit(scale)).cast("bigint")

@@ -49,34 +49,31 @@ JSON_ESCAPE_COST = {"\\": 2, '"': 2, "/": 2, "\b": 1, "\t": 1, "\n": 1, "\f": 1,
 MAX_CHAR_COST = 9
 
 
-def _char_costs() -> np.ndarray:
-    """Cost in bytes of every code point, UTF-8 plus JSON escaping."""
-    codes = np.arange(0x110000)
-    cost = np.select([codes <= 0x7F, codes <= 0x7FF, codes <= 0xFFFF], [1, 2, 3], 4).astype(np.int64)
-    for code in range(0x20):
-        # Counted with three padding zeros before the hexadecimal digits.
-        cost[code] += 3 + 3 + len(format(code, "x"))
-    for char, extra in JSON_ESCAPE_COST.items():
-        cost[ord(char)] = 1 + extra
-    return cost
-
-
 def fit_json_bytes(text: Column, budget: Column) -> Column:
     """The longest prefix whose UTF-8 bytes, JSON escapes included, stay within ``budget``.
 
     Texts that fit at the highest cost per character never leave the JVM.
     """
 
+    escapes = dict(JSON_ESCAPE_COST)
+
+    # Everything the function needs travels with it; workers need no copy of this module.
     @F.pandas_udf("string")
     def cut(texts: pd.Series, budgets: pd.Series) -> pd.Series:
-        cost = _char_costs()
+        codes = np.arange(0x110000)
+        cost = np.select([codes <= 0x7F, codes <= 0x7FF, codes <= 0xFFFF], [1, 2, 3], 4).astype(np.int64)
+        for code in range(0x20):
+            # Counted with three padding zeros before the hexadecimal digits.
+            cost[code] += 3 + 3 + len(format(code, "x"))
+        for char, extra in escapes.items():
+            cost[ord(char)] = 1 + extra
         out = []
         for value, limit in zip(texts, budgets):
             if value is None:
                 out.append(None)
                 continue
-            codes = np.frombuffer(value.encode("utf-32-le", "surrogatepass"), dtype="<u4")
-            used = np.cumsum(cost[codes])
+            points = np.frombuffer(value.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+            used = np.cumsum(cost[points])
             out.append(value[: int(np.searchsorted(used, limit, side="right"))])
         return pd.Series(out, dtype=object)
 

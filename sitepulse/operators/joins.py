@@ -83,14 +83,6 @@ def sums_on_pages(
     )
 
 
-def page_origins(pages: DataFrame) -> DataFrame:
-    """Distinct ``(origin, form_factor)`` of pages: the site without its trailing slash."""
-    return pages.select(
-        scalar.drop_last_char(F.col("page")).alias("origin"),
-        rum.form_factor_of(F.col("client")).alias("form_factor_name"),
-    ).distinct()
-
-
 def restrict_rum_to_pages(rum_rows: DataFrame, pages: DataFrame, on_month: bool = False) -> DataFrame:
     """Pre-binned rows whose site and form factor occur among the pages.
 

@@ -27,7 +27,6 @@ ROW = (
     "table string, page string, url string, payload string, body string, truncated boolean, "
     "request_id string, report string, category string, app string, info string, skipped boolean"
 )
-_ROW_COLUMNS = tuple(part.split()[0] for part in ROW.split(", "))
 
 # Only these members of a document and of an entry are read; the rest is kept as text.
 _DOCUMENT = "log struct<pages: array<string>, entries: array<string>>, _lighthouse string"
