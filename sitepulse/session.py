@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,22 +36,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the session names it.
-
-    A machine-local folder is used only for a local master with the setting unset.
-    """
+    """The folder every executor can reach: ``spark.checkpoint.dir``, else one below the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+    if not warehouse:
         raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
-    return _local_dir(spark.sparkContext.applicationId)
-
-
-@cache
-def _local_dir(application: str) -> str:
-    """One folder per local application, for tests without the setting."""
-    return tempfile.mkdtemp(prefix=f"sitepulse-{application}-")
+    return f"{warehouse.rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -70,3 +60,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder that no later step reads."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -9,8 +9,10 @@ from sitepulse.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    return local_session(4, shuffle_partitions=4)
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
+    settings = {"spark.checkpoint.dir": f"file://{shared}", "spark.sql.warehouse.dir": f"file://{shared}/warehouse"}
+    return local_session(4, shuffle_partitions=4, **settings)
 
 
 @pytest.fixture(scope="session")
