@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitepulse.llm import simhash
+from sitepulse.llm import simhash, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,7 +18,13 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal(F.col("fp0")).alias("fingerprint"), "component_id")
 
 
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What windows of 35 words that occur twice leave of every document."""
+    return substrings.report(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {
         "op5_simhash": (op5_simhash, None),
+        "op10_substrings": (op10_substrings, None),
     }

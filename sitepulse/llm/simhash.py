@@ -237,15 +237,18 @@ def one_of_each(
 
     Rows that are equal in key and text are one row. Columns are those of ``docs``, whatever their names.
     """
-    columns = docs.columns
     marked = docs.select(
-        *columns, F.col(key).cast("bigint").alias("_row_key"), F.xxhash64(text).alias("_row_text")
+        F.struct("*").alias("_row"),
+        F.col(key).cast("bigint").alias("_row_key"),
+        F.xxhash64(text).alias("_row_text"),
+        F.col(text).alias("_row_words"),
     )
-    prints = stage(fingerprints(marked, text, ("_row_key", "_row_text"), words, ring.bits), "fingerprints")
+    prints = stage(fingerprints(marked, "_row_words", ("_row_key", "_row_text"), words, ring.bits), "fingerprints")
     names = [f"fp{w}" for w in range(ring.bits // 64)]
     first = F.min(F.struct(F.col("_row_key").isNull().alias("n"), "_row_key", "_row_text")).alias("_first")
     by_print = prints.groupBy(*names).agg(first).join(grouped(prints, ring), names)
     stay = by_print.groupBy("_group").agg(F.min("_first").alias("_first")).select("_first._row_key", "_first._row_text")
     stay = stay.withColumnsRenamed({"_row_key": "_stay_key", "_row_text": "_stay_text"})
     same = F.col("_row_key").eqNullSafe(F.col("_stay_key")) & (F.col("_row_text") == F.col("_stay_text"))
-    return marked.join(stay, same, "left_semi").dropDuplicates(["_row_key", "_row_text"]).select(*columns)
+    kept = marked.drop("_row_words").join(stay, same, "left_semi")
+    return kept.dropDuplicates(["_row_key", "_row_text"]).select("_row.*")
