@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitepulse.llm import simhash, substrings
+from sitepulse.llm import simhash, substrings, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,8 +23,18 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.report(_table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, by a lexicon learned from the rows that are not held out."""
+    documents = _table(spark, sf_dir, "documents")
+    lexicon = toxicity.learn(documents, _table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(toxicity.fold_of("doc_id") == 1, F.lit(False))
+    scored = documents.select("doc_id", held_out.alias("held_out"), toxicity.score(lexicon).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 def queries() -> dict:
     return {
         "op5_simhash": (op5_simhash, None),
+        "op8_toxicity": (op8_toxicity, None),
         "op10_substrings": (op10_substrings, None),
     }
