@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitepulse.llm import simhash, substrings, toxicity
+from sitepulse.llm import mixing, simhash, substrings, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document a mix of all sources with weights 5, 2, 1, ... takes."""
+    return mixing.report(_table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of 4-word shingles, linked at 4 or fewer differing bits, of every document."""
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -34,6 +39,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op4_mixing": (op4_mixing, mixing.SQL),
         "op5_simhash": (op5_simhash, None),
         "op8_toxicity": (op8_toxicity, None),
         "op10_substrings": (op10_substrings, None),
