@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitepulse.llm import mixing, simhash, substrings, toxicity
+from sitepulse.llm import mixing, pieces, simhash, substrings, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,11 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.report(_table(spark, sf_dir, "documents"))
 
 
+def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as ids of the public 32,000-piece vocabulary, and whether they decode to it."""
+    return pieces.encoded(_table(spark, sf_dir, "documents"), pieces.load())
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, by a lexicon learned from the rows that are not held out."""
     documents = _table(spark, sf_dir, "documents")
@@ -41,6 +46,7 @@ def queries() -> dict:
     return {
         "op4_mixing": (op4_mixing, mixing.SQL),
         "op5_simhash": (op5_simhash, None),
+        "op7_pieces": (op7_pieces, None),
         "op8_toxicity": (op8_toxicity, None),
         "op10_substrings": (op10_substrings, None),
     }
