@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitepulse.llm import mixing, pieces, simhash, substrings, toxicity
+from sitepulse.llm import mixing, pieces, search, simhash, substrings, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 highest integer inner products for every hundredth vector, against all."""
+    rows = search.sparse(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return search.top_k(rows.filter("id % 100 = 0"), rows, k=10)
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document a mix of all sources with weights 5, 2, 1, ... takes."""
     return mixing.report(_table(spark, sf_dir, "documents"))
@@ -44,6 +50,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op3_search": (op3_search, search.SQL),
         "op4_mixing": (op4_mixing, mixing.SQL),
         "op5_simhash": (op5_simhash, None),
         "op7_pieces": (op7_pieces, None),
