@@ -76,7 +76,7 @@ def compare(rows: DataFrame, of_pairs: Pairs, gather: Callable, schema: str, vec
         for batch in batches:
             columns = {n: _array(batch.column(n)) for n in names}
             if rest is not None:
-                columns = {n: np.concatenate([rest[n], columns[n]]) for n in names}
+                columns = {n: _stacked(rest[n], columns[n]) for n in names}
             key_end = _last_start(columns)
             if key_end:
                 yield _found({n: x[:key_end] for n, x in columns.items()}, of_pairs, gather, target)
@@ -89,10 +89,21 @@ def compare(rows: DataFrame, of_pairs: Pairs, gather: Callable, schema: str, vec
 
 
 def _array(column: pa.Array) -> np.ndarray:
-    if pa.types.is_list(column.type):
-        width = len(column.flatten()) // max(1, len(column))
-        return np.asarray(column.flatten()).reshape(len(column), width)
-    return np.asarray(column)
+    """A column as an array; lists as rows of a matrix, filled up with zeros."""
+    if not pa.types.is_list(column.type):
+        return np.asarray(column)
+    sizes = np.asarray(column.value_lengths(), dtype=np.int64)
+    flat = np.asarray(column.flatten())
+    out = np.zeros((len(sizes), sizes.max(initial=0)), flat.dtype)
+    out[np.arange(out.shape[1]) < sizes[:, None]] = flat
+    return out
+
+
+def _stacked(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    if a.ndim == 2 and a.shape[1] != b.shape[1]:
+        width = max(a.shape[1], b.shape[1])
+        a, b = (np.pad(x, ((0, 0), (0, width - x.shape[1]))) for x in (a, b))
+    return np.concatenate([a, b])
 
 
 def _last_start(columns: dict[str, np.ndarray]) -> int:

@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitepulse.llm import mixing, pieces, search, simhash, substrings, toxicity
+from sitepulse.llm import mixing, pieces, search, simhash, substrings, toxicity, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and survivor of every embedding, at a cosine of 0.93 within its label."""
+    return vectors.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op3_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 highest integer inner products for every hundredth vector, against all."""
     rows = search.sparse(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
@@ -50,6 +55,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op1_vectors": (op1_vectors, vectors.SQL),
         "op3_search": (op3_search, search.SQL),
         "op4_mixing": (op4_mixing, mixing.SQL),
         "op5_simhash": (op5_simhash, None),
