@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitepulse.llm import mixing, pieces, search, simhash, substrings, toxicity, vectors
+from sitepulse.llm import arc, mixing, pieces, search, simhash, substrings, toxicity, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,11 @@ def op1_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op2_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through ARC and WARC records and back."""
+    return arc.archived(_table(spark, sf_dir, "pages"))
+
+
 def op3_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 highest integer inner products for every hundredth vector, against all."""
     rows = search.sparse(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
@@ -56,6 +61,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op1_vectors": (op1_vectors, vectors.SQL),
+        "op2_archive": (op2_archive, None),
         "op3_search": (op3_search, search.SQL),
         "op4_mixing": (op4_mixing, mixing.SQL),
         "op5_simhash": (op5_simhash, None),
