@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitepulse.llm import arc, mixing, pieces, search, simhash, substrings, toxicity, vectors
+from sitepulse.llm import arc, language, mixing, pieces, search, simhash, substrings, toxicity, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,12 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal(F.col("fp0")).alias("fingerprint"), "component_id")
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every page, with a text model learned from all documents."""
+    model = language.learn(_table(spark, sf_dir, "documents"))
+    return language.identify(_table(spark, sf_dir, "pages"), model)
+
+
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What windows of 35 words that occur twice leave of every document."""
     return substrings.report(_table(spark, sf_dir, "documents"))
@@ -67,5 +73,6 @@ def queries() -> dict:
         "op5_simhash": (op5_simhash, None),
         "op7_pieces": (op7_pieces, None),
         "op8_toxicity": (op8_toxicity, None),
+        "op9_language": (op9_language, None),
         "op10_substrings": (op10_substrings, None),
     }
