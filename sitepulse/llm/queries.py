@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitepulse.llm import arc, language, mixing, pieces, search, simhash, substrings, toxicity, vectors
+from sitepulse.llm import arc, language, masked, mixing, pieces, search, simhash, substrings, toxicity, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +50,13 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.report(_table(spark, sf_dir, "documents"))
 
 
+def op6_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pseudo-log-likelihood of every document under a network trained on all of them."""
+    documents = _table(spark, sf_dir, "documents")
+    vocabulary, network = masked.train(documents)
+    return masked.score(documents, vocabulary, network)
+
+
 def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as ids of the public 32,000-piece vocabulary, and whether they decode to it."""
     return pieces.encoded(_table(spark, sf_dir, "documents"), pieces.load())
@@ -71,6 +78,7 @@ def queries() -> dict:
         "op3_search": (op3_search, search.SQL),
         "op4_mixing": (op4_mixing, mixing.SQL),
         "op5_simhash": (op5_simhash, None),
+        "op6_masked": (op6_masked, None),
         "op7_pieces": (op7_pieces, None),
         "op8_toxicity": (op8_toxicity, None),
         "op9_language": (op9_language, None),
