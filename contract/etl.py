@@ -159,12 +159,85 @@ def har_whole_files(spark, sf_dir):
     return pages.select("url", F.get_json_object("payload", "$.id").cast("bigint").alias("id"))
 
 
-@register(f"""SELECT 2 * count(*) AS with_body, count(*) FILTER (length(html) > {_CUT}) AS truncated_body, 0 AS skipped_pages,
-  0 AS skipped_requests, 0 AS skipped_lighthouse FROM pages WHERE {_HOME}""".replace(" 0 AS", " CAST(0 AS BIGINT) AS"))
+@register(f"""SELECT 2 * count(*) AS with_body, count(*) FILTER (length(html) > {_CUT}) AS truncated_body, CAST(0 AS BIGINT) AS skipped_pages,
+  CAST(0 AS BIGINT) AS skipped_requests, CAST(0 AS BIGINT) AS skipped_lighthouse, CAST(0 AS BIGINT) AS rejected FROM pages WHERE {_HOME}""")
 def etl_counters(spark, sf_dir):
     return har.counters(har.fan_out(har.parse(hars(spark, sf_dir)), options=_SMALL))
 
 
+# A page with a note of its size, so that a limit divides the pages; audits grow with the page number.
+_NOTED = 1000
+_NOTE = "repeat('n', CAST(page_id % 3 AS INTEGER) * 600)"
+
+
+@register(f"""WITH p AS (SELECT *, page_id % 3 = 2 AS over FROM pages WHERE {_HOME} AND page_id % 10 <> 7)
+SELECT CAST(count(*) FILTER (NOT over) AS BIGINT) AS with_body, CAST(count(*) FILTER (NOT over AND length(html) > {_NOTED}) AS BIGINT) AS truncated_body,
+  CAST(count(*) FILTER (over) AS BIGINT) AS skipped_pages, CAST(count(*) FILTER (NOT over AND page_id % 4 = 1) AS BIGINT) AS skipped_requests,
+  CAST(count(*) FILTER (NOT over AND page_id % 4 = 3) AS BIGINT) AS skipped_lighthouse,
+  (SELECT count(*) FROM pages WHERE page_id % 10 = 7) AS rejected FROM p""")
+def etl_counters_limited(spark, sf_dir):
+    """Counters of an import whose limit some pages, requests and audits exceed, with broken documents."""
+    return har.counters(har.fan_out(har.parse(noted_hars(spark, sf_dir)), options=har.HarOptions(max_size=_NOTED)))
+
+
+def noted_hars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Small documents with one entry, parts of which exceed a limit by the page's number; every tenth is cut off."""
+    doc = f"""to_json(named_struct('log', named_struct('pages', array(named_struct('_URL', url, 'note', {_NOTE}, '_metadata',
+        named_struct('tested_url', CASE WHEN {_CASE} = 3 THEN url || '#tested' END, 'crawl_depth', CASE WHEN {_CASE} = 2 THEN '1' ELSE '0' END))),
+      'entries', array(named_struct('_full_url', url, '_request_id', 'r' || page_id, 'pad', repeat('p', CASE WHEN page_id % 4 = 1 THEN 2000 ELSE 1 END),
+        'response', named_struct('content', named_struct('text', html))))),
+    '_lighthouse', named_struct('audits', repeat('a', CASE WHEN page_id % 4 = 3 THEN 2000 ELSE 1 END))))"""
+    docs = analogs.dealt(read(spark, sf_dir, "pages")).selectExpr("page_id", f"{doc} AS doc", f"'/crawls/' || {_RELEASE} || '/x.har' AS path")
+    return docs.withColumn("doc", F.expr("CASE WHEN page_id % 10 = 7 THEN substring(doc, 1, 30) ELSE doc END")).drop("page_id")
+
+
+_REJECTED = "page_id % 10 = 7"
+
+
+@register(f"""WITH d AS (SELECT page_id, {_RELEASE_COLUMNS}, html, {_REJECTED} AS bad, {_HOME} AND page_id % 3 = 2 AS over, {_HOME} AS home FROM pages),
+good AS (SELECT * FROM d WHERE home AND NOT bad AND NOT over)
+SELECT 'rejects' AS "table", 'unparsable' AS info, date, client, count(*) AS n FROM d WHERE bad GROUP BY ALL
+UNION ALL SELECT 'oversize', 'pages', date, client, count(*) FROM d WHERE over AND NOT bad GROUP BY ALL
+UNION ALL SELECT 'oversize', 'requests', date, client, count(*) FROM good WHERE page_id % 4 = 1 GROUP BY ALL
+UNION ALL SELECT 'oversize', 'lighthouse', date, client, count(*) FROM good WHERE page_id % 4 = 3 GROUP BY ALL
+UNION ALL SELECT 'oversize', 'response_bodies', date, client, count(*) FROM good WHERE length(html) > {_NOTED} GROUP BY ALL
+UNION ALL SELECT 'pages', NULL, date, client, count(*) FROM good GROUP BY ALL
+UNION ALL SELECT 'requests', NULL, date, client, count(*) FROM good WHERE page_id % 4 <> 1 GROUP BY ALL
+UNION ALL SELECT 'lighthouse', NULL, date, client, count(*) FROM good WHERE page_id % 4 <> 3 GROUP BY ALL
+UNION ALL SELECT 'response_bodies', NULL, date, client, count(*) FROM good GROUP BY ALL""")
+def har_import_rejects(spark, sf_dir):
+    """A limited import of partly broken documents: everything is in some table."""
+    target = scratch_path(spark, "har-rejects")
+    har.write_tables(har.with_release(noted_hars(spark, sf_dir)), target, har.HarOptions(max_size=_NOTED))
+    return spark.read.parquet(target).groupBy("table", "info", "date", "client").agg(F.count(F.lit(1)).alias("n"))
+
+
+_BIG = 21_000_000
+
+
+@register(f"""WITH p AS (SELECT *, page_id = (SELECT min(page_id) FROM pages WHERE {_HOME}) AS big FROM pages WHERE {_HOME})
+SELECT {_PAGE_URL} AS page, url, md5(CASE WHEN big THEN repeat('0123456789', {_BIG} // 10) ELSE html END) AS body_md5 FROM p
+UNION ALL SELECT {_PAGE_URL}, NULL, md5('') FROM p""")
+def har_large_body(spark, sf_dir):
+    """One body of 21 million characters among ordinary ones: every row is there, to the byte."""
+    pages = read(spark, sf_dir, "pages")
+    first = pages.where(_HOME).agg(F.min("page_id").alias("first"))
+    marked = pages.join(F.broadcast(first)).withColumn("html", F.expr("CASE WHEN page_id = first THEN '@large@' ELSE html END"))
+    docs = analogs.dealt(marked).selectExpr(f"{_HAR} AS doc", "url", f"'/crawls/' || {_RELEASE} || '/x.har' AS path")
+    # The digits hang on the row, so that no plan holds them as a constant.
+    large = F.expr(f"replace(doc, '@large@', repeat(concat('0123456789', left(url, 0)), {_BIG} div 10))")
+    docs = docs.select(large.alias("doc"), "path")
+    bodies = har.tables(docs)["response_bodies"]
+    return bodies.select("page", "url", F.md5(F.col("body").cast("binary")).alias("body_md5"))
+
+
+@register(f"""SELECT {_PAGE_URL} AS page, url, length(html) > {_BIG} AS truncated, 'r' || page_id AS request_id FROM pages WHERE {_HOME}
+UNION ALL SELECT {_PAGE_URL}, url || 'b.js', FALSE, 'i' || page_id FROM pages WHERE {_HOME}""")
+def har_legacy_bodies(spark, sf_dir):
+    """The older import: limits in bytes, and a request without a full URL takes its short one."""
+    return har.tables(hars(spark, sf_dir), har.LEGACY)["response_bodies"].select("page", "url", "truncated", "request_id")
+
+
 @register("""SELECT CASE WHEN page_id % 4 = 0 THEN 'unparsable' ELSE 'no page' END AS reason, count(*) AS n
 FROM pages WHERE page_id % 4 < 2 GROUP BY ALL""")
 def har_rejects(spark, sf_dir):

@@ -13,6 +13,8 @@ from pyspark.sql import Column, functions as F, types as T
 
 Path = tuple[str, ...]
 
+# Without it a member of over 20 million characters that is read makes the whole document NULL.
+ANY_LENGTH = {"maxStringLen": str(2**31 - 1)}
 NUMBER = T.DoubleType()
 ANY = T.VariantType()
 NAMED_SCORES = T.ArrayType(
@@ -42,7 +44,7 @@ def schema_for(paths: Iterable[tuple[Path, T.DataType]]) -> T.StructType:
 
 def parse(doc: Column, paths: Iterable[tuple[Path, T.DataType]]) -> Column:
     """Parse only ``paths`` of a JSON text column into a struct."""
-    return F.from_json(doc, schema_for(paths))
+    return F.from_json(doc, schema_for(paths), ANY_LENGTH)
 
 
 def member(parsed: Column, path: Path) -> Column:
@@ -93,6 +95,6 @@ def named_score(scores: Column, name: str) -> Column:
 
 
 def is_present(doc: Column) -> Column:
-    """The document is there and is not the empty object. Long documents are not searched."""
-    empty = (F.octet_length(doc) < 1024) & doc.rlike(r"^\s*\{\s*\}\s*$")
-    return doc.isNotNull() & ~empty
+    """The document is there and is not the empty object, however much white space that holds."""
+    # Possessive blanks: the pattern fails at the first other character and never steps back.
+    return doc.isNotNull() & ~doc.rlike(r"^\s*+\{\s*+\}\s*+$")

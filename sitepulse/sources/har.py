@@ -17,9 +17,12 @@ from sitepulse.sources import release as release_
 TABLES = {
     "pages": ("url", "payload"),
     "requests": ("page", "url", "payload"),
-    "response_bodies": ("page", "url", "body", "truncated"),
+    "response_bodies": ("page", "url", "body", "truncated", "request_id"),
     "lighthouse": ("url", "report"),
     "technologies": ("url", "category", "app", "info"),
+    # Documents without a usable page, and what a size limit keeps out of the other tables.
+    "rejects": ("url", "payload", "info"),
+    "oversize": ("page", "url", "payload", "info"),
 }
 
 # Every column any table has; a tagged row fills those of its own table.
@@ -29,7 +32,7 @@ ROW = (
 )
 
 # Only these members of a document and of an entry are read; the rest is kept as text.
-_DOCUMENT = "log struct<pages: array<string>, entries: array<string>>, _lighthouse string"
+_DOCUMENT = "log struct<pages: array<string>, entries: array<string>>, _lighthouse string, _corrupt string"
 _PAGE = (
     "_URL string, _metadata struct<tested_url: string, crawl_depth: string>, "
     "_detected string, _detected_apps string"
@@ -39,12 +42,16 @@ _ENTRY = (
     "response struct<content: struct<text: string>>"
 )
 
+# Strings of any length; without it a document with one of over 20 million characters reads as NULL.
+_ANY_LENGTH = {"maxStringLen": str(2**31 - 1)}
+
 
 @dataclass(frozen=True)
 class HarOptions:
     """Size limits and fallbacks of the two generations of the import."""
 
-    max_size: int = 2 * 1024 * 1024
+    # No limit unless asked for; what exceeds one goes to the table ``oversize``.
+    max_size: int | None = None
     # Sizes in UTF-8 bytes, bodies cut to what fits in a JSON row; otherwise in characters.
     in_bytes: bool = False
     # Fall back to ``url`` and then to an empty one when a request has no full URL.
@@ -52,6 +59,8 @@ class HarOptions:
 
 
 CURRENT = HarOptions()
+# The row limits of the two published generations.
+LIMITED = HarOptions(max_size=2 * 1024 * 1024)
 LEGACY = HarOptions(max_size=100 * 1024 * 1024, in_bytes=True, url_fallback=True)
 
 
@@ -76,10 +85,19 @@ def with_release(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"date": release_.release_date(name), "client": release_.release_client(name)})
 
 
+def _exceeds(size: Column, options: HarOptions) -> Column:
+    return F.lit(False) if options.max_size is None else size > F.lit(options.max_size)
+
+
 def _size(value: Column, options: HarOptions) -> Column:
     return F.octet_length(value) if options.in_bytes else F.length(value)
 
 
+def _compact(json: Column) -> Column:
+    """JSON text without blanks between members. Text with strings too long for that is kept as it is."""
+    return F.coalesce(F.get_json_object(json, "$"), F.when(F.left(json, F.lit(1)).isin("{", "["), json))
+
+
 def parse(docs: DataFrame) -> DataFrame:
     """Split each document into its page, entries and audit report, as compact JSON texts.
 
@@ -87,14 +105,15 @@ def parse(docs: DataFrame) -> DataFrame:
     ``entries``, ``report``, ``crawl_depth``, ``detected`` and ``detected_apps``. Lines that hold no
     page get NULLs.
     """
-    split = docs.withColumn("_d", F.from_json("doc", _DOCUMENT))
+    split = docs.withColumn("_d", F.from_json("doc", _DOCUMENT, _ANY_LENGTH | {"columnNameOfCorruptRecord": "_corrupt"}))
     page = split.withColumns(
         {
-            "payload": F.get_json_object(F.get(F.col("_d.log.pages"), F.lit(0)), "$"),
+            "payload": _compact(F.get(F.col("_d.log.pages"), F.lit(0))),
             "entries": F.col("_d.log.entries"),
-            "report": F.get_json_object(F.col("_d._lighthouse"), "$"),
+            "report": _compact(F.col("_d._lighthouse")),
+            "_broken": F.col("_d._corrupt").isNotNull(),
         }
-    ).withColumn("_p", F.from_json("payload", _PAGE))
+    ).withColumn("_p", F.from_json("payload", _PAGE, _ANY_LENGTH))
     return page.withColumns(
         {
             "page_url": F.coalesce(F.col("_p._metadata.tested_url"), F.col("_p._URL")),
@@ -106,25 +125,27 @@ def parse(docs: DataFrame) -> DataFrame:
     ).drop("_d", "_p")
 
 
-def rejects(docs: DataFrame) -> DataFrame:
-    """Documents without a usable page, with the reason."""
-    reason = (
-        F.when(F.expr("try_parse_json(doc)").isNull(), "unparsable")
+def reject_reason() -> Column:
+    """Why a parsed document has no usable page, or NULL."""
+    return (
+        F.when(F.col("_broken") & F.expr("try_parse_json(doc)").isNull(), "unparsable")
         .when(F.col("payload").isNull() | (F.col("payload") == "{}"), "no page")
         .when(F.coalesce(F.col("page_url"), F.lit("")) == "", "no url")
     )
-    return parse(docs).select("path", "doc", reason.alias("reason")).where(F.col("reason").isNotNull())
+
+
+def rejects(docs: DataFrame) -> DataFrame:
+    """Documents without a usable page, with the reason."""
+    return parse(docs).select("path", "doc", reject_reason().alias("reason")).where(F.col("reason").isNotNull())
 
 
 def home_pages(parsed: DataFrame) -> DataFrame:
     """Documents of home pages with a usable page. A document without metadata is a home page."""
-    depth = F.coalesce(F.col("crawl_depth"), F.lit(""))
-    return parsed.where(
-        F.col("payload").isNotNull()
-        & (F.col("payload") != "{}")
-        & (F.coalesce(F.col("page_url"), F.lit("")) != "")
-        & depth.isin("", "0", "false")
-    )
+    return parsed.where(reject_reason().isNull() & _is_home())
+
+
+def _is_home() -> Column:
+    return F.coalesce(F.col("crawl_depth"), F.lit("")).isin("", "0", "false")
 
 
 def detected_technologies(detected: Column, detected_apps: Column) -> Column:
@@ -134,7 +155,7 @@ def detected_technologies(detected: Column, detected_apps: Column) -> Column:
     name and an info. An id no app accounts for is itself the app. A list in place of the apps map
     means nothing was detected.
     """
-    apps = F.map_entries(F.from_json(detected_apps, "map<string,string>"))
+    apps = F.map_entries(F.from_json(detected_apps, "map<string,string>", _ANY_LENGTH))
     ids = F.flatten(
         F.transform(
             F.filter(apps, lambda a: F.length(a["value"]) > 0),
@@ -151,7 +172,7 @@ def detected_technologies(detected: Column, detected_apps: Column) -> Column:
     )
     known = F.coalesce(ids, F.array().cast("array<struct<id: string, app: string>>"))
     categories = F.filter(
-        F.map_entries(F.from_json(detected, "map<string,string>")), lambda c: c["value"].isNotNull()
+        F.map_entries(F.from_json(detected, "map<string,string>", _ANY_LENGTH)), lambda c: c["value"].isNotNull()
     )
 
     def row(category: Column, id: Column) -> Column:
@@ -189,14 +210,17 @@ def fan_out(parsed: DataFrame, tables: Sequence[str] = tuple(TABLES), options: H
     Rows over the size limit stay, marked ``skipped``, so they can be counted; ``table_of`` and
     the writer leave them out. Other columns of the documents (date, client) are carried along.
     """
-    docs = home_pages(parsed)
+    reason = reject_reason()
+    if "rejects" in tables:
+        docs = parsed.withColumn("_reason", reason).where(F.col("_reason").isNotNull() | _is_home())
+    else:
+        docs = home_pages(parsed).withColumn("_reason", F.lit(None).cast("string"))
     carried = [c for c in ("date", "client", "path") if c in parsed.columns]
-    limit = F.lit(options.max_size)
     url = F.col("page_url")
     page_size = _size(F.col("payload"), options)
     if options.in_bytes:
         page_size = page_size + F.octet_length(url)
-    page_fits = page_size <= limit
+    page_fits = ~_exceeds(page_size, options)
 
     # First level: one row per page, report, technology and entry.
     part = "kind: string, url: string, category: string, app: string, info: string, text: string"
@@ -231,13 +255,17 @@ def fan_out(parsed: DataFrame, tables: Sequence[str] = tuple(TABLES), options: H
                 lambda e: item("entry", url, e),
             )
         )
-    # A page over the limit takes everything of its document with it; only its skip is counted.
-    over = F.array(item("pages", url, F.lit(None))) if "pages" in tables else F.array().cast(f"array<struct<{part}>>")
-    items = docs.select(
-        *carried,
-        page_fits.alias("_fits"),
-        F.explode(F.when(page_fits, F.concat(*pieces)).otherwise(over)).alias("i"),
+    none = F.array().cast(f"array<struct<{part}>>")
+    # A page over the limit takes its whole document along, which is kept as it was given.
+    over = F.array(item("pages", url, F.col("doc"))) if "pages" in tables else none
+    source = F.col("path") if "path" in parsed.columns else F.lit(None).cast("string")
+    rejected = F.array(item("rejects", source, F.col("doc"), info=F.col("_reason")))
+    of_document = (
+        F.when(F.col("_reason").isNotNull(), rejected if "rejects" in tables else none)
+        .when(page_fits, F.concat(*pieces) if pieces else none)
+        .otherwise(over)
     )
+    items = docs.select(*carried, page_fits.alias("_fits"), F.explode(of_document).alias("i"))
 
     # Second level: an entry gives a request and a body.
     kind, of = F.col("i.kind"), F.col("i.url")
@@ -248,7 +276,7 @@ def fan_out(parsed: DataFrame, tables: Sequence[str] = tuple(TABLES), options: H
             text.drop_json_member(F.when(kind == "lighthouse", F.col("i.text")), "audits", "screenshot-thumbnails", "details", "items"),
         )
     if wants_entries:
-        rows = rows.withColumn("_e", F.when(kind == "entry", F.from_json(F.col("i.text"), _ENTRY)))
+        rows = rows.withColumn("_e", F.when(kind == "entry", F.from_json(F.col("i.text"), _ENTRY, _ANY_LENGTH)))
         if "requests" in tables:
             rows = rows.withColumn(
                 "_payload",
@@ -264,13 +292,17 @@ def fan_out(parsed: DataFrame, tables: Sequence[str] = tuple(TABLES), options: H
             size = size + F.octet_length(of)
         tagged["lighthouse"] = _row(
             table=F.lit("lighthouse"), url=of, report=F.col("_report"),
-            skipped=F.coalesce(size > limit, F.lit(True)),
+            skipped=F.coalesce(_exceeds(size, options), F.lit(True)),
         )
     if "technologies" in tables:
         tagged["technologies"] = _row(
             table=F.lit("technologies"), url=of, category=F.col("i.category"), app=F.col("i.app"),
             info=F.col("i.info"), skipped=F.lit(False),
         )
+    if "rejects" in tables:
+        tagged["rejects"] = _row(
+            table=F.lit("rejects"), url=of, payload=F.col("i.text"), info=F.col("i.info"), skipped=F.lit(False)
+        )
     choices = None
     for name in tagged:
         if name in tables:
@@ -297,13 +329,15 @@ def _entry_rows(page: Column, tables: Sequence[str], options: HarOptions) -> lis
                 payload.isNotNull(),
                 _row(
                     table=F.lit("requests"), page=page, url=url, payload=payload, request_id=request_id,
-                    skipped=_size(payload, options) > F.lit(options.max_size),
+                    skipped=_exceeds(_size(payload, options), options),
                 ),
             )
         )
     if "response_bodies" in tables:
         body = entry["response"]["content"]["text"]
-        if options.in_bytes:
+        if options.max_size is None:
+            cut = body
+        elif options.in_bytes:
             budget = F.lit(options.max_size - 128) - F.octet_length(page) - F.octet_length(F.coalesce(url, F.lit("")))
             cut = text.fit_json_bytes(body, budget)
         else:
@@ -317,22 +351,45 @@ def _entry_rows(page: Column, tables: Sequence[str], options: HarOptions) -> lis
                 ),
             )
         )
+        if "oversize" in tables and options.max_size is not None:
+            whole = _row(
+                table=F.lit("oversize"), page=page, url=url, payload=body, info=F.lit("response_bodies"), skipped=F.lit(False)
+            )
+            found.append(F.when(F.length(cut) < F.length(body), whole))
     return found
 
 
+def settled(rows: DataFrame) -> DataFrame:
+    """Tagged rows as they are stored: those over the limit belong to ``oversize``, with their table as ``info``.
+
+    A page over the limit keeps its whole document, a request or audit its JSON.
+    """
+    over = F.col("skipped")
+    changed = {
+        "info": F.when(over, F.col("table")).otherwise(F.col("info")),
+        "payload": F.when(over, F.coalesce("payload", "report")).otherwise(F.col("payload")),
+        "report": F.when(~over, F.col("report")),
+        "table": F.when(over, "oversize").otherwise(F.col("table")),
+    }
+    # An audit without a readable report is nothing to keep.
+    return rows.where(~over | F.coalesce("payload", "report").isNotNull()).withColumns(changed).drop("skipped")
+
+
 def table_of(rows: DataFrame, name: str, extra: Sequence[str] = ()) -> DataFrame:
-    """One of the five tables from tagged rows."""
+    """One of the tables from tagged rows."""
+    if name == "oversize":
+        return settled(rows).where(F.col("table") == name).select(*TABLES[name], *extra)
     return rows.where((F.col("table") == name) & ~F.col("skipped")).select(*TABLES[name], *extra)
 
 
 def tables(docs: DataFrame, options: HarOptions = CURRENT) -> dict[str, DataFrame]:
-    """The five tables, each computed on its own from the documents it needs."""
+    """The tables, each computed on its own from the documents it needs."""
     parsed = parse(docs)
-    return {name: table_of(fan_out(parsed, (name,), options), name) for name in TABLES}
+    return {name: table_of(fan_out(parsed, tuple(TABLES) if name == "oversize" else (name,), options), name) for name in TABLES}
 
 
 def counter_columns() -> list[Column]:
-    """What the import counts: bodies, cut bodies, and rows over the size limit."""
+    """What the import counts: bodies, cut bodies, rows over the size limit, and documents set aside."""
 
     def count(condition: Column) -> Column:
         return F.count_if(condition)
@@ -344,6 +401,7 @@ def counter_columns() -> list[Column]:
         count((table == "pages") & skipped).alias("skipped_pages"),
         count((table == "requests") & skipped).alias("skipped_requests"),
         count((table == "lighthouse") & skipped).alias("skipped_lighthouse"),
+        count(table == "rejects").alias("rejected"),
     ]
 
 
@@ -354,16 +412,17 @@ def counters(rows: DataFrame) -> DataFrame:
 def write_tables(
     docs: DataFrame, path: str, options: HarOptions = CURRENT, mode: str = "append", max_rows_per_file: int = 0
 ) -> dict[str, int]:
-    """Write all five tables below ``path`` in one pass; returns the counters.
+    """Write all tables below ``path`` in one pass; returns the counters.
 
     ``docs`` carries ``date`` and ``client``. ``append`` adds rows, ``overwrite`` replaces the
-    (table, date, client) partitions at hand.
+    (table, date, client) partitions at hand. Rejected documents and what is over a size limit go to tables
+    of their own, so every home page and every broken document is in some table.
     """
     seen = Observation("har import")
     rows = fan_out(parse(docs), options=options).observe(seen, *counter_columns())
     (
-        rows.where(~F.col("skipped"))
-        .drop("skipped", "path")
+        settled(rows)
+        .drop("path")
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_rows_per_file)

@@ -18,6 +18,9 @@ def ingest_hars(
 ) -> StreamingQuery:
     """Import every new HAR file below ``source/<release>/`` and stop.
 
+    ``source`` may be a glob, such as one release's folder, so a run lists only that. Rejected documents and rows
+    over a size limit go to tables of their own.
+
     The checkpoint remembers the files done, and the file sink commits each batch once, so a run
     repeated after a failure neither loses nor doubles a document. Both folders have to be shared
     by the cluster.
@@ -30,8 +33,8 @@ def ingest_hars(
     )
     rows = har.fan_out(har.parse(har.with_release(lines)), options=options)
     return (
-        rows.where(~F.col("skipped"))
-        .drop("skipped", "path")
+        har.settled(rows)
+        .drop("path")
         .writeStream.format("parquet")
         .option("path", target)
         .option("checkpointLocation", checkpoint)

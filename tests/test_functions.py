@@ -71,6 +71,8 @@ def test_other_json_reads(spark):
     assert one(spark, jsoncols.array_at(F.col("v"), "a"), v=("string", '{"a":["x",null]}')) == ["x", None]
     assert one(spark, jsoncols.array_at(F.col("v"), "a"), v=("string", '{"a":{}}')) is None
     assert [one(spark, jsoncols.is_present(F.col("v")), v=("string", d)) for d in ("{}", " { }", '{"a":1}', None)] == [False, False, True, False]
+    wide = ["{" + " " * 1500 + "}", "\n" * 1500 + "{}\n", "{" + " " * 1500 + '"a":1}']
+    assert [one(spark, jsoncols.is_present(F.col("v")), v=("string", d)) for d in wide] == [False, False, True]
 
 
 def test_scalars(spark):

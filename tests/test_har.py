@@ -44,7 +44,7 @@ def test_entries(spark):
         ("http://a/", None, '{"url":"http://a/2","response":{"content":{}}}'),
     ]
     assert rows(spark, "response_bodies", document(entries=entries)) == [
-        ("http://a/", "http://a/1", 'a"é\n', False), ("http://a/", None, "", False)]
+        ("http://a/", "http://a/1", 'a"é\n', False, ""), ("http://a/", None, "", False, "")]
     legacy = rows(spark, "requests", document(entries=entries), options=har.LEGACY)
     assert legacy[1][1] == "http://a/2"
 
@@ -54,20 +54,35 @@ def test_size_limits(spark):
     long_body = {"_full_url": "u", "response": {"content": {"text": "é" * 100}}}
     long_request = {"_full_url": "u" * 60, "response": {"content": {}}}
     doc = document(entries=[long_body, long_request])
-    assert rows(spark, "response_bodies", doc, options=small) == [("http://a/", "u", "é" * 60, True)]
+    assert rows(spark, "response_bodies", doc, options=small) == [("http://a/", "u", "é" * 60, True, "")]
     assert [r[1] for r in rows(spark, "requests", doc, options=small)] == ["u"]
     # An oversize page takes its document with it.
     big = document({"pad": "x" * 60}, [long_body])
     assert rows(spark, "pages", big, options=small) == rows(spark, "requests", big, options=small) == []
     counted = har.counters(har.fan_out(har.parse(docs(spark, doc, big)), options=small)).first().asDict()
-    assert counted == {"with_body": 1, "truncated_body": 1, "skipped_pages": 1, "skipped_requests": 1, "skipped_lighthouse": 0}
+    assert counted == {"with_body": 1, "truncated_body": 1, "skipped_pages": 1, "skipped_requests": 1, "skipped_lighthouse": 0, "rejected": 0}
+
+
+def test_what_a_limit_cuts_is_kept(spark):
+    small = har.HarOptions(max_size=60)
+    long_body = {"_full_url": "u", "response": {"content": {"text": "é" * 100}}}
+    long_request = {"_full_url": "u" * 60, "response": {"content": {}}}
+    doc, big = document(entries=[long_body, long_request]), document({"pad": "x" * 60}, [long_body])
+    over = {r[3]: r for r in rows(spark, "oversize", doc, big, options=small)}
+    assert over["response_bodies"][2] == "é" * 100
+    assert json.loads(over["requests"][2])["_full_url"] == "u" * 60
+    assert json.loads(over["pages"][2]) == big
+    # Without a limit nothing is cut, and no string is too long to be read.
+    (body,) = rows(spark, "response_bodies", document(entries=[{"_full_url": "u", "response": {"content": {"text": "b" * 20_000_001}}}]))
+    assert len(body[2]) == 20_000_001 and not body[3]
+    assert rows(spark, "oversize", doc, big) == []
 
 
 def test_body_cut_in_bytes(spark):
     options = har.HarOptions(max_size=128 + 9 + 1 + 10, in_bytes=True)
     entry = {"_full_url": "u", "response": {"content": {"text": 'é"aaaaaaaa'}}}
     small_page = document(entries=[entry])
-    ((_, _, body, cut),) = rows(spark, "response_bodies", small_page, options=options)
+    ((_, _, body, cut, _),) = rows(spark, "response_bodies", small_page, options=options)
     assert (body, cut) == ('é"aaaaa', True)  # 2 + 3 + 5 bytes
 
 
@@ -92,6 +107,10 @@ def test_lighthouse(spark):
 def test_rejects(spark):
     found = har.rejects(docs(spark, "{bad", {"log": {"pages": [], "entries": []}}, {"log": {"pages": [{"x": 1}]}}, document()))
     assert sorted(r.reason for r in found.collect()) == ["no page", "no url", "unparsable"]
+    long = {"log": {"pages": [{"x": "y" * 20_000_001}]}}
+    assert [r.reason for r in har.rejects(docs(spark, long)).collect()] == ["no url"]
+    stored = rows(spark, "rejects", "{bad", document())
+    assert stored == [("/crawls/chrome-Mar_1_2020/f", "{bad", "unparsable")]
 
 
 def test_written_once_and_read_back(spark, tmp_path):
