@@ -408,7 +408,7 @@ entries AS (SELECT *, 'http://' || CASE WHEN page_id % 3 = 0 THEN 'www.' ELSE ''
 kept AS (SELECT page_id, 'site' || (size % 50) || '.' || split_part(d, '.', 2) AS domain, entry FROM entries WHERE page_id % 7 > 1),
 g AS (SELECT domain, list('Top/' || page_id % 11 ORDER BY page_id) AS topics, arg_min(entry, page_id) AS url, arg_min('t' || page_id, page_id) AS title FROM kept GROUP BY domain),
 ranked AS (SELECT 'site' || r || '.' || s AS domain, r * 3 + length(s) AS rank FROM (SELECT DISTINCT size % 50 AS r, split_part(d, '.', 2) AS s FROM e UNION SELECT 99, 'com'))
-SELECT ranked.domain AS alexa_domain, CAST(ranked.rank AS BIGINT) AS alexa_rank, array_to_string(coalesce(topics, []), '|') AS topics, g.url AS dmoz_url, title AS dmoz_title
+SELECT ranked.domain AS alexa_domain, CAST(ranked.rank AS BIGINT) AS alexa_rank, CAST(0 AS INTEGER) AS part, array_to_string(coalesce(topics, []), '|') AS topics, g.url AS dmoz_url, title AS dmoz_title
 FROM ranked LEFT JOIN g USING (domain)""")
 def rank_directory_join(spark, sf_dir):
     """Domains ranked by a made-up key, joined to directory entries derived from the web pages."""
@@ -431,9 +431,29 @@ def rank_directory_join(spark, sf_dir):
         F.lit("").alias("description"),
         F.concat(F.lit("Top/"), F.col("page_id") % 11).alias("topic"),
     )
-    joined = directory.ranked_directory(ranked, entries)
+    # A domain listed twice keeps its last rank.
+    twice = ranked.unionByName(ranked.where("alexa_rank % 4 = 0").withColumn("alexa_rank", F.col("alexa_rank") - 1))
+    joined = directory.ranked_directory(twice, entries)
     return joined.select(
-        "alexa_domain", "alexa_rank", F.array_join("dmoz_topic", "|").alias("topics"), "dmoz_url", "dmoz_title"
+        "alexa_domain", "alexa_rank", "part", F.array_join("dmoz_topic", "|").alias("topics"), "dmoz_url", "dmoz_title"
+    )
+
+
+@register("""SELECT CASE WHEN page_id % 4 = 0 THEN 'hot.example' ELSE 'd' || page_id || '.example' END AS domain, count(*) AS topics,
+  CAST(sum(page_id) AS BIGINT) AS total FROM pages GROUP BY ALL""")
+def rank_directory_parts(spark, sf_dir):
+    """A domain with a quarter of all entries, in rows of a few topics: none is lost, none comes twice."""
+    pages = read(spark, sf_dir, "pages").select("page_id")
+    name = F.expr("CASE WHEN page_id % 4 = 0 THEN 'hot.example' ELSE 'd' || page_id || '.example' END")
+    ranked = pages.select(name.alias("alexa_domain"), F.col("page_id").alias("alexa_rank"))
+    entries = pages.select(
+        F.col("page_id").alias("position"), F.concat(F.lit("http://"), name, F.lit("/")).alias("url"),
+        F.lit("t").alias("title"), F.lit("").alias("description"), F.col("page_id").cast("string").alias("topic"),
+    )
+    rows = directory.ranked_directory(ranked, entries, topics_per_row=5)
+    each = rows.select("alexa_domain", "part", F.explode("dmoz_topic").alias("t"))
+    return each.groupBy(F.col("alexa_domain").alias("domain")).agg(
+        F.count(F.lit(1)).alias("topics"), F.sum(F.col("t").cast("bigint")).alias("total")
     )
 
 
@@ -690,6 +710,13 @@ def one_scan_rum_series(spark, sf_dir):
     return long.withColumn("percent", F.round("percent", 8))
 
 
+@register(_long_histograms([x.name for x in m.RUM_HISTOGRAMS], _ALL_LENSES))
+def one_scan_rum_histograms(spark, sf_dir):
+    """Every real-user histogram through all lenses, from one pass and one join."""
+    long = histograms.histograms(analogs.tables(spark, sf_dir), list(m.RUM_HISTOGRAMS), lenses.select(lenses.ALL))
+    return long.withColumns({"volume": F.round("volume", 6), "pdf": F.round("pdf", 8), "cdf": F.round("cdf", 8)})
+
+
 @register(_long_histograms(["bytesTotal", "tcp"], ["base"]))
 def typed_facts(spark, sf_dir):
     """Histograms from page facts extracted once into a typed table."""

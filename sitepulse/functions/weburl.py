@@ -16,29 +16,39 @@ TWO_PART_SUFFIXES = (
 )
 
 
+# Authority without user info and port, in one expression.
+_HOST = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//(?:[^/?#]*@)?([^/?#@]*?)(?::\d*)?(?=[/?#]|$)"
+
+
 def host(url: Column) -> Column:
     """Lower-case host, without user info and port. Works on URLs a strict parser rejects."""
-    authority = F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)", 1)
-    name = F.regexp_replace(F.regexp_replace(authority, r"^.*@", ""), r":\d*$", "")
-    return F.lower(name)
+    return F.lower(F.regexp_extract(url, _HOST, 1))
 
 
-def registered_domain(url: Column, suffixes: tuple[str, ...] = TWO_PART_SUFFIXES) -> Column:
-    """Public suffix plus one label; the host itself when it has fewer labels or is an address."""
-    name = host(url)
+def _domain_of(name: Column, suffixes: tuple[str, ...]) -> Column:
     last_two = F.substring_index(name, ".", -2)
     domain = F.when(last_two.isin(*suffixes), F.substring_index(name, ".", -3)).otherwise(last_two)
     return F.when(name.rlike(r"^\d+(\.\d+){3}$"), name).otherwise(domain)
 
 
+def _once(value: Column, of) -> Column:
+    """``of(value)`` with ``value`` bound to a name, so that it is computed once and its code stands once."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
+def registered_domain(url: Column, suffixes: tuple[str, ...] = TWO_PART_SUFFIXES) -> Column:
+    """Public suffix plus one label; the host itself when it has fewer labels or is an address."""
+    return _once(host(url), lambda name: _domain_of(name, suffixes))
+
+
 def subdomain(url: Column, suffixes: tuple[str, ...] = TWO_PART_SUFFIXES) -> Column:
     """What stands before the registered domain; empty when nothing does."""
-    name = host(url)
-    domain = registered_domain(url, suffixes)
-    return F.when(
-        F.length(name) > F.length(domain),
-        F.substring(name, F.lit(1), F.length(name) - F.length(domain) - 1),
-    ).otherwise(F.lit(""))
+
+    def before(name: Column) -> Column:
+        rest = F.length(name) - F.length(_domain_of(name, suffixes)) - 1
+        return F.when(rest > 0, F.left(name, rest)).otherwise(F.lit(""))
+
+    return _once(host(url), before)
 
 
 def path(url: Column) -> Column:

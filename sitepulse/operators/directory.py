@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sitepulse.functions import weburl
 
-# Topics one output row holds at most; a domain listed more often takes several rows.
+# Topics one row holds, about; a domain listed more often takes several rows, told apart by ``part``.
 TOPICS_PER_ROW = 10_000
+# Ways a domain's entries are dealt before they meet the number of its parts.
+_SALTS = 64
 
 
 def is_home_page(url: Column) -> Column:
@@ -20,31 +22,43 @@ def is_home_page(url: Column) -> Column:
     )
 
 
+def _ranked_once(ranked: DataFrame) -> DataFrame:
+    """One row per domain; of several ranks the last, which is the highest, counts."""
+    return ranked.groupBy("alexa_domain").agg(F.max(F.col("alexa_rank").cast("bigint")).alias("alexa_rank"))
+
+
+def _home_pages(entries: DataFrame) -> DataFrame:
+    return entries.where(is_home_page(F.col("url"))).withColumn("_domain", weburl.registered_domain(F.col("url")))
+
+
 def ranked_directory(ranked: DataFrame, entries: DataFrame, topics_per_row: int = TOPICS_PER_ROW) -> DataFrame:
-    """Every ranked domain with the topics of its home page and the first entry's texts.
+    """Every ranked domain and ``part`` with the topics of its home page and the first entry's texts.
 
-    Topics come in entry order. A domain with more entries than one row may hold is split over
-    rows by the hash of their position, so no task collects an unbounded list and no topic is lost.
+    (domain, part) is the key at any size. Topics come in entry order; a domain with more entries than
+    one row may hold is split over parts by the hash of their position, so no task collects an
+    unbounded list and no topic is lost. A domain without entries has part 0 and no topics.
     """
-    home = entries.where(is_home_page(F.col("url"))).withColumn("_domain", weburl.registered_domain(F.col("url")))
-    first = home.groupBy("_domain").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min(F.struct("position", "url", "title", "description")).alias("_first"),
-    )
-    # Few domains, if any, need splitting: a filtered aggregate, broadcast when small.
-    large = first.where(F.col("_n") > topics_per_row).select(
-        "_domain", F.ceil(F.col("_n") / F.lit(topics_per_row)).alias("_parts")
-    )
-    part = F.pmod(F.xxhash64("position"), F.coalesce(F.col("_parts"), F.lit(1)))
+    home = _home_pages(entries)
+    # The first entry by its position alone, which has a fixed width; its texts are fetched after.
+    counted = home.groupBy("_domain").agg(F.count(F.lit(1)).alias("_n"), F.min("position").alias("_position"))
+    parts = counted.select("_domain", "_position", F.ceil(F.col("_n") / F.lit(topics_per_row)).alias("_parts"))
+    # Entries of one domain meet the number of its parts under several salts, never in one task.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_salt")
+    salted = home.withColumn("_salt", F.pmod(F.xxhash64("position"), F.lit(_SALTS)).cast("int"))
     topics = (
-        home.join(large, "_domain", "left")
-        .groupBy("_domain", part.alias("_part"))
-        .agg(F.sort_array(F.collect_list(F.struct("position", "topic"))).alias("_topics"))
+        salted.join(parts.select("_domain", "_parts", "_position", salts), ["_domain", "_salt"])
+        .groupBy("_domain", F.pmod(F.xxhash64("position", F.lit("part")), F.col("_parts")).cast("int").alias("part"))
+        .agg(
+            F.sort_array(F.collect_list(F.struct("position", "topic"))).alias("_topics"),
+            F.any_value(F.when(F.col("position") == F.col("_position"), F.struct("url", "title", "description")), True).alias("_own"),
+        )
     )
-    found = topics.join(first, "_domain")
-    return ranked.join(found, F.col("alexa_domain") == F.col("_domain"), "left").select(
+    first = topics.where(F.col("_own").isNotNull()).select("_domain", F.col("_own").alias("_first"))
+    found = topics.drop("_own").join(first, "_domain")
+    return _ranked_once(ranked).join(found, F.col("alexa_domain") == F.col("_domain"), "left").select(
         "alexa_domain",
-        F.col("alexa_rank").cast("bigint").alias("alexa_rank"),
+        "alexa_rank",
+        F.coalesce("part", F.lit(0)).alias("part"),
         F.coalesce(F.transform("_topics", lambda t: t["topic"]), F.array().cast("array<string>")).alias("dmoz_topic"),
         F.col("_first.url").alias("dmoz_url"),
         F.col("_first.title").alias("dmoz_title"),
@@ -54,7 +68,7 @@ def ranked_directory(ranked: DataFrame, entries: DataFrame, topics_per_row: int
 
 def domain_topics(ranked: DataFrame, entries: DataFrame) -> DataFrame:
     """The same join in long form: one row per ranked domain and directory entry."""
-    home = entries.where(is_home_page(F.col("url"))).withColumn("_domain", weburl.registered_domain(F.col("url")))
-    return ranked.join(home, F.col("alexa_domain") == F.col("_domain")).select(
+    home = _home_pages(entries)
+    return _ranked_once(ranked).join(home, F.col("alexa_domain") == F.col("_domain")).select(
         "alexa_domain", "alexa_rank", "position", "topic", "url", "title", "description"
     )

@@ -150,13 +150,37 @@ def _with_rum_mask(rows: DataFrame, pages: DataFrame | None, lenses: Sequence[Le
     return rows.withColumn("mask", bits)
 
 
-def _rum_volumes(rows: DataFrame, metrics: Sequence[m.RumHistogram], lenses: Sequence[Lens], edge: str) -> DataFrame:
-    """Volume per bin of metrics whose bin edges share the type ``edge``.
+# Bin edges of all metrics in one exact type: whole billionths. Milliseconds and layout shifts both fit.
+_UNIT = 10**9
 
-    Densities are summed per given bin and combination of lenses first; only those sums are spread
-    over lenses and finer steps.
+
+def _billionths(edge: Column) -> Column:
+    return (edge.cast("decimal(28,9)") * F.lit(_UNIT)).cast("bigint")
+
+
+def _from_billionths(edge: str) -> Column:
+    """The double nearest to the edge."""
+    whole = F.expr(f"{edge} div {_UNIT}").cast("double")
+    return F.when(F.col(edge) % _UNIT == 0, whole).otherwise(F.col(edge).cast("double") / F.lit(float(_UNIT)))
+
+
+def _rum_volumes(rows: DataFrame, metrics: Sequence[m.RumHistogram], lenses: Sequence[Lens]) -> DataFrame:
+    """Volume per bin of every metric, from one pass over the rows.
+
+    Densities are summed per given bin and combination of lenses, then per lens; only those sums are spread over
+    finer steps.
     """
-    given = F.array(*[F.col(f"{metric.path}.histogram.bin") for metric in metrics])
+    given = F.array(
+        *[
+            F.transform(
+                F.col(f"{metric.path}.histogram.bin"),
+                lambda b: F.struct(
+                    _billionths(b["start"]).alias("start"), _billionths(b["end"]).alias("end"), b["density"].cast("double").alias("density")
+                ),
+            )
+            for metric in metrics
+        ]
+    )
     by = ["mask", "number", "yyyymm", "client"]
     each = rows.select(
         "mask",
@@ -168,24 +192,27 @@ def _rum_volumes(rows: DataFrame, metrics: Sequence[m.RumHistogram], lenses: Seq
     if len(lenses) == 1:
         summed = summed.withColumn("lens", F.lit(lenses[0].name))
     else:
-        summed = lenses_.unmask(summed, lenses)
+        merged = ["lens", "metric", "yyyymm", "client", "start", "end"]
+        summed = lenses_.unmask(summed, lenses).groupBy(*merged).agg(F.sum("density").alias("density"))
     summed = summed.withColumn("date", scalar.month_date(F.col("yyyymm")))
 
-    def per_metric(value: str) -> Column:
-        values = F.array(*[F.lit(getattr(metric, value)) for metric in metrics])
+    def per_metric(value: str, unit: int | None = None) -> Column:
+        of = [getattr(metric, value) for metric in metrics]
+        scaled = of if unit is None else [None if x is None else round(float(x) * unit) for x in of]
+        values = F.array(*[F.lit(x).cast("bigint") if unit else F.lit(x) for x in scaled])
         names = F.array(*[F.lit(metric.name) for metric in metrics])
         return F.get(values, (F.array_position(names, F.col("metric")) - 1).cast("int"))
 
     steps = rum.spread(
-        F.col("start"), F.col("end"), F.col("density"), per_metric("width"), per_metric("clamp"), edge
+        F.col("start"), F.col("end"), F.col("density"), per_metric("width", _UNIT), per_metric("clamp", _UNIT), "bigint"
     )
-    kept = F.array(F.struct(F.col("start").cast(edge).alias("start"), F.col("density").alias("density")))
-    pieces = F.when(per_metric("width").isNotNull(), steps).otherwise(kept)
+    kept = F.array(F.struct(F.col("start").alias("start"), F.col("density").alias("density")))
+    pieces = F.when(per_metric("width", _UNIT).isNotNull(), steps).otherwise(kept)
     return (
         summed.select(*KEYS, F.explode(pieces).alias("s"))
         .groupBy(*KEYS, F.col("s.start").alias("start"))
         .agg(F.sum("s.density").alias("volume"))
-        .withColumn("bin", F.col("start").cast("double") / per_metric("scale"))
+        .withColumn("bin", _from_billionths("start") / per_metric("scale"))
         .drop("start")
     )
 
@@ -202,13 +229,7 @@ def rum_histograms(
         rows = rows.where(F.col("yyyymm").isin(*[int(d[:4] + d[5:7]) for d in dates]))
     by_site = any(lens.technology is not None for lens in lenses)
     pages = _on_dates(tables.pages, dates) if by_site else None
-    masked = _with_rum_mask(rows, pages, lenses)
-    volumes = None
-    for exact, edge in ((False, "bigint"), (True, "decimal(38,9)")):
-        alike = [metric for metric in metrics if metric.exact_edges == exact]
-        if alike:
-            part = _rum_volumes(masked, alike, lenses, edge)
-            volumes = part if volumes is None else volumes.unionByName(part)
+    volumes = _rum_volumes(_with_rum_mask(rows, pages, lenses), metrics, lenses)
     return histogram.pdf_cdf(volumes, KEYS).select(*COLUMNS)
 
 
