@@ -318,8 +318,12 @@ def _dump_lines(spark: SparkSession, sf_dir: str, bad_from: int | None = None) -
         F.col("o_orderkey").cast("string"),
         F.expr(f"CASE WHEN o_orderkey % 5 = 0 THEN '{chr(92) * 2}N' ELSE '\"na {quote}' || o_custkey || '{quote} x\"' END"),
         F.expr(f"CASE WHEN o_orderkey % 7 = 0 THEN '\"one{chr(92) * 2}\\ntwo\"' ELSE '\"' || o_orderpriority || ', x\"' END"),
-        F.expr(f"CASE WHEN o_orderkey % 3 = 0 THEN '{chr(92) * 2}N' ELSE CAST(o_totalprice AS STRING) END"),
-        F.expr("CASE WHEN o_orderkey % 2 = 0 THEN '1' ELSE '0' END"),
+        # A break outside of quotes parts two fields, as the comma it becomes.
+        F.concat(
+            F.expr(f"CASE WHEN o_orderkey % 3 = 0 THEN '{chr(92) * 2}N' ELSE CAST(o_totalprice AS STRING) END"),
+            F.expr(f"CASE WHEN o_orderkey % 4 = 0 THEN '{chr(92) * 2}\n' ELSE ',' END"),
+            F.expr("CASE WHEN o_orderkey % 2 = 0 THEN '1' ELSE '0' END"),
+        ),
     )
     return read(spark, sf_dir, "orders").select(line.alias("value"))
 
@@ -340,6 +344,22 @@ def csv_load(spark, sf_dir):
     return spark.read.parquet(target)
 
 
+@register("""SELECT 'bad ' || o_orderkey || ',x,y,z,0' AS line FROM orders WHERE o_orderkey % 50 = 0
+UNION ALL SELECT o_orderkey || ',too,few' FROM orders WHERE o_orderkey % 50 = 1""")
+def csv_rejects(spark, sf_dir):
+    """Rows that do not fit are kept as they came, and the plain files are cut into blocks."""
+    dump, kept = scratch_path(spark, "csv"), scratch_path(spark, "csv-rejects")
+    orders = read(spark, sf_dir, "orders")
+    bad = F.when(F.col("o_orderkey") % 50 == 0, F.concat(F.lit("bad "), F.col("o_orderkey"), F.lit(",x,y,z,0"))).otherwise(
+        F.concat(F.col("o_orderkey"), F.lit(",too,few"))
+    )
+    broken = orders.where("o_orderkey % 50 < 2").select(bad.alias("value"))
+    _dump_lines(spark, sf_dir).unionByName(broken).write.text(dump)
+    schema = spark.createDataFrame([], _DUMP_SCHEMA).schema
+    csvdump.load_dump(spark, dump, schema, max_bad=10**9, rejects=kept)
+    return spark.read.parquet(kept).select("line")
+
+
 @register("""SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey FROM lineitem GROUP BY ALL""")
 def dedup_keys(spark, sf_dir):
     items = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
@@ -359,8 +379,8 @@ def _slices(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(f"SELECT {_ORDER_SLICE} FROM orders UNION ALL SELECT {_ORDER_SLICE} FROM orders WHERE year(o_orderdate) = 1996")
 def write_append(spark, sf_dir):
     path, rows = scratch_path(spark, "append"), _slices(spark, sf_dir)
-    rows.write.mode("append").partitionBy("date").parquet(path)
-    rows.where(F.year("date") == 1996).write.mode("append").partitionBy("date").parquet(path)
+    csvdump.write_slices(rows, path, ("date",))
+    csvdump.write_slices(rows.where(F.year("date") == 1996), path, ("date",))
     return spark.read.parquet(path).select("o_orderkey", "o_totalprice", "date")
 
 
@@ -369,17 +389,17 @@ FROM (SELECT {_ORDER_SLICE} FROM orders)""")
 def write_overwrite(spark, sf_dir):
     """Replaces only the partitions of one year."""
     path, rows = scratch_path(spark, "overwrite"), _slices(spark, sf_dir)
-    rows.write.partitionBy("date").parquet(path)
+    csvdump.write_slices(rows, path, ("date",))
     changed = rows.where(F.year("date") == 1996).withColumn("o_totalprice", -F.col("o_totalprice"))
-    changed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+    csvdump.write_slices(changed, path, ("date",), replace=True)
     return spark.read.parquet(path).select("o_orderkey", "o_totalprice", "date")
 
 
-@register("SELECT count(*) AS n, 1000 >= 1000 AS within FROM orders")
+@register("SELECT count(*) AS n, CAST(ceil(count(*) / 1000.0) AS BIGINT) <= count(*) AS within FROM orders")
 def write_split(spark, sf_dir):
     """Files of at most 1,000 rows each."""
     path = scratch_path(spark, "split")
-    read(spark, sf_dir, "orders").write.option("maxRecordsPerFile", 1000).option("compression", "gzip").json(path)
+    listings.write_json_lines(read(spark, sf_dir, "orders"), path, rows_per_file=1000)
     lines = spark.read.text(path).groupBy(F.input_file_name().alias("f")).agg(F.count(F.lit(1)).alias("n"))
     return lines.agg(F.sum("n").alias("n"), (F.max("n") <= 1000).alias("within"))
 

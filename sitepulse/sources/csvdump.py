@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -11,9 +15,11 @@ from sitepulse.sources import release, schemas
 # Bad rows a load tolerates, rows per output file.
 MAX_BAD_RECORDS = 10
 ROWS_PER_FILE = 8_000_000
-# Columns that identify a row.
-PAGE_IDENTITY = ("label", "urlShort")
-REQUEST_IDENTITY = ("startedDateTime", "pageid", "urlShort")
+# Columns that identify a row of either table.
+IDENTITIES = {
+    "summary_pages": ("label", "urlShort"),
+    "summary_requests": ("startedDateTime", "pageid", "urlShort"),
+}
 
 _CORRUPT = "_corrupt_record"
 
@@ -22,23 +28,76 @@ class TooManyBadRows(ValueError):
     """More rows do not fit the schema than a load tolerates."""
 
 
-def read_dump(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All rows as text columns, plus ``_corrupt_record`` for rows of the wrong width.
+_PIECE = "file string, block bigint, first boolean, open boolean, value string"
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records of each block of a file, with what its first and last line may share with other blocks."""
+    place, held, first = None, [], True
+
+    def record(is_open: bool) -> tuple:
+        return (*place, first, is_open, "".join(held))
+
+    for batch in batches:
+        rows = []
+        for value, file, block in zip(*(c.to_pylist() for c in batch.columns)):
+            if (file, block) != place:
+                if held:
+                    rows.append(record(True))
+                place, held, first = (file, block), [], True
+            if value.endswith("\\"):
+                held.append(value[:-1] + ", ")
+                continue
+            held.append(value)
+            rows.append(record(False))
+            held, first = [], False
+        yield _pieces(rows)
+    if held:
+        yield _pieces([record(True)])
+
 
-    A backslash before a line break continues the row; the break reads as a comma and a blank.
+def _pieces(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.string(), pa.int64(), pa.bool_(), pa.bool_(), pa.string())
+    columns = zip(*rows) if rows else [[]] * len(kinds)
+    names = [part.split()[0] for part in _PIECE.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+
+def _across_blocks(pieces: pd.DataFrame) -> pd.DataFrame:
+    """The records at the edges of one file's blocks: at most two pieces per block."""
+    whole, rest = [], ""
+    for first, is_open, value in pieces.sort_values(["block", "first"], ascending=[True, False])[["first", "open", "value"]].values:
+        if first:
+            value, rest = rest + value, ""
+        if is_open:
+            rest = value
+        else:
+            whole.append(value)
+    return pd.DataFrame({"value": [*whole, rest] if rest else whole})
+
+
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a dump as text, column ``value``.
+
+    A backslash before a line break continues the row, in any field; the break reads as a comma and a
+    blank. Plain files are read in blocks by many tasks, and rows that cross a block are put together.
     """
-    names = [T.StructField(field.name, T.StringType()) for field in schema]
-    rows = (
-        spark.read.schema(T.StructType([*names, T.StructField(_CORRUPT, T.StringType())]))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _CORRUPT)
-        .option("escape", "\\")
-        .option("nullValue", "\\N")
-        .option("multiLine", True)
-        .csv(path)
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path"), F.col("_metadata.file_block_start"))
+    pieces = stage(lines.mapInArrow(_joined, _PIECE), "csv-records")
+    edge = F.col("first") | F.col("open")
+    return pieces.where(~edge).select("value").unionByName(
+        pieces.where(edge).groupBy("file").applyInPandas(_across_blocks, "value string")
     )
-    continued = {f.name: F.regexp_replace(f.name, r"\\\r?\n", ", ") for f in names}
-    return rows.withColumns(continued)
+
+
+def read_dump(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All rows as text columns, plus ``_corrupt_record`` for rows of the wrong width, and the row as ``_line``."""
+    names = [T.StructField(field.name, T.StringType()) for field in schema]
+    wide = T.StructType([*names, T.StructField(_CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, "escape": "\\", "nullValue": "\\N"}
+    rows = read_records(spark, path).where(F.col("value") != "")
+    parsed = F.from_csv("value", F.lit(wide.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")), options)
+    return rows.select(F.col("value").alias("_line"), parsed.alias("_r")).select("_line", "_r.*")
 
 
 def _typed(name: str, dtype: T.DataType) -> Column:
@@ -58,21 +117,20 @@ def _is_bad(schema: T.StructType) -> Column:
 
 
 def load_dump(
-    spark: SparkSession, path: str, schema: T.StructType, max_bad: int = MAX_BAD_RECORDS
+    spark: SparkSession, path: str, schema: T.StructType, max_bad: int = MAX_BAD_RECORDS, rejects: str | None = None
 ) -> DataFrame:
     """Rows of a dump in their own types; refuses a dump with too many bad rows.
 
-    The dump is parsed once, into the shared folder; the check and the result read that.
+    Bad rows are appended as text below ``rejects``, if given, in any case. The dump is read once, into the
+    shared folder; the check and the result parse that.
     """
     rows = read_dump(spark, path, schema)
-    typed = rows.select(
-        *[_typed(f.name, f.dataType).alias(f.name) for f in schema], _is_bad(schema).alias("_bad")
-    )
-    staged = stage(typed, "csv-dump")
-    bad = staged.where("_bad").limit(max_bad + 1).count()
-    if bad > max_bad:
+    bad = rows.where(_is_bad(schema)).select(F.lit(path).alias("source"), F.col("_line").alias("line"))
+    if rejects is not None:
+        bad.write.mode("append").parquet(rejects)
+    if bad.limit(max_bad + 1).count() > max_bad:
         raise TooManyBadRows(f"{path}: more than {max_bad} bad rows")
-    return staged.where(~F.col("_bad")).drop("_bad")
+    return rows.where(~_is_bad(schema)).select(*[_typed(f.name, f.dataType).alias(f.name) for f in schema])
 
 
 def write_partition(
@@ -104,11 +162,12 @@ def has_partition(spark: SparkSession, path: str, archive: str) -> bool:
 
 
 def load_archive(
-    spark: SparkSession, archive: str, pages_csv: str, requests_csv: str, target: str
+    spark: SparkSession, archive: str, pages_csv: str, requests_csv: str, target: str, unique: bool = False
 ) -> dict[str, bool]:
     """Load both dumps of an archive such as ``mobile_Dec_15_2018`` below ``target``.
 
-    A table that already holds the crawl is left alone. Returns which tables were loaded.
+    A table that already holds the crawl is left alone; ``unique`` keeps one row per identity, the lowest id.
+    Bad rows go to ``target/rejects``. Returns which tables were loaded.
     """
     loaded = {}
     for name, source, schema in (
@@ -118,14 +177,32 @@ def load_archive(
         path = f"{target}/{name}"
         loaded[name] = not has_partition(spark, path, archive)
         if loaded[name]:
-            rows = load_dump(spark, source, schema)
+            rows = load_dump(spark, source, schema, rejects=f"{target}/rejects")
+            rows = first_of_each(rows, IDENTITIES[name], schema[0].name) if unique else rows
             write_partition(
                 rows, path, release.archive_date(F.lit(archive)), release.archive_client(F.lit(archive))
             )
     return loaded
 
 
+def write_slices(rows: DataFrame, path: str, by: tuple[str, ...], replace: bool = False) -> None:
+    """Append rows to a partitioned table, or replace exactly the partitions that ``rows`` holds."""
+    (
+        rows.write.mode("overwrite" if replace else "append")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*by)
+        .parquet(path)
+    )
+
+
 def first_of_each(rows: DataFrame, identity: tuple[str, ...], *order: str) -> DataFrame:
-    """One row per identity, the lowest by ``order``; copies combine before the shuffle."""
-    kept = F.min_by(F.struct(*rows.columns), F.struct(*order))
-    return rows.groupBy(*identity).agg(kept.alias("_row")).select("_row.*")
+    """One row per identity, the lowest by ``order``; copies combine before the shuffle.
+
+    The lowest order comes from a fixed-width aggregate; of rows that share it one is taken.
+    """
+    least = rows.groupBy(*identity).agg(F.min(F.struct(*order)).alias("_least"))
+    same = F.lit(True)
+    for name in identity:
+        same = same & rows[name].eqNullSafe(least[name])
+    lowest = rows.join(least, same & F.struct(*[rows[c] for c in order]).eqNullSafe(least["_least"]), "left_semi")
+    return lowest.dropDuplicates([*identity])

@@ -57,9 +57,10 @@ def read_rule_lists(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     return result
 
 
-def write_json_lines(rows: DataFrame, path: str) -> None:
-    """Gzip files of one JSON document per row, NULL members included."""
-    rows.write.mode("overwrite").option("compression", "gzip").option("ignoreNullFields", False).json(path)
+def write_json_lines(rows: DataFrame, path: str, rows_per_file: int = 0) -> None:
+    """Gzip files of one JSON document per row, NULL members included, split by rows if asked."""
+    writer = rows.write.mode("overwrite").option("compression", "gzip").option("ignoreNullFields", False)
+    writer.option("maxRecordsPerFile", rows_per_file).json(path)
 
 
 def load_json_lines(spark: SparkSession, source: str, target: str, schema: T.StructType | str) -> DataFrame:

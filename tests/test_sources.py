@@ -105,3 +105,27 @@ def test_json_lines(spark):
     listings.write_json_lines(spark.createDataFrame([(1, None), (2, ["a"])], "x int, y array<string>"), source)
     rows = listings.load_json_lines(spark, source, target, "x bigint, y array<string>")
     assert sorted(map(tuple, rows.collect()), key=lambda r: r[0]) == [(1, None), (2, ["a"])]
+
+
+def test_continued_rows_cross_blocks(spark):
+    """Plain files read in tiny blocks: rows broken once, twice, and at the end."""
+    lines = [f"{i},a{i}\\\nb{i},{i % 2}" if i % 3 else f"{i},x\\\ny\\\nz" for i in range(400)] + ["999,last\\"]
+    path = scratch_path(spark, "test-blocks")
+    spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.text(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 64)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    try:
+        got = sorted(r.value for r in csvdump.read_records(spark, path).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == sorted(line.replace("\\\n", ", ").replace("last\\", "last, ") for line in lines)
+
+
+def test_bad_rows_are_kept(spark):
+    schema = spark.createDataFrame([], SCHEMA).schema
+    kept = scratch_path(spark, "test-rejects")
+    rows = csvdump.load_dump(spark, dump(spark, "1,a,1,1", "x,a,1,1", "1,a,1"), schema, rejects=kept)
+    assert rows.count() == 1
+    assert sorted(r.line for r in spark.read.parquet(kept).collect()) == ["1,a,1", "x,a,1,1"]
