@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitepulse.llm.text import over_texts, utf8
+from sitepulse.llm.text import over_texts, utf8, values
 from sitepulse.session import stage
 
 _HIDDEN = re.compile(r"(?is)<(script|style|noscript)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
@@ -71,7 +71,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", settings: Set
     def run(batches):
         total = np.zeros((len(languages), buckets), np.int64)
         for batch in batches:
-            for code, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for code, body in zip(batch.column(0).to_pylist(), values(batch.column(1))):
                 if code in place:
                     np.add.at(total[place[code]], trigrams(body.decode("utf-8", "replace"), buckets), 1)
         at, bucket = np.nonzero(total)

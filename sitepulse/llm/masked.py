@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitepulse.llm.text import over_texts, utf8
+from sitepulse.llm.text import over_texts, utf8, values
 from sitepulse.session import stage
 
 #: A code that stands for what lies beyond an end of the text.
@@ -87,7 +87,7 @@ def vocabulary(docs: DataFrame, text: str = "text", settings: Settings = Setting
 
         for batch in batches:
             found: Counter[bytes] = Counter()
-            for body in batch.column(0).to_pylist():
+            for body in values(batch.column(0)):
                 found.update(body.lower().split())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.int64())], names=["word", "n"]
@@ -212,7 +212,7 @@ def train(docs: DataFrame, text: str = "text", settings: Settings = Settings())
 
         def run(batches, given=given):
             coder, own, words = Coder(vocab), Network(settings, {n: x.copy() for n, x in given.items()}), 0
-            texts = (body for batch in batches for body in batch.column(0).to_pylist())
+            texts = (body for batch in batches for body in values(batch.column(0)))
             for codes in _batched(texts, coder, 16 * settings.batch):
                 around, target = windows(codes, settings.side)
                 words += len(target)

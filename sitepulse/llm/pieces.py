@@ -20,15 +20,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sitepulse.llm.text import values
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 
 #: Characters indexed at a time; the table of edges has a row per character.
-INDEX_CHARS = 400_000
-#: Bytes of text whose words are held at a time.
-SLICE_BYTES = 4 << 20
+INDEX_CHARS = 200_000
+#: Characters of text whose words are held at a time.
+SLICE_CHARS = 2 << 20
 #: Chunks whose pieces a Python worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 #: Beyond this length one chunk's neighbours are joined with a heap of its own.
 LONG_CHUNK = 1_000
 _NONE = np.iinfo(np.int32).max
@@ -376,10 +378,10 @@ def encode(text: str | Column, model: Model) -> Column:
 
 def _parts(texts: pa.Array):
     held, size = [], 0
-    for text in texts.to_pylist():
+    for text in values(texts):
         held.append(text)
         size += len(text)
-        if size >= SLICE_BYTES:
+        if size >= SLICE_CHARS:
             yield held
             held, size = [], 0
     if held:
@@ -393,11 +395,16 @@ def decode(ids: str | Column, model: Model) -> Column:
     @F.arrow_udf("string")
     def of(arrays: pa.Array) -> pa.Array:
         own = codec(model)
-        return pa.array([None if x is None else own.decode(x) for x in arrays.to_pylist()], pa.string())
+        return pa.array([None if x is None else own.decode(x) for x in _few(arrays)], pa.string())
 
     return of(column)
 
 
+def _few(arrays: pa.Array, rows: int = 256):
+    for first in range(0, len(arrays), rows):
+        yield from arrays.slice(first, rows).to_pylist()
+
+
 def encoded(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Per row: the key, ``n_tokens``, ``ids`` and ``round_trip``, whether decoding gives the text back.
 

@@ -19,8 +19,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
-#: Rows a Python task holds at a time; a batch also ends at Spark's Arrow byte limit.
-BATCH_BYTES = 32 << 20
+#: Text that a Python worker turns into objects at a time, whatever the size of Spark's Arrow batches.
+BATCH_BYTES = 4 << 20
 
 
 def utf8(column: str | Column) -> Column:
@@ -71,6 +71,12 @@ def slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
         start = stop
 
 
+def values(column: pa.Array) -> Iterator:
+    """The values of a text or binary column one by one, few of them in memory at a time."""
+    for part in slices(pa.record_batch([column], names=["_text"]), "_text"):
+        yield from part.column(0).to_pylist()
+
+
 _TYPES = {
     "bigint": pa.int64(),
     "int": pa.int32(),

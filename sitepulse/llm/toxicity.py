@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sitepulse.llm.text import values
 from sitepulse.session import stage
 
 # Letters that look like a Latin one, and signs that replace one.
@@ -171,7 +172,7 @@ def _counts(texts: DataFrame, training: Training, only: frozenset[str] | None) -
     def run(batches):
         for batch in batches:
             found: Counter[str] = Counter()
-            for text in batch.column(0).to_pylist():
+            for text in values(batch.column(0)):
                 words = set(fold(text).split())
                 entries = {f" {w} " for w in words}
                 entries.update(f" {w[:n]}" for w in words for n in training.beginnings if len(w) > n)
@@ -199,7 +200,7 @@ def _confirmed(draft: Lexicon, texts: DataFrame, training: Training) -> Lexicon:
     @F.arrow_udf("double")
     def density(column: pa.Array) -> pa.Array:
         matcher = lexicon.matcher()
-        return pa.array([matcher.density(x) for x in column.to_pylist()], pa.float64())
+        return pa.array([matcher.density(x) for x in values(column)], pa.float64())
 
     # No more rows than the training bound, two numbers each.
     rows = texts.select(density("_text").alias("x"), F.col("_toxic").cast("double").alias("y")).collect()
@@ -213,7 +214,7 @@ def _usage(lexicon: Lexicon, texts: DataFrame) -> DataFrame:
         matcher = lexicon.matcher()
         for batch in batches:
             found: dict[tuple[str, str], list[int]] = {}
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for text, toxic in zip(values(batch.column(0)), batch.column(1).to_pylist()):
                 folded = fold(text)
                 seen = set()
                 if not matcher.empty:
@@ -264,7 +265,7 @@ def score(lexicon: Lexicon, text: str | Column = "text") -> Column:
     @F.arrow_udf("double")
     def of(column: pa.Array) -> pa.Array:
         matcher = lexicon.matcher()
-        return pa.array([matcher.score(x) for x in column.to_pylist()], pa.float64())
+        return pa.array([matcher.score(x) for x in values(column)], pa.float64())
 
     return of(F.col(text) if isinstance(text, str) else text)
 
