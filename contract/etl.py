@@ -662,6 +662,34 @@ def _long_histograms(names, lens_names, where: str = "TRUE") -> str:
     return " UNION ALL ".join(parts)
 
 
+_BACKFILLED = ("2018_03_01", "2019_06_01")
+
+
+@register(_long_histograms(["bytesTotal", "reqTotal"], ["base", "top10k"], "date IN (DATE '2018-03-01', DATE '2019-06-01')"))
+def backfill(spark, sf_dir):
+    """Histograms of two dates, one of them there already for one metric."""
+    tables, store = analogs.tables(spark, sf_dir), _store(spark)
+    reports.backfill(tables, store, _BACKFILLED[:1], None, "bytesTotal")
+    for lens in (None, "top10k"):
+        for pattern in ("bytesTotal", "reqTotal"):
+            reports.backfill(tables, store, _BACKFILLED, lens, pattern)
+    rows = store.histograms().withColumn("date", scalar.parse_report_date(F.col("date")))
+    return rows.withColumns({"pdf": F.round("pdf", 8), "cdf": F.round("cdf", 8)})
+
+
+@register(_long_series(["numUrls", "bytesTotal"], ["base"]))
+def published_series_import(spark, sf_dir):
+    """Series exported as JSON reports, brought into another store."""
+    tables, store, other = analogs.tables(spark, sf_dir), _store(spark), _store(spark)
+    path = scratch_path(spark, "published")
+    for name in ("numUrls", "bytesTotal"):
+        reports.run_series(tables, store, pattern=name)
+    reports.export_series(store, path)
+    for name in ("numUrls", "bytesTotal"):
+        reports.import_series(other, f"{path}/lens=base/metric={name}", "base", name, lines=True)
+    return _columns(other.series())
+
+
 _RUN_DATE = "2021-05-01"
 
 

@@ -1,6 +1,9 @@
 """Jobs for ``spark-submit``: reports, deletions, date lists and imports.
 
     python -m sitepulse reports --tables T --store S --histograms 2024_01_01 --timeseries --lens ALL
+    python -m sitepulse backfill --tables T --store S --dates 2024_01_01 2024_02_01 --reports newMetric
+    python -m sitepulse classify --requests R --rules ad=ads.txt tracker=trackers.txt --target C
+    python -m sitepulse directory --ranked RANKS.csv --directory DUMP.xml --target D
     python -m sitepulse delete-date --store S --date 2024_01_01 --lens top1k --reports "crux*"
     python -m sitepulse dates --tables T --min 2023_01_01
     python -m sitepulse import-har --source DIR --target T
@@ -15,10 +18,11 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from sitepulse.operators import classify, directory
 from sitepulse.plans import facts, reports
 from sitepulse.plans.tables import CrawlTables
-from sitepulse.session import SESSION_CONF
-from sitepulse.sources import csvdump, har
+from sitepulse.session import SESSION_CONF, exists
+from sitepulse.sources import csvdump, har, listings
 from sitepulse.streaming import ingest
 
 
@@ -39,6 +43,14 @@ def _parser() -> argparse.ArgumentParser:
     run.add_argument("--reports", default="*", help="glob of metric names")
     run.add_argument("--force", action="store_true")
     run.add_argument("--export", help="folder for JSON reports")
+    fill = job("backfill", tables="folder of the crawl tables", store="folder of the report tables")
+    fill.add_argument("--dates", nargs="+", required=True, metavar="YYYY_MM_DD")
+    fill.add_argument("--lens")
+    fill.add_argument("--reports", default="*")
+    fill.add_argument("--force", action="store_true")
+    kinds = job("classify", requests="folder of requests (page, url)", target="folder of the result")
+    kinds.add_argument("--rules", nargs="+", required=True, metavar="LIST=FILE", help="in order of precedence")
+    job("directory", ranked="CSV of rank and domain", directory="directory dump", target="folder of the result")
     drop = job("delete-date", store="folder of the report tables", date="YYYY_MM_DD")
     drop.add_argument("--lens")
     drop.add_argument("--reports", default="*")
@@ -48,7 +60,8 @@ def _parser() -> argparse.ArgumentParser:
     dates.add_argument("--max")
     har_job = job("import-har", source="folder of release folders, or a glob", target="folder of the tables")
     har_job.add_argument("--whole-files", action="store_true", help="one document per file")
-    har_job.add_argument("--overwrite", action="store_true")
+    har_job.add_argument("--overwrite", action="store_true", help="replace releases that are there already")
+    har_job.add_argument("--marker", help="file that has to exist before the import starts")
     job("ingest-har", source="folder of release folders", target="folder of the tables", checkpoint="shared folder")
     job("import-csv", archive="name", pages="CSV", requests="CSV", target="folder of the tables")
     job("extract-facts", tables="folder of the raw crawl tables", target="folder of the typed tables")
@@ -72,6 +85,18 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
             reports.export_histograms(store, f"{args.export}/histograms", args.histograms)
         if args.export and args.timeseries:
             reports.export_series(store, f"{args.export}/timeseries")
+    elif args.job == "backfill":
+        store = reports.ReportStore(spark, args.store)
+        done = reports.backfill(CrawlTables.read(spark, args.tables), store, args.dates, args.lens, args.reports, args.force)
+        print(f"{sum(map(len, done.values()))} reports")
+    elif args.job == "classify":
+        lists = dict(rule.split("=", 1) for rule in args.rules)
+        rules = classify.parse_rules(listings.read_rule_lists(spark, lists))
+        classify.classify(spark.read.parquet(args.requests).select("page", "url"), rules).write.parquet(args.target)
+    elif args.job == "directory":
+        ranked = listings.read_ranked_domains(spark, args.ranked)
+        entries = listings.read_directory(spark, args.directory)
+        directory.ranked_directory(ranked, entries).write.parquet(args.target)
     elif args.job == "delete-date":
         store = reports.ReportStore(spark, args.store)
         left = reports.delete_date(store, args.date, args.lens, args.reports, args.dry_run)
@@ -80,9 +105,13 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
         for row in reports.list_dates(CrawlTables.read(spark, args.tables).pages, args.min, args.max).toLocalIterator():
             print(row.date)
     elif args.job == "import-har":
+        if args.marker and not exists(spark, args.marker):
+            raise SystemExit(f"{args.marker} is missing: the crawl is not complete")
         docs = har.read_files(spark, args.source) if args.whole_files else har.read_lines(spark, args.source)
-        mode = "overwrite" if args.overwrite else "append"
-        print(har.write_tables(har.with_release(docs), args.target, mode=mode))
+        docs = har.with_release(docs)
+        if not args.overwrite:
+            docs = har.not_imported(docs, args.target)
+        print(har.write_tables(docs, args.target, mode="overwrite" if args.overwrite else "append"))
     elif args.job == "ingest-har":
         ingest.ingest_hars(spark, args.source, args.target, args.checkpoint).awaitTermination()
     elif args.job == "import-csv":

@@ -37,7 +37,7 @@ def parse_rules(lines: DataFrame) -> DataFrame:
         (line != "") & ~line.startswith("!") & ~line.rlike(r"^\[") & ~line.rlike(r"#@?[?$]?#")
     )
     exception = F.col("_line").startswith("@@")
-    body = F.when(exception, F.substring("_line", 3, 1_000_000)).otherwise(F.col("_line"))
+    body = F.when(exception, F.substring(F.col("_line"), F.lit(3), F.length("_line"))).otherwise(F.col("_line"))
     is_regex = F.col("_body").rlike(r"^/.+/$")
     option_text = F.when(is_regex, "").otherwise(F.regexp_extract("_body", _OPTIONS, 1))
     rules = (
@@ -49,7 +49,7 @@ def parse_rules(lines: DataFrame) -> DataFrame:
     domains = F.flatten(
         F.transform(
             F.filter("_options", lambda o: o.startswith("domain=")),
-            lambda o: F.split(F.substring(o, 8, 1_000_000), r"\|"),
+            lambda o: F.split(F.substring(o, F.lit(8), F.length(o)), r"\|"),
         )
     )
     pattern = F.when(
@@ -63,7 +63,7 @@ def parse_rules(lines: DataFrame) -> DataFrame:
             ),
             "include": F.filter(domains, lambda d: ~d.startswith("~")),
             "exclude": F.transform(
-                F.filter(domains, lambda d: d.startswith("~")), lambda d: F.substring(d, 2, 1_000_000)
+                F.filter(domains, lambda d: d.startswith("~")), lambda d: F.substring(d, F.lit(2), F.length(d))
             ),
             "_pattern": pattern,
         }

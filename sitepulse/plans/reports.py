@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sitepulse.functions import scalar
 from sitepulse.plans import histograms, lens as lenses_, metrics as m, series
-from sitepulse.plans.tables import CrawlTables, scan
+from sitepulse.plans.tables import CrawlTables
+from sitepulse.session import drop
 
 HISTOGRAM_SCHEMA = (
     "client string, bin double, volume double, pdf double, cdf double, date string, lens string, metric string"
@@ -26,8 +27,9 @@ SERIES_SCHEMA = (
     + ", ".join(f"{name} {dtype}" for name, dtype in series.MEASURES.items())
     + ", lens string, metric string"
 )
+_REACHED = "lens string, metric string, date string, generation bigint"
 CLIENTS = ("desktop", "mobile")
-# Fixed value: most rows one report may hold.
+# Fixed value: the most rows of one report that the published reader fetches; a limit only where asked for.
 MAX_REPORT_ROWS = 1_000_000
 
 
@@ -102,22 +104,35 @@ class ReportStore:
         )
         published = self.spark.createDataFrame([(following,)], "generation bigint")
         published.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
+        # The generation before stays for readers that have begun; older ones go.
+        drop(self.spark, f"{self.root}/series/generation={following - 2}")
+
+    def record_reached(self, pairs: Sequence[tuple[str, str]], date: str | None) -> None:
+        """Note up to which date series are complete, also those that have no row; None: from the start again."""
+        if pairs:
+            rows = [(lens, metric, date, self.generation()) for lens, metric in pairs]
+            noted = self.spark.createDataFrame(rows, _REACHED)
+            noted.coalesce(1).write.mode("append").parquet(f"{self.root}/reached")
 
     def last_dates(self) -> dict[tuple[str, str], str]:
-        """Newest date of each (lens, metric) series: one row per series."""
+        """The date each (lens, metric) series has reached: that of its newest row, or for one without rows that noted."""
+        noted = _read_or_empty(self.spark, f"{self.root}/reached", _REACHED)
+        noted = noted.groupBy("lens", "metric").agg(F.max_by("date", "generation").alias("date")).where("date IS NOT NULL")
         newest = self.series().groupBy("lens", "metric").agg(F.max("date").alias("date"))
-        return {(row.lens, row.metric): row.date for row in newest.toLocalIterator()}
+        found = {(row.lens, row.metric): row.date for row in noted.toLocalIterator()}
+        return found | {(row.lens, row.metric): row.date for row in newest.toLocalIterator()}
 
 
 # ---------------------------------------------------------------- readiness and dates
 
 
-def readiness(tables: CrawlTables, date: str | None = None) -> DataFrame:
-    """Rows in each slice a crawl needs, per date: one pass over each table."""
+def readiness(tables: CrawlTables, *dates: str) -> DataFrame:
+    """Rows in each slice a crawl needs, per date: one pass over the partitions of the dates, or of all."""
     parts = []
     for name, table in (("pages", tables.pages), ("requests", tables.requests)):
+        asked = table.where(F.col("date").isin(*[F.to_date(F.lit(d)) for d in dates])) if dates else table
         found = (
-            scan(table, date=date)
+            asked
             .where(F.col("client").isin(*CLIENTS) & F.col("is_root_page").isNotNull())
             .groupBy("date", "client", "is_root_page")
             .agg(F.count(F.lit(1)).alias("rows"))
@@ -126,10 +141,10 @@ def readiness(tables: CrawlTables, date: str | None = None) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-def ready_dates(tables: CrawlTables) -> DataFrame:
-    """Dates whose eight slices all have rows."""
+def ready_dates(tables: CrawlTables, *dates: str) -> DataFrame:
+    """Dates, of those asked for or of all, whose eight slices all have rows."""
     slices = 2 * len(CLIENTS) * 2
-    counted = readiness(tables).groupBy("date").agg(F.count(F.lit(1)).alias("slices"))
+    counted = readiness(tables, *dates).groupBy("date").agg(F.count(F.lit(1)).alias("slices"))
     return counted.where(F.col("slices") == slices).select("date")
 
 
@@ -258,6 +273,10 @@ def run_series(
     for lens_names, names in _batches(replaced):
         old = old.where(~(F.col("lens").isin(*lens_names) & F.col("metric").isin(*names)))
     store.publish_series(fresh.unionByName(old))
+    crawled = [pair for pair in pairs if not m.is_rum(m.SERIES[pair[1]])]
+    if crawled and tables.pages is not None:
+        reached = date or tables.pages.agg(scalar.report_date(F.max("date"))).first()[0]
+        store.record_reached(crawled, reached)
     return pairs
 
 
@@ -293,7 +312,7 @@ def backfill(
     share one scan of all of them."""
     wanted: dict[str, list[tuple[str, str]]] = {}
     chosen = [metric.name for metric in m.matching(m.HISTOGRAMS, pattern)]
-    ready = {row.date.isoformat() for row in ready_dates(tables).toLocalIterator()}
+    ready = {row.date.isoformat() for row in ready_dates(tables, *map(_iso, dates)).toLocalIterator()} if dates else set()
     for date in dates:
         if _iso(date) not in ready:
             raise NotReady(f"crawl {date} lacks {missing_slices(tables, _iso(date))}")
@@ -325,22 +344,26 @@ def delete_date(
     if dry_run:
         return left
     store.publish_series(left)
+    # What was noted no longer holds; a series with rows continues after its newest one.
+    store.record_reached([(lens, metric) for lens in chosen for metric in names], None)
     return store.series()
 
 
 # ---------------------------------------------------------------- export and import
 
 
-def _check_size(table: DataFrame, keys: Sequence[str]) -> None:
-    large = table.groupBy(*keys).count().where(F.col("count") > MAX_REPORT_ROWS).first()
+def _check_size(table: DataFrame, keys: Sequence[str], max_rows: int | None) -> None:
+    if max_rows is None:
+        return
+    large = table.groupBy(*keys).count().where(F.col("count") > max_rows).first()
     if large is not None:
         raise ReportTooLarge(str(large))
 
 
-def export_histograms(store: ReportStore, path: str, date: str) -> None:
+def export_histograms(store: ReportStore, path: str, date: str, max_rows: int | None = None) -> None:
     """One JSON-lines report per lens and metric of a date."""
     rows = store.histograms().where(F.col("date") == date)
-    _check_size(rows, ["lens", "metric"])
+    _check_size(rows, ["lens", "metric"], max_rows)
     (
         rows.repartition("lens", "metric")
         .sortWithinPartitions("lens", "metric", F.col("bin").asc_nulls_first(), "client")
@@ -351,10 +374,10 @@ def export_histograms(store: ReportStore, path: str, date: str) -> None:
     )
 
 
-def export_series(store: ReportStore, path: str) -> None:
+def export_series(store: ReportStore, path: str, max_rows: int | None = None) -> None:
     """One JSON-lines report per lens and metric, newest date first; unused measures are left out."""
     rows = store.series()
-    _check_size(rows, ["lens", "metric"])
+    _check_size(rows, ["lens", "metric"], max_rows)
     (
         rows.repartition("lens", "metric")
         .sortWithinPartitions("lens", "metric", F.col("date").desc(), "client", F.col("num_urls").desc())
@@ -365,6 +388,15 @@ def export_series(store: ReportStore, path: str) -> None:
     )
 
 
-def read_json_report(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A report published as one JSON array, or as JSON lines."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+def import_series(store: ReportStore, path: str, lens: str, metric: str, lines: bool = False) -> None:
+    """Bring a published series, a JSON array or JSON ``lines``, into the store in place of what it has."""
+    columns = [f for f in store.spark.createDataFrame([], SERIES_SCHEMA).schema if f.name not in ("lens", "metric")]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in columns)
+    given = read_json_report(store.spark, path, schema, lines).withColumns({"lens": F.lit(lens), "metric": F.lit(metric)})
+    others = store.series().where((F.col("lens") != lens) | (F.col("metric") != metric))
+    store.publish_series(others.unionByName(given))
+
+
+def read_json_report(spark: SparkSession, path: str, schema: str, lines: bool = False) -> DataFrame:
+    """A report published as one JSON array, or as JSON ``lines``."""
+    return spark.read.schema(schema).option("multiLine", not lines).json(path)

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from sitepulse.functions import text
+from sitepulse.session import exists
 from sitepulse.sources import release as release_
 
 TABLES = {
@@ -432,6 +433,18 @@ def write_tables(
     return dict(seen.get)
 
 
+def not_imported(docs: DataFrame, path: str) -> DataFrame:
+    """Documents of releases the tables below ``path`` do not hold yet, so a repeated import adds nothing.
+
+    The releases there are partition names, one row per date and client.
+    """
+    spark = docs.sparkSession
+    if not exists(spark, path):
+        return docs
+    there = spark.read.parquet(path).select("date", "client").distinct()
+    return docs.join(there, ["date", "client"], "left_anti")
+
+
 def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     """One written table, with its date and client."""
     rows = spark.read.parquet(path).where(F.col("table") == name)

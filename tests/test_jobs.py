@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from crawl import page, request, rum, summary, tables
 
 from sitepulse.__main__ import main
@@ -33,7 +34,10 @@ def test_import_jobs(spark, capsys):
     root = scratch_path(spark, "test-jobs")
     doc = json.dumps({"log": {"pages": [{"_URL": "http://a/"}], "entries": []}})
     spark.createDataFrame([(doc,)], "value string").write.text(f"{root}/in/chrome-Mar_1_2020")
-    main(["import-har", "--source", f"{root}/in/*", "--target", f"{root}/a"], spark)
+    for _ in range(2):  # the second run finds the release there
+        main(["import-har", "--source", f"{root}/in/*", "--target", f"{root}/a"], spark)
+    with pytest.raises(SystemExit):
+        main(["import-har", "--source", f"{root}/in/*", "--target", f"{root}/a", "--marker", f"{root}/done"], spark)
     main(["ingest-har", "--source", f"{root}/in", "--target", f"{root}/b", "--checkpoint", f"{root}/c"], spark)
     for target in ("a", "b"):
         assert [r.url for r in har.read_table(spark, f"{root}/{target}", "pages").collect()] == ["http://a/"]

@@ -94,6 +94,17 @@ def test_backfill_and_dates(crawl, store):
     assert reports.add_date(["2023_05_01"], "2023_06_01") == ["2023_06_01", "2023_05_01"]
 
 
+def test_dates_reached_without_rows(crawl, store):
+    """A series that has no row is not computed from the start again; a deletion starts it over."""
+    reports.run_series(crawl, store, "2023_05_01", pattern="hreflang")
+    reached = store.last_dates()
+    assert reached[("base", "hreflang")] == "2023_05_01"
+    assert reports.plan_series(reached, "2023_05_01", None, "hreflang", False) == {}
+    assert list(reports.plan_series(reached, "2023_06_01", None, "hreflang", False)) == ["2023_05_01"]
+    reports.delete_date(store, "2023_05_01", pattern="hreflang")
+    assert list(reports.plan_series(store.last_dates(), "2023_06_01", None, "hreflang", False)) == [None]
+
+
 def test_export(spark, crawl, store):
     reports.run_series(crawl, store, None, None, "bytesCss")
     reports.run_histograms(crawl, store, "2023_05_01", None, "bytesCss")
