@@ -103,15 +103,23 @@ def parse_rules(lines: DataFrame) -> DataFrame:
     )
 
 
+def _character(c: Column) -> Column:
+    """One character of a filter pattern: two stand for something, signs stand for themselves."""
+    return (
+        F.when(c == "*", F.lit(".*"))
+        .when(c == "^", F.lit(_SEPARATOR))
+        .when(c.rlike(r"^[^\w\s]$"), F.concat(F.lit("\\"), c))
+        .otherwise(c)
+    )
+
+
 def _expression(pattern: Column) -> Column:
     """A filter pattern as a regular expression."""
     inner = F.substring(pattern, F.lit(2), F.length(pattern) - 2)
     start = F.when(pattern.startswith("||"), 2).when(pattern.startswith("|"), 1).otherwise(0)
     end = F.when(pattern.endswith("|") & (F.length(pattern) > start), 1).otherwise(0)
     middle = F.substring(pattern, start + 1, F.length(pattern) - start - end)
-    escaped = F.regexp_replace(middle, r"([.$+?{}()\[\]\\|])", r"\\$1")
-    separated = F.replace(escaped, F.lit("^"), F.lit(_SEPARATOR))
-    free = F.replace(separated, F.lit("*"), F.lit(".*"))
+    free = F.array_join(F.transform(F.split(middle, ""), _character), "")
     anchor = F.when(start == 2, _DOMAIN_START).when(start == 1, "^").otherwise("")
     whole = F.concat(anchor, free, F.when(end == 1, "$").otherwise(""))
     return F.when(pattern.rlike(r"^/.+/$"), inner).otherwise(whole)

@@ -4,92 +4,55 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_TYPES = {
-    "string": T.StringType(),
-    "boolean": T.BooleanType(),
-    "double": T.DoubleType(),
-    "binary": T.BinaryType(),
-    "integer": T.LongType(),
-}
+_TYPES = {"STRING": T.StringType(), "BOOLEAN": T.BooleanType(), "BIGINT": T.LongType()}
 
 
-def _schema(columns: str) -> T.StructType:
-    """Columns as ``name`` (an integer) or ``name:type``."""
-    fields = []
-    for column in columns.split():
-        name, _, dtype = column.partition(":")
-        fields.append(T.StructField(name, _TYPES[dtype or "integer"]))
-    return T.StructType(fields)
+def _schema(ddl: str) -> T.StructType:
+    """Plain ``name TYPE, ...``, read without a session, which Spark's own parser would need."""
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in (part.split() for part in ddl.split(","))])
 
 
-# Columns of the flat page and request dumps, of the statistics per slice and device,
-# of the list of crawls and of the list of URLs.
+# Columns of the flat page and request dumps.
 SUMMARY_PAGES = _schema(
     """
-    pageid createDate archive:string label:string crawlid wptid:string wptrun url:string
-    urlShort:string urlhash cdn:string startedDateTime TTFB renderStart onContentLoaded onLoad
-    fullyLoaded visualComplete PageSpeed SpeedIndex rank reqTotal reqHtml reqJS reqCSS reqImg reqGif
-    reqJpg reqPng reqFont reqFlash reqJson reqOther bytesTotal bytesHtml bytesJS bytesCSS bytesImg
-    bytesGif bytesJpg bytesPng bytesFont bytesFlash bytesJson bytesOther bytesHtmlDoc numDomains
-    maxDomainReqs numRedirects numErrors numGlibs numHttps numCompressed numDomElements maxageNull
-    maxage0 maxage1 maxage30 maxage365 maxageMore gzipTotal gzipSavings _connections
-    _adult_site:boolean avg_dom_depth document_height document_width localstorage_size
-    sessionstorage_size num_iframes num_scripts doctype:string meta_viewport:string reqAudio
-    reqVideo reqText reqXml reqWebp reqSvg bytesAudio bytesVideo bytesText bytesXml bytesWebp
-    bytesSvg num_scripts_async num_scripts_sync usertiming
+    pageid BIGINT, createDate BIGINT, archive STRING, label STRING, crawlid BIGINT, wptid STRING,
+    wptrun BIGINT, url STRING, urlShort STRING, urlhash BIGINT, cdn STRING, startedDateTime BIGINT,
+    TTFB BIGINT, renderStart BIGINT, onContentLoaded BIGINT, onLoad BIGINT, fullyLoaded BIGINT,
+    visualComplete BIGINT, PageSpeed BIGINT, SpeedIndex BIGINT, rank BIGINT, reqTotal BIGINT,
+    reqHtml BIGINT, reqJS BIGINT, reqCSS BIGINT, reqImg BIGINT, reqGif BIGINT, reqJpg BIGINT, reqPng
+    BIGINT, reqFont BIGINT, reqFlash BIGINT, reqJson BIGINT, reqOther BIGINT, bytesTotal BIGINT,
+    bytesHtml BIGINT, bytesJS BIGINT, bytesCSS BIGINT, bytesImg BIGINT, bytesGif BIGINT, bytesJpg
+    BIGINT, bytesPng BIGINT, bytesFont BIGINT, bytesFlash BIGINT, bytesJson BIGINT, bytesOther
+    BIGINT, bytesHtmlDoc BIGINT, numDomains BIGINT, maxDomainReqs BIGINT, numRedirects BIGINT,
+    numErrors BIGINT, numGlibs BIGINT, numHttps BIGINT, numCompressed BIGINT, numDomElements BIGINT,
+    maxageNull BIGINT, maxage0 BIGINT, maxage1 BIGINT, maxage30 BIGINT, maxage365 BIGINT, maxageMore
+    BIGINT, gzipTotal BIGINT, gzipSavings BIGINT, _connections BIGINT, _adult_site BOOLEAN,
+    avg_dom_depth BIGINT, document_height BIGINT, document_width BIGINT, localstorage_size BIGINT,
+    sessionstorage_size BIGINT, num_iframes BIGINT, num_scripts BIGINT, doctype STRING,
+    meta_viewport STRING, reqAudio BIGINT, reqVideo BIGINT, reqText BIGINT, reqXml BIGINT, reqWebp
+    BIGINT, reqSvg BIGINT, bytesAudio BIGINT, bytesVideo BIGINT, bytesText BIGINT, bytesXml BIGINT,
+    bytesWebp BIGINT, bytesSvg BIGINT, num_scripts_async BIGINT, num_scripts_sync BIGINT, usertiming
+    BIGINT
     """
 )
 
 SUMMARY_REQUESTS = _schema(
     """
-    requestid pageid startedDateTime time method:string url:string urlShort:string
-    redirectUrl:string firstReq:boolean firstHtml:boolean reqHttpVersion:string reqHeadersSize
-    reqBodySize reqCookieLen reqOtherHeaders:string status respHttpVersion:string respHeadersSize
-    respBodySize respSize respCookieLen expAge mimeType:string respOtherHeaders:string
-    req_accept:string req_accept_charset:string req_accept_encoding:string
-    req_accept_language:string req_connection:string req_host:string req_if_modified_since:string
-    req_if_none_match:string req_referer:string req_user_agent:string resp_accept_ranges:string
-    resp_age:string resp_cache_control:string resp_connection:string resp_content_encoding:string
-    resp_content_language:string resp_content_length:string resp_content_location:string
-    resp_content_type:string resp_date:string resp_etag:string resp_expires:string
-    resp_keep_alive:string resp_last_modified:string resp_location:string resp_pragma:string
-    resp_server:string resp_transfer_encoding:string resp_vary:string resp_via:string
-    resp_x_powered_by:string _cdn_provider:string _gzip_save crawlid type:string ext:string
-    format:string
-    """
-)
-
-STATS = _schema(
-    """
-    label:string crawlid slice:string device:string version numurls PageSpeed:double SpeedIndex TTFB
-    renderStart onLoad visualComplete fullyLoaded numDomains:double maxDomainReqs numDomElements
-    reqTotal:double reqHtml:double reqJS:double reqCSS:double reqImg:double reqGif:double
-    reqJpg:double reqPng:double reqFlash:double reqFont:double reqJson:double reqOther:double
-    bytesTotal bytesHtml bytesJS bytesCSS bytesImg bytesGif bytesJpg bytesPng bytesFlash bytesFont
-    bytesJson bytesOther bytesHtmlDoc gzipTotal gzipSavings perRedirects perErrors perFlash perFonts
-    perGlibs perCdn perHttps perCompressed maxageNull maxage0 maxage1 maxage30 maxage365 maxageMore
-    onLoadccf1:string onLoadccv1:double onLoadccf2:string onLoadccv2:double onLoadccf3:string
-    onLoadccv3:double onLoadccf4:string onLoadccv4:double onLoadccf5:string onLoadccv5:double
-    renderStartccf1:string renderStartccv1:double renderStartccf2:string renderStartccv2:double
-    renderStartccf3:string renderStartccv3:double renderStartccf4:string renderStartccv4:double
-    renderStartccf5:string renderStartccv5:double _connections avg_dom_depth document_height
-    document_width localstorage_size sessionstorage_size num_iframes num_scripts reqAudio:double
-    bytesAudio reqVideo:double bytesVideo reqText:double bytesText reqXml:double bytesXml
-    reqWebp:double bytesWebp reqSvg:double bytesSvg num_scripts_async num_scripts_sync usertiming
-    """
-)
-
-CRAWLS = _schema(
-    """
-    crawlid label:string archive:string location:string notes:string video:boolean
-    docComplete:boolean fvonly:boolean runs startedDateTime finishedDateTime timeOfLastChange passes
-    minPageid maxPageid numUrls numErrors numPages numRequests
-    """
-)
-
-URLS = _schema(
-    """
-    timeAdded urlhash urlOrig:binary urlFixed:string rank ranktmp other:boolean optout:boolean
+    requestid BIGINT, pageid BIGINT, startedDateTime BIGINT, time BIGINT, method STRING, url STRING,
+    urlShort STRING, redirectUrl STRING, firstReq BOOLEAN, firstHtml BOOLEAN, reqHttpVersion STRING,
+    reqHeadersSize BIGINT, reqBodySize BIGINT, reqCookieLen BIGINT, reqOtherHeaders STRING, status
+    BIGINT, respHttpVersion STRING, respHeadersSize BIGINT, respBodySize BIGINT, respSize BIGINT,
+    respCookieLen BIGINT, expAge BIGINT, mimeType STRING, respOtherHeaders STRING, req_accept
+    STRING, req_accept_charset STRING, req_accept_encoding STRING, req_accept_language STRING,
+    req_connection STRING, req_host STRING, req_if_modified_since STRING, req_if_none_match STRING,
+    req_referer STRING, req_user_agent STRING, resp_accept_ranges STRING, resp_age STRING,
+    resp_cache_control STRING, resp_connection STRING, resp_content_encoding STRING,
+    resp_content_language STRING, resp_content_length STRING, resp_content_location STRING,
+    resp_content_type STRING, resp_date STRING, resp_etag STRING, resp_expires STRING,
+    resp_keep_alive STRING, resp_last_modified STRING, resp_location STRING, resp_pragma STRING,
+    resp_server STRING, resp_transfer_encoding STRING, resp_vary STRING, resp_via STRING,
+    resp_x_powered_by STRING, _cdn_provider STRING, _gzip_save BIGINT, crawlid BIGINT, type STRING,
+    ext STRING, format STRING
     """
 )
 
