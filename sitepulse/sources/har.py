@@ -421,9 +421,11 @@ def write_tables(
     """
     seen = Observation("har import")
     rows = fan_out(parse(docs), options=options).observe(seen, *counter_columns())
+    # Rebalanced, a (table, date, client) is written by as many tasks as its size asks for, not by every task.
     (
         settled(rows)
         .drop("path")
+        .hint("rebalance", "table", "date", "client")
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_rows_per_file)
