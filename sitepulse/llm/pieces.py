@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitepulse.llm.text import values
+from sitepulse.llm.text import over_texts, utf8, values
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -410,11 +410,16 @@ def encoded(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_i
 
     A null or empty text has no ids and comes back empty. Decoding cannot tell a mark (U+2581) from a space.
     """
-    own = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(key).alias("_key"), own.alias("_own"), encode(text, model).alias("_ids"))
-    return rows.select(
-        F.col("_key").alias(key),
-        F.size("_ids").cast("bigint").alias("n_tokens"),
-        F.col("_ids").alias("ids"),
-        (decode("_ids", model) == F.col("_own")).alias("round_trip"),
-    )
+
+    def of_batch(given, texts):
+        own = codec(model)
+        texts = [t.decode("utf-8", "replace") for t in texts]
+        ids, begins = own.encode(texts)
+        same = [own.decode(ids[a:b].tolist()) == t for t, a, b in zip(texts, begins, begins[1:])]
+        lists = pa.ListArray.from_arrays(pa.array(begins.astype(np.int32)), pa.array(ids, pa.int32()))
+        return given | {"n": np.diff(begins), "ids": lists, "same": same}
+
+    # One pass: as two expressions, the planner would encode again what it decodes.
+    rows = docs.select(F.col(key).cast("bigint").alias("_key"), utf8(text).alias("_text"))
+    found = over_texts(rows, "_key bigint, n_tokens bigint, ids array<int>, round_trip boolean", of_batch)
+    return found.withColumnRenamed("_key", key)
