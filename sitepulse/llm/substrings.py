@@ -346,15 +346,16 @@ def removals(
     few = _shards(_stretches(candidates, window, gram, False), window)
     hot = _stretches(candidates.filter(F.size("_frequent") > 0), window, gram, True)
     windows = stage(hot.select("_data", *_TEXT, "_start"), "windows")
-    often = (
-        windows.join(windows.groupBy("_data").count().filter("count > 1"), "_data")
-        .select(*_TEXT, F.col("_start").alias("_from"), (F.col("_start") + window).alias("_to"))
+    # As a table, so that adaptive execution can split the windows of a very frequent digest in the join.
+    twice = stage(windows.groupBy("_data").count().filter("count > 1").select("_data"), "frequent-windows")
+    often = windows.join(twice, "_data").select(
+        *_TEXT, F.col("_start").alias("_from"), (F.col("_start") + window).alias("_to")
     )
     ranges = few.unionAll(often).groupBy(*_TEXT).agg(F.flatten(F.collect_list(F.array("_from", "_to"))).alias("_spans"))
     cut = _cut(candidates.select(*_TEXT, "_own").join(ranges, list(_TEXT)), with_text)
     whole = (F.col("_copies") > 1) & (F.col("_n_words") >= window)
     none = hashlib.sha256(b"").hexdigest()
-    return survey.select(*_TEXT, "_copies", "_n_words", "_digest").join(cut, list(_TEXT), "left").select(
+    found = survey.select(*_TEXT, "_copies", "_n_words", "_digest").join(cut, list(_TEXT), "left").select(
         *_TEXT,
         "_n_words",
         F.when(whole, F.col("_n_words")).otherwise(F.coalesce("_n_removed", F.lit(0))).alias("_n_removed"),
@@ -362,6 +363,8 @@ def removals(
         F.when(whole, F.lit("")).otherwise(F.col("_kept")).alias("_kept"),
         F.when(whole, F.array(F.lit(0), F.col("_n_words").cast("int"))).otherwise(F.col("_removed")).alias("_removed"),
     )
+    # As a table, so that the rows of a text with very many copies can be split when they are joined to it.
+    return stage(found, "removals")
 
 
 def report(docs: DataFrame, text: str = "text", key: str = "doc_id", **how) -> DataFrame:
