@@ -7,9 +7,10 @@ Search: the bits stand in a ring of ``segments`` segments of nearly equal width.
 differ in at most ``distance`` bits, then from some segment on, every chain of the next 1, 2, 3, ... segments
 differs in at most its share of the budget (chain length x distance / segments). With more segments than
 ``distance`` the first segment of such a chain must be equal, so it is the key of an index, and the rest of
-the chain prunes before the full check: nothing is lost. With fewer, wider segments (``rings`` shuffled rings)
-a start with an equal segment is likely, not certain; that is for wide fingerprints with a large distance,
-where equal short segments would no longer select.
+the chain prunes before the full check: nothing is lost. With fewer segments the first segment of a chain differs
+in up to distance / segments bits, so fingerprints are indexed under every value within ``radius`` bits of a segment's
+own: two that differ there in at most twice the radius share a value, and nothing is lost either. Shuffled ``rings``
+without a radius find an equal segment likely, not certainly.
 """
 
 from __future__ import annotations
@@ -44,6 +45,12 @@ class Ring:
     segments: int = 5
     rings: int = 1
     chain: int = 5
+    radius: int = 0  # 0 or 1: bits by which a key may differ from a fingerprint's segment
+
+    @property
+    def exact(self) -> bool:
+        """Whether fingerprints within ``distance`` always share a key: not all segments can differ in more bits."""
+        return self.distance < self.segments * (2 * self.radius + 1)
 
     def masks(self) -> np.ndarray:
         """[start, chain position, 64-bit word]: the bits of the chain's segments, for every ring and segment."""
@@ -67,8 +74,11 @@ class Ring:
 
 #: Exact: more segments than the distance, so the first segment of a chain is equal.
 NEAR = Ring()
-#: A similarity of 0.8 of 128 bits: at most 25 bits differ.
+#: A similarity of 0.8 of 128 bits: at most 25 bits differ. Inexact, and used by no query: it loses a tenth at 25 bits.
 SIMILAR = Ring(bits=128, distance=25, segments=9, rings=7, chain=3)
+#: The same distance without loss: some segment of nine differs in at most two bits, and shares a key then. The full
+#: check costs no more than a step of a chain.
+WHOLE = Ring(bits=128, distance=25, segments=9, chain=1, radius=1)
 
 
 def fingerprints(
@@ -174,8 +184,9 @@ def links(classes: DataFrame, ring: Ring) -> DataFrame:
             for r, segments in enumerate(layout):
                 for s, places in enumerate(segments):
                     value = bit[:, places] @ (1 << np.arange(len(places), dtype=np.int64))
-                    columns = [value + ((r * ring.segments + s) << 40), ids, *codes.T]
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["_bucket", "_id", *names])
+                    for flip in (0, *(1 << b for b in range(len(places) * ring.radius))):
+                        columns = [(value ^ flip) + ((r * ring.segments + s) << 40), ids, *codes.T]
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["_bucket", "_id", *names])
 
     def within(columns, i, j):
         start = columns["_bucket"][i] >> 40
@@ -231,7 +242,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
 
 
 def one_of_each(
-    docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5, ring: Ring = SIMILAR
+    docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5, ring: Ring = WHOLE
 ) -> DataFrame:
     """The rows of ``docs`` with one row of each group: that of the smallest key, nulls last.
 

@@ -92,6 +92,28 @@ def test_wide_ring_finds_similar_fingerprints():
     assert hit >= 380
 
 
+@pytest.mark.parametrize("distance", [22, 23, 24, 25])
+def test_no_pair_within_25_bits_is_lost(spark, distance):
+    """Every pair of the pipeline's distance is linked, none beyond it."""
+    rng = np.random.default_rng(distance)
+    left = rng.integers(-(1 << 63), 1 << 63, (300, 2), np.int64)
+
+    def apart(bits):
+        flips = np.zeros((len(left), 128), np.uint8)
+        for row in flips:
+            row[rng.choice(128, bits, replace=False)] = 1
+        return left ^ np.packbits(flips, axis=1, bitorder="little").view(np.int64)
+
+    rows = [(i * 1000 + k, *map(int, x)) for k, codes in enumerate((left, apart(distance), apart(26))) for i, x in enumerate(codes)]
+    ring = simhash.one_of_each.__defaults__[-1]
+    found = simhash.links(spark.createDataFrame(rows, "_id bigint, fp0 bigint, fp1 bigint"), ring).distinct().collect()
+    pairs = {(min(r), max(r)) for r in found}
+    prints = {i: x for i, *x in rows}
+    assert {(i * 1000, i * 1000 + 1) for i in range(300)} <= pairs
+    bits = [sum(((a ^ b) & (1 << 64) - 1).bit_count() for a, b in zip(prints[u], prints[v])) for u, v in pairs]
+    assert max(bits) <= 25
+
+
 def test_one_of_each_keeps_clean_rows(spark, odd_documents):
     kept = simhash.one_of_each(odd_documents)
     assert kept.columns == odd_documents.columns
