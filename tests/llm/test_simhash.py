@@ -138,3 +138,40 @@ def test_near_copies_go(spark, documents, edits):
     )
     kept = {r.doc_id for r in simhash.one_of_each(docs).collect()}
     assert sum(i >= 10_000 for i in kept) <= 1
+
+
+def test_what_goes_is_similar(spark):
+    """Rows go for a shingle similarity of 0.8 and nothing less, also short and templated ones."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=7))
+    rows = []
+    for _ in range(60):  # 40 of 44 words in common, and texts of eight words that differ in the last one
+        long, short = [word() for _ in range(40)], [word() for _ in range(7)]
+        rows += [" ".join([*long, *(word() for _ in range(4))]) for _ in range(3)]
+        rows += [" ".join([*short, word()]) for _ in range(3)]
+    chain = [word() for _ in range(260)]  # each is similar to the next ones only
+    rows += [" ".join(chain[i : i + 200]) for i in range(0, 60, 6)]
+    base = [word() for _ in range(200)]
+    for _ in range(60):  # near copies of one text, the text itself in between
+        at = rng.randrange(200)
+        rows.append(" ".join([*base[:at], word(), *base[at + 1 :]]))
+    rows.insert(len(rows) - 30, " ".join(base))
+    sets = [brute_shingles(x) for x in rows]
+
+    def jaccard(a, b):
+        return len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    kept = sorted(r.doc_id for r in simhash.one_of_each(docs).collect())
+    for gone in set(range(len(rows))) - set(kept):
+        assert max(jaccard(gone, k) for k in range(len(rows)) if k < gone) >= 0.8
+    near = [(a, b) for a in kept for b in kept if a < b and jaccard(a, b) >= 0.8]
+    prints = simhash._fingerprints([x.encode() for x in rows], 5, 2).view(np.uint64)
+    assert not [p for p in near if np.bitwise_count(prints[p[0]] ^ prints[p[1]]).sum() <= 25]
+    assert set(range(360)) <= set(kept) | {b for a in range(360) for b in range(a + 1, a + 6) if b < 360 and jaccard(a, b) >= 0.8}
+    assert len([k for k in kept if k >= 370]) == 1
+
+
+def brute_shingles(text):
+    words = text.split()
+    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
