@@ -21,7 +21,8 @@ from sitepulse.llm.text import over_texts, utf8, values
 from sitepulse.session import stage
 
 _HIDDEN = re.compile(r"(?is)<(script|style|noscript)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
-_LANG = r"(?i)^[\s\S]{0,4096}?<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})\b"
+# Of the first <html> tag that names one, wherever it stands in the page.
+_LANG = r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})\b"
 _HOST = r"(?i)^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:\s]+)"
 
 

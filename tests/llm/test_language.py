@@ -106,3 +106,14 @@ def test_odd_rows(spark, odd_documents, model):
     none = language.learn(odd_documents.limit(0).withColumn("lang", F.lit("x")))
     assert none.languages == ()
     assert [r.lang for r in language.identify(odd, none).collect()] == [None] * odd.count()
+
+
+def test_declaration_after_a_long_start(spark, model):
+    """The <html> tag counts wherever it stands."""
+    rows = [
+        (1, None, f"<!-- {'licence ' * 20_000} -->" + page("", "de")),
+        (2, None, " " * 5_000 + "<HTML class=x\n LANG='FR-ca'>"),
+        (3, None, "x" * 5_000 + page("")),
+    ]
+    got = {r.page_id: r.declared for r in language.identify(spark.createDataFrame(rows, KIND), model).collect()}
+    assert got == {1: "de", 2: "fr", 3: None}
