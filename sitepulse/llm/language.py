@@ -29,10 +29,9 @@ _HOST = r"(?i)^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:\s]+)"
 @dataclass(frozen=True)
 class Settings:
     buckets: int = 1 << 15  # of hashed trigrams
-    languages: int = 64  # at most, the most frequent ones
     grams: float = 60.0  # a text weighs no more than so many trigrams, for they are not independent
     smoothing: float = 0.5
-    values: int = 1_000  # declared languages and suffixes told apart, the most frequent ones
+    values: int = 1_000  # declared languages and suffixes that are broadcast, the most frequent ones; others are shuffled
     weight: float = 4.0  # of the level above, in pages, when a host or domain is smoothed
 
 
@@ -61,25 +60,26 @@ def visible(page: str) -> str:
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", settings: Settings = Settings()) -> TextModel:
     """Trigram counts of every text by language, summed by Spark; rows without text or language do not count.
 
-    The result has a bounded size: at most ``languages`` rows of ``buckets`` numbers. Without any row it has no language.
+    The result has a row of ``buckets`` numbers for every language that occurs. Without any row it has no language.
     """
     rows = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    common = rows.groupBy(F.col(lang).alias("l")).count().orderBy(F.desc("count"), "l").limit(settings.languages)
-    languages = tuple(sorted(r.l for r in common.collect()))
+    languages = tuple(sorted(r.l for r in rows.select(F.col(lang).alias("l")).distinct().collect()))
     place = {x: i for i, x in enumerate(languages)}
     buckets = settings.buckets
 
     def run(batches):
-        total = np.zeros((len(languages), buckets), np.int64)
+        totals: dict[str, np.ndarray] = {}
         for batch in batches:
             for code, body in zip(batch.column(0).to_pylist(), values(batch.column(1))):
-                if code in place:
-                    np.add.at(total[place[code]], trigrams(body.decode("utf-8", "replace"), buckets), 1)
-        at, bucket = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(at.astype(np.int32)), pa.array(bucket.astype(np.int32)), pa.array(total[at, bucket])],
-            names=["l", "bucket", "n"],
-        )
+                if code not in totals:
+                    totals[code] = np.zeros(buckets, np.int64)
+                np.add.at(totals[code], trigrams(body.decode("utf-8", "replace"), buckets), 1)
+        for code, total in totals.items():
+            bucket = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(bucket), place[code], np.int32)), pa.array(bucket.astype(np.int32)), pa.array(total[bucket])],
+                names=["l", "bucket", "n"],
+            )
 
     counts = np.full((len(languages), buckets), settings.smoothing)
     if languages:
@@ -138,16 +138,38 @@ def _sums(rows: DataFrame, by: list[str], n: int, name: str) -> DataFrame:
 
 
 def _likelihoods(rows: DataFrame, value: str, n: int, name: str, settings: Settings) -> DataFrame:
-    """log P(value | language) for the most frequent values; a bounded table."""
-    counted = _sums(rows.filter(F.col(value).isNotNull()), [value], n, "_c")
-    top = counted.orderBy(F.desc("_c_n"), value).limit(settings.values)
+    """log P(value | language) for every value, and its number of pages ``_c_n``."""
+    counted = stage(_sums(rows.filter(F.col(value).isNotNull()), [value], n, "_c"), "values")
     # One row of a number per language.
     whole = counted.agg(F.count("*"), *(F.coalesce(F.sum(F.get("_c", F.lit(i))), F.lit(0.0)) for i in range(n))).first()
     logs = [
         F.log((F.get("_c", F.lit(i)) + settings.smoothing) / F.lit(whole[1 + i] + settings.smoothing * (whole[0] + 1)))
         for i in range(n)
     ]
-    return top.select(value, F.array(*logs).alias(name))
+    return counted.select(value, F.array(*logs).alias(name), "_c_n")
+
+
+def _looked_up(pages: DataFrame, table: DataFrame, value: str, name: str, settings: Settings) -> DataFrame:
+    """``pages`` with ``name`` of their value, null where the table has none.
+
+    The most frequent values are broadcast, so no key of the shuffle that finds the others has many pages; pages that
+    need no shuffle are spread over salts that match nothing.
+    """
+    top = stage(table.orderBy(F.desc("_c_n"), value).limit(settings.values + 1).drop("_c_n"), "frequent-values")
+    frequent = pages.join(F.broadcast(top), value, "left")
+    if top.count() <= settings.values:
+        return frequent
+    rare = table.join(F.broadcast(top.select(value)), value, "left_anti")
+    rare = rare.select(F.col(value).alias("_rare"), F.lit(0).alias("_rare_salt"), F.col(name).alias("_rare_logs"))
+    open_ = F.col(value).isNotNull() & F.col(name).isNull()
+    salted = frequent.withColumns(
+        {
+            "_rare": F.when(open_, F.col(value)).otherwise(F.lit("")),
+            "_rare_salt": F.when(open_, F.lit(0)).otherwise(1 + F.pmod(F.xxhash64("_key", "_host"), F.lit(65_536)).cast("int")),
+        }
+    )
+    joined = salted.join(rare, ["_rare", "_rare_salt"], "left")
+    return joined.withColumn(name, F.coalesce(name, "_rare_logs")).drop("_rare", "_rare_salt", "_rare_logs")
 
 
 def identify(
@@ -179,7 +201,7 @@ def identify(
     zeros = F.array(*[F.lit(0.0)] * n)
     row = _sums(telling, [], n, "_all").select("_all_n", *(F.coalesce(F.get("_all", F.lit(i)), F.lit(0.0)) for i in range(n))).first()
     prior = F.array(*(F.lit((row[1 + i] + 1.0) / (row[0] + n)) for i in range(n)))
-    # Tables of a bounded number of values, and one of a row per host, which adaptive execution may split or broadcast.
+    # Tables of a row per value, and one of a row per host, which adaptive execution may split or broadcast.
     declared = _likelihoods(telling, "_declared", n, "_by_declared", settings)
     suffixes = _likelihoods(telling, "_suffix", n, "_by_suffix", settings)
     hosts = stage(_sums(telling, ["_host", "_domain"], n, "_on_host"), "hosts")
@@ -190,11 +212,8 @@ def identify(
     places = stage(
         hosts.filter(F.col("_host").isNotNull()).join(domains, "_domain").drop("_domain"), "host-priors"
     )
-    joined = (
-        seen.join(F.broadcast(declared), "_declared", "left")
-        .join(F.broadcast(suffixes), "_suffix", "left")
-        .join(places, "_host", "left")
-    )
+    joined = _looked_up(seen, declared, "_declared", "_by_declared", settings)
+    joined = _looked_up(joined, suffixes, "_suffix", "_by_suffix", settings).join(places, "_host", "left")
     own = F.when(F.col("_grams") > 0, F.lit(1.0)).otherwise(F.lit(0.0))
 
     def less_own(counts: str, above: Column, size: str) -> Column:

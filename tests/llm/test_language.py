@@ -117,3 +117,25 @@ def test_declaration_after_a_long_start(spark, model):
     ]
     got = {r.page_id: r.declared for r in language.identify(spark.createDataFrame(rows, KIND), model).collect()}
     assert got == {1: "de", 2: "fr", 3: None}
+
+
+def test_every_language_is_learned(spark):
+    """Also those beyond the 64 most frequent ones."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = {f"l{i:02}": " ".join([letters[i // 26] + letters[i % 26] + letters[(7 * i) % 26] + "q"] * 30) for i in range(70)}
+    rows = [(x, t) for x, t in texts.items()] + [(x, t) for x, t in list(texts.items())[:64]]
+    learned = language.learn(spark.createDataFrame(rows, "lang string, text string"))
+    assert learned.languages == tuple(sorted(texts))
+    pages = spark.createDataFrame([(i, None, page(texts[f"l{i:02}"])) for i in range(64, 70)], KIND)
+    assert {r.page_id: r.lang for r in language.identify(pages, learned).collect()} == {i: f"l{i:02}" for i in range(64, 70)}
+
+
+def test_rare_values_speak_too(spark, model):
+    """Results are the same however many values are broadcast."""
+    rows = [(i, f"http://h{i}.x{i % 7}/", page("und der die das" if i % 2 else "", ["de", "fr", "xx", None][i % 4])) for i in range(40)]
+    pages = spark.createDataFrame([*rows, (40, None, None)], KIND)
+    want = {r.page_id: r for r in language.identify(pages, model).collect()}
+    got = {r.page_id: r for r in language.identify(pages, model, settings=language.Settings(values=1)).collect()}
+    assert got.keys() == want.keys()
+    for k, r in want.items():
+        assert got[k].lang == r.lang and math.isclose(got[k].confidence, r.confidence, rel_tol=1e-9)
