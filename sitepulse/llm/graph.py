@@ -66,6 +66,7 @@ def components(links: DataFrame) -> DataFrame:
         links.select(F.col("u").cast("bigint").alias("u"), F.col("v").cast("bigint").alias("v"))
         .filter("u <> v")
         .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+        .distinct()  # equal links of many tasks meet before each task spans what it reads
         .mapInArrow(forest, "u bigint, v bigint")
         .distinct()
         .write.parquet(path)
@@ -88,7 +89,7 @@ def components(links: DataFrame) -> DataFrame:
         written = scratch_path(spark, "links")
         small.unionAll(minimum).filter("u <> v").select(
             F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
-        ).mapInArrow(forest, "u bigint, v bigint").distinct().write.parquet(written)
+        ).distinct().mapInArrow(forest, "u bigint, v bigint").distinct().write.parquet(written)
         if before:
             drop(spark, before)
         before, path = path, written

@@ -5,17 +5,13 @@ within ``distance`` bits are linked; linked texts form groups by connected compo
 
 Search: the bits stand in a ring of ``segments`` segments of nearly equal width. If two fingerprints
 differ in at most ``distance`` bits, then from some segment on, every chain of the next 1, 2, 3, ... segments
-differs in at most its share of the budget (chain length x distance / segments). With more segments than
-``distance`` the first segment of such a chain must be equal, so it is the key of an index, and the rest of
-the chain prunes before the full check: nothing is lost. With fewer segments the first segment of a chain differs
-in up to distance / segments bits, so fingerprints are indexed under every value within ``radius`` bits of a segment's
-own: two that differ there in at most twice the radius share a value, and nothing is lost either. Shuffled ``rings``
-without a radius find an equal segment likely, not certainly.
+differs in at most its share of the budget (chain length x distance / segments). There are more segments than
+``distance``, so the first segment of such a chain is equal: it is the key of an index, and the rest of
+the chain prunes before the full check. Nothing is lost.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,42 +40,30 @@ class Ring:
     bits: int = 64
     distance: int = 4
     segments: int = 5
-    rings: int = 1
-    chain: int = 5
-    radius: int = 0  # 0 or 1: bits by which a key may differ from a fingerprint's segment
 
-    @property
-    def exact(self) -> bool:
-        """Whether fingerprints within ``distance`` always share a key: not all segments can differ in more bits."""
-        return self.distance < self.segments * (2 * self.radius + 1)
+    def __post_init__(self):
+        if self.segments <= self.distance or self.bits % 64:
+            raise ValueError("more segments than differing bits, and whole 64-bit words, lose no pair")
 
     def masks(self) -> np.ndarray:
-        """[start, chain position, 64-bit word]: the bits of the chain's segments, for every ring and segment."""
-        found = np.zeros((self.rings * self.segments, self.chain, self.bits // 64), np.uint64)
-        for ring, segments in enumerate(self.layout()):
-            for start in range(self.segments):
-                for step in range(self.chain):
-                    for bit in segments[(start + step) % self.segments]:
-                        found[ring * self.segments + start, step, bit // 64] |= np.uint64(1) << np.uint64(bit % 64)
+        """[start, chain position, 64-bit word]: the bits of the chain's segments, for every segment."""
+        found = np.zeros((self.segments, self.segments, self.bits // 64), np.uint64)
+        layout = self.layout()
+        for start in range(self.segments):
+            for step in range(self.segments):
+                for bit in layout[(start + step) % self.segments]:
+                    found[start, step, bit // 64] |= np.uint64(1) << np.uint64(bit % 64)
         return found
 
-    def layout(self) -> list[list[np.ndarray]]:
-        """The bit positions of each segment of each ring; the first ring keeps the order of the bits."""
-        order = np.random.default_rng(SEED)
-        rings = [np.arange(self.bits), *(order.permutation(self.bits) for _ in range(self.rings - 1))]
-        return [np.array_split(x, self.segments) for x in rings]
+    def layout(self) -> list[np.ndarray]:
+        """The bit positions of each segment."""
+        return np.array_split(np.arange(self.bits), self.segments)
 
     def budgets(self) -> list[int]:
-        return [step * self.distance // self.segments for step in range(1, self.chain + 1)]
+        return [step * self.distance // self.segments for step in range(1, self.segments + 1)]
 
 
-#: Exact: more segments than the distance, so the first segment of a chain is equal.
 NEAR = Ring()
-#: A similarity of 0.8 of 128 bits: at most 25 bits differ. Inexact, and used by no query: it loses a tenth at 25 bits.
-SIMILAR = Ring(bits=128, distance=25, segments=9, rings=7, chain=3)
-#: The same distance without loss: some segment of nine differs in at most two bits, and shares a key then. The full
-#: check costs no more than a step of a chain.
-WHOLE = Ring(bits=128, distance=25, segments=9, chain=1, radius=1)
 
 
 def fingerprints(
@@ -88,44 +72,25 @@ def fingerprints(
     keep: tuple[str, ...] = ("doc_id",),
     words: int = 4,
     bits: int = 64,
-    sets: bool = False,
 ) -> DataFrame:
     """The ``keep`` columns (long) and ``fp0``, ``fp1``, ... (64 bits each, as long) of every row.
 
-    With ``sets`` also ``_set``, a hash of the set of its shingles.
-
     A-Z are lower-cased, nothing else. A text of fewer than ``words`` words has one shingle, all of them; a
     null, empty or blank text has none and the fingerprint zero. Repeated rows give repeated rows.
     """
     size = bits // 64
     kept = [F.col(c).cast("bigint").alias(f"_k{i}") for i, c in enumerate(keep)]
-    names = [*(f"_k{i}" for i in range(len(keep))), *(f"fp{w}" for w in range(size)), *(["_set"] if sets else [])]
+    names = [*(f"_k{i}" for i in range(len(keep))), *(f"fp{w}" for w in range(size))]
     schema = ", ".join(f"{n} bigint" for n in names)
 
     def of_batch(given, texts):
-        digests = [] if sets else None
-        found = _fingerprints(texts, words, size, digests)
-        given = given | {f"fp{w}": found[:, w] for w in range(size)}
-        return given | {"_set": np.array(digests, np.uint64).view(np.int64)} if sets else given
+        found = _fingerprints(texts, words, size)
+        return given | {f"fp{w}": found[:, w] for w in range(size)}
 
     out = over_texts(docs.select(*kept, utf8(text).alias("_text")), schema, of_batch)
     return out.withColumnsRenamed({f"_k{i}": c for i, c in enumerate(keep)})
 
 
-def shingles(docs: DataFrame, text: str, keep: tuple[str, ...], words: int) -> DataFrame:
-    """The ``keep`` columns (long) and ``_shingles``, the distinct hashes of a text's word shingles."""
-    schema = ", ".join([*(f"{c} bigint" for c in keep), "_shingles array<bigint>"])
-
-    def of_batch(given, texts):
-        return given | {"_shingles": [_distinct(_hashes(x, words)).view(np.int64) for x in texts]}
-
-    return over_texts(docs.select(*(F.col(c).cast("bigint").alias(c) for c in keep), utf8(text).alias("_text")), schema, of_batch)
-
-
-def _distinct(hashes: list[int]) -> np.ndarray:
-    return np.unique(np.array(hashes, np.uint64))
-
-
 def _hashes(text: bytes, words: int) -> list[int]:
     joined = b" ".join(text.lower().split())
     starts, ends = spans(joined)
@@ -137,7 +102,7 @@ def _hashes(text: bytes, words: int) -> list[int]:
     return [of(joined[a:b], SEED) for a, b in zip(starts.tolist(), ends[words - 1 :].tolist())]
 
 
-def _fingerprints(texts: list[bytes], words: int, size: int, digests: list[int] | None = None) -> np.ndarray:
+def _fingerprints(texts: list[bytes], words: int, size: int) -> np.ndarray:
     out = np.zeros((len(texts), size), np.int64)
     held: list[int] = []
     counts: list[int] = []
@@ -146,8 +111,6 @@ def _fingerprints(texts: list[bytes], words: int, size: int, digests: list[int]
         found = _hashes(text, words)
         held += found
         counts.append(len(found))
-        if digests is not None:
-            digests.append(xxhash.xxh64_intdigest(_distinct(found).tobytes(), SEED))
         if len(held) >= _CHUNK or at + 1 == len(texts):
             out[first : at + 1] = _majority(np.array(held, np.uint64), np.array(counts), size)
             held, counts, first = [], [], at + 1
@@ -190,12 +153,11 @@ def _mixed(hashes: np.ndarray, word: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def links(classes: DataFrame, ring: Ring, gather: Callable = buckets.spanning) -> DataFrame:
+def links(classes: DataFrame, ring: Ring) -> DataFrame:
     """Links (u, v) that connect what lies within ``ring.distance``, among ``classes`` (_id, fp0, ...).
 
     ``classes`` holds every number once. The links of a bucket come as a spanning forest, never as
-    all of its pairs; whatever two fingerprints are linked, some path of links joins them. With ``every_pair``
-    for ``gather`` they are all pairs.
+    all of its pairs; whatever two fingerprints are linked, some path of links joins them.
     """
     size = ring.bits // 64
     names = [f"fp{w}" for w in range(size)]
@@ -209,18 +171,16 @@ def links(classes: DataFrame, ring: Ring, gather: Callable = buckets.spanning) -
             ids = np.asarray(batch.column(0))
             codes = np.stack([np.asarray(batch.column(1 + w)) for w in range(size)], axis=1)
             bit = np.unpackbits(codes.view(np.uint8), axis=1, bitorder="little")
-            for r, segments in enumerate(layout):
-                for s, places in enumerate(segments):
-                    value = bit[:, places] @ (1 << np.arange(len(places), dtype=np.int64))
-                    for flip in (0, *(1 << b for b in range(len(places) * ring.radius))):
-                        columns = [(value ^ flip) + ((r * ring.segments + s) << 40), ids, *codes.T]
-                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["_bucket", "_id", *names])
+            for s, places in enumerate(layout):
+                value = bit[:, places] @ (1 << np.arange(len(places), dtype=np.int64))
+                columns = [value + (s << 40), ids, *codes.T]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["_bucket", "_id", *names])
 
     def within(columns, i, j):
         start = columns["_bucket"][i] >> 40
         differ = [(columns[n][i] ^ columns[n][j]).view(np.uint64) for n in names]
         spent = np.zeros(len(i), np.int64)
-        for step in range(1, ring.chain):
+        for step in range(1, ring.segments):  # the last step has spent all bits: the full check
             mask = masks[start, step]
             for w in range(size):
                 spent += np.bitwise_count(differ[w] & mask[:, w])
@@ -229,28 +189,10 @@ def links(classes: DataFrame, ring: Ring, gather: Callable = buckets.spanning) -
             differ = [x[viable] for x in differ]
             if not len(i):
                 return None
-        near = sum(np.bitwise_count(x).astype(np.int64) for x in differ) <= ring.distance
-        return (i[near], j[near]) if near.any() else None
-
-    def close(columns, i, j):
-        spent = np.zeros(len(i), np.uint8)
-        for n in names:
-            spent = spent + np.bitwise_count((columns[n][i] ^ columns[n][j]).view(np.uint64))
-            near = np.flatnonzero(spent <= ring.distance)
-            if not len(near):
-                return None
-            i, j, spent = i[near], j[near], spent[near]
         return i, j
 
     rows = classes.select("_id", *names).mapInArrow(index, schema)
-    return buckets.compare(buckets.blocks(rows), within if ring.chain > 1 else close, gather, "u bigint, v bigint")
-
-
-def every_pair(columns: dict[str, np.ndarray], found: list[tuple[np.ndarray, np.ndarray]]) -> tuple:
-    """Links as found, the smaller number first."""
-    u = columns["_id"][np.concatenate([x[0] for x in found])] if found else np.zeros(0, np.int64)
-    v = columns["_id"][np.concatenate([x[1] for x in found])] if found else np.zeros(0, np.int64)
-    return np.minimum(u, v), np.maximum(u, v)
+    return buckets.compare(buckets.blocks(rows), within, buckets.spanning, "u bigint, v bigint")
 
 
 def grouped(prints: DataFrame, ring: Ring) -> DataFrame:
@@ -286,25 +228,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
     return prints.join(by_print, names)
 
 
-#: Shingles that two texts must share of all that either has, in fifths, for one of them to go.
-FIFTHS = 4
-#: Comparison with leaders goes on while a round settles one in so many of the classes that it compares.
-SETTLED = 4
-
+def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = 4, ring: Ring = NEAR) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each group the row with the smallest key stays, nulls last.
 
-def one_of_each(
-    docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5, ring: Ring = WHOLE
-) -> DataFrame:
-    """The rows of ``docs`` without near copies: of texts whose distinct shingles have a Jaccard similarity of 0.8, the
-    one with the smallest key stays, nulls last.
-
-    Fingerprints only say what is compared: classes of equal shingles that paths of near fingerprints join are compared
-    with the first of them, and go if they are similar. The others are grouped anew among themselves; when leaders settle
-    few of them, all their near pairs are compared, and of what similar pairs join one stays. So no row goes
-    without a similar row (or, at the end, a path of similar rows) to one that stays, and no two rows stay that are
-    similar and have near fingerprints. No step makes the pairs of a group of copies.
-
-    Rows that are equal in key and text are one row. Columns are those of ``docs``, whatever their names.
+    Groups are those of ``near_duplicates``. Rows that share the smallest key are told apart by a hash of the text, and
+    rows that are equal in key and text are one row. Texts without words are one group. Columns are those of
+    ``docs``, whatever their names; an empty table gives an empty one.
     """
     marked = docs.select(
         F.struct("*").alias("_row"),
@@ -313,49 +242,14 @@ def one_of_each(
         F.col(text).alias("_row_words"),
     )
     kept = ("_row_key", "_row_text")
-    prints = fingerprints(marked, "_row_words", kept, words, ring.bits, sets=True)
     names = [f"fp{w}" for w in range(ring.bits // 64)]
-    first = F.min(F.struct(F.col("_row_key").isNull().alias("n"), *kept)).alias("_first")
-    classes = prints.groupBy(*names, "_set").agg(first).withColumn("_id", F.xxhash64(*names, "_set"))
-    classes = stage(classes.select("_id", *names, "_first"), "fingerprints")
-    gone, sets, left = [], None, classes
-
-    def similar(pairs: DataFrame) -> DataFrame:
-        """Whether _a and _b of every row are; a _b of many rows is a skewed key of the second join."""
-        a, b = (sets.withColumnsRenamed({"_id": f"_{x}", "_shingles": f"_of_{x}"}) for x in "ab")
-        both = F.size(F.array_intersect("_of_a", "_of_b"))
-        enough = both * 5 >= (F.size("_of_a") + F.size("_of_b") - both) * FIFTHS
-        return pairs.join(a, "_a").join(b, "_b").select("_a", "_b", enough.alias("_similar"))
-
-    while True:
-        found = stage(graph.components(links(left, ring)), "near")
-        members = stage(left.join(found.withColumnRenamed("node", "_id"), "_id").select("_id", "_first", "component"), "members")
-        if sets is None:
-            # The shingles of what is near anything else: one text of each class.
-            texts = members.select("_id", F.col("_first._row_key").alias("_k"), F.col("_first._row_text").alias("_t"))
-            wanted = F.col("_row_key").eqNullSafe(F.col("_k")) & (F.col("_row_text") == F.col("_t"))
-            texts = marked.join(texts, wanted).dropDuplicates(["_id"])
-            sets = stage(shingles(texts, "_row_words", ("_id",), words), "shingles")
-        leaders = members.groupBy("component").agg(F.min(F.struct("_first", "_id"))["_id"].alias("_b"))
-        pairs = members.select(F.col("_id").alias("_a"), "component").join(leaders, "component").filter("_a <> _b")
-        settled = stage(similar(pairs), "settled")
-        gone.append(settled.filter("_similar").select(F.col("_a").alias("_id")))
-        rest = settled.filter("NOT _similar").select(F.col("_a").alias("_id"))
-        went, stayed = settled.agg(F.count_if("_similar"), F.count_if(~F.col("_similar"))).first()
-        if not stayed:
-            break
-        left = stage(left.join(rest, "_id", "left_semi"), "rest")
-        if went * SETTLED < went + stayed:
-            near = links(left, ring, every_pair).distinct().withColumnsRenamed({"u": "_a", "v": "_b"})
-            found = similar(near).filter("_similar").select(F.col("_a").alias("u"), F.col("_b").alias("v"))
-            found = stage(graph.components(stage(found, "similar")), "groups").withColumnRenamed("node", "_id")
-            members = left.join(found, "_id").select("_id", "_first", "component")
-            leaders = members.groupBy("component").agg(F.min(F.struct("_first", "_id"))["_id"].alias("_b"))
-            gone.append(members.join(leaders, "component").filter("_id <> _b").select("_id"))
-            break
-    for x in gone:
-        classes = classes.join(x, "_id", "left_anti")
-    stay = classes.select(F.col("_first._row_key").alias("_stay_key"), F.col("_first._row_text").alias("_stay_text"))
+    first = F.struct(F.col("_row_key").isNull().alias("n"), *kept)
+    prints = stage(
+        fingerprints(marked, "_row_words", kept, words, ring.bits).groupBy(*names).agg(F.min(first).alias("_first")),
+        "fingerprints",
+    )
+    stay = prints.join(grouped(prints, ring), names).groupBy("_group").agg(F.min("_first").alias("_first"))
+    stay = stay.select(F.col("_first._row_key").alias("_stay_key"), F.col("_first._row_text").alias("_stay_text"))
     same = F.col("_row_key").eqNullSafe(F.col("_stay_key")) & (F.col("_row_text") == F.col("_stay_text"))
     staying = marked.drop("_row_words").join(stay, same, "left_semi")
     return staying.dropDuplicates(list(kept)).select("_row.*")

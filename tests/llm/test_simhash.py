@@ -4,7 +4,6 @@ import random
 from collections import Counter
 
 import brute
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,47 +70,33 @@ def test_links_miss_nothing(spark):
         assert sorted(map(sorted, by.values())) == sorted(map(sorted, want.values()))
 
 
-def test_wide_ring_finds_similar_fingerprints():
-    """Recall of the shuffled rings at 0.8 and more of 128 equal bits."""
-    ring, rng = simhash.SIMILAR, np.random.default_rng(1)
-    layout, masks, budgets = ring.layout(), ring.masks(), ring.budgets()
-    hit = 0
-    for _ in range(400):
-        differ = np.zeros(128, np.uint8)
-        differ[rng.choice(128, rng.integers(0, 26), replace=False)] = 1
-        x = np.packbits(differ, bitorder="little").view(np.uint64)
-        viable = False
-        for r, segments in enumerate(layout):
-            for s, places in enumerate(segments):
-                spent, ok = 0, not differ[places].any()
-                for step in range(1, ring.chain):
-                    spent += int(np.bitwise_count(x & masks[r * ring.segments + s, step]).sum())
-                    ok = ok and spent <= budgets[step]
-                viable |= ok
-        hit += viable
-    assert hit >= 380
-
-
-@pytest.mark.parametrize("distance", [22, 23, 24, 25])
-def test_no_pair_within_25_bits_is_lost(spark, distance):
-    """Every pair of the pipeline's distance is linked, none beyond it."""
-    rng = np.random.default_rng(distance)
-    left = rng.integers(-(1 << 63), 1 << 63, (300, 2), np.int64)
-
-    def apart(bits):
-        flips = np.zeros((len(left), 128), np.uint8)
-        for row in flips:
-            row[rng.choice(128, bits, replace=False)] = 1
-        return left ^ np.packbits(flips, axis=1, bitorder="little").view(np.int64)
-
-    rows = [(i * 1000 + k, *map(int, x)) for k, codes in enumerate((left, apart(distance), apart(26))) for i, x in enumerate(codes)]
-    ring = simhash.one_of_each.__defaults__[-1]
-    found = simhash.links(spark.createDataFrame(rows, "_id bigint, fp0 bigint, fp1 bigint"), ring).distinct().collect()
-    pairs = {(min(r), max(r)) for r in found}
-    prints = {i: x for i, *x in rows}
-    assert {(i * 1000, i * 1000 + 1) for i in range(300)} <= pairs
-    bits = [sum(((a ^ b) & (1 << 64) - 1).bit_count() for a, b in zip(prints[u], prints[v])) for u, v in pairs]
-    assert max(bits) <= 25
+@pytest.mark.parametrize("partitions", [8, 64])
+def test_forest_rows_do_not_grow_with_the_tasks(spark, partitions, monkeypatch):
+    """A large group of near copies: rows that leave the spanning step, against its fingerprints."""
+    rng = random.Random(7)
+    centre = rng.getrandbits(63)
+    prints = {centre ^ sum(1 << b for b in rng.sample(range(63), rng.randint(0, 2))) for _ in range(700)}
+    emitted = spark.sparkContext.accumulator(0)
+    spanned = simhash.graph.forest
+
+    def counted(batches):
+        for batch in spanned(batches):
+            emitted.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(simhash.graph, "forest", counted)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    settings = {"spark.sql.shuffle.partitions": str(partitions), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        groups = simhash.grouped(spark.createDataFrame([(x,) for x in prints], "fp0 bigint"), simhash.NEAR).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len({r._group for r in groups}) == 1
+    rounds = 4
+    assert emitted.value <= 2 * rounds * len(prints)
 
 
 def test_one_of_each_keeps_clean_rows(spark, odd_documents):
@@ -123,55 +108,15 @@ def test_one_of_each_keeps_clean_rows(spark, odd_documents):
     ]
 
 
-@pytest.mark.parametrize("edits", [1, 2])
-def test_near_copies_go(spark, documents, edits):
-    rng = random.Random(edits)
-    base = [r for r in documents.collect() if len(r.text.split()) > 100 * edits][:40]
-    copies = []
-    for r in base:
-        w = r.text.split(" ")
-        for _ in range(edits):
-            w[rng.randrange(len(w))] = "changed"
-        copies.append((10_000 + r.doc_id, " ".join(w), r.lang, r.source, r.n_chars))
-    docs = spark.createDataFrame([tuple(r) for r in base], documents.schema).unionByName(
-        spark.createDataFrame(copies, documents.schema)
-    )
-    kept = {r.doc_id for r in simhash.one_of_each(docs).collect()}
-    assert sum(i >= 10_000 for i in kept) <= 1
-
-
-def test_what_goes_is_similar(spark):
-    """Rows go for a shingle similarity of 0.8 and nothing less, also short and templated ones."""
-    rng = random.Random(3)
-    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=7))
-    rows = []
-    for _ in range(60):  # 40 of 44 words in common, and texts of eight words that differ in the last one
-        long, short = [word() for _ in range(40)], [word() for _ in range(7)]
-        rows += [" ".join([*long, *(word() for _ in range(4))]) for _ in range(3)]
-        rows += [" ".join([*short, word()]) for _ in range(3)]
-    chain = [word() for _ in range(260)]  # each is similar to the next ones only
-    rows += [" ".join(chain[i : i + 200]) for i in range(0, 60, 6)]
-    base = [word() for _ in range(200)]
-    for _ in range(60):  # near copies of one text, the text itself in between
-        at = rng.randrange(200)
-        rows.append(" ".join([*base[:at], word(), *base[at + 1 :]]))
-    rows.insert(len(rows) - 30, " ".join(base))
-    sets = [brute_shingles(x) for x in rows]
-
-    def jaccard(a, b):
-        return len(sets[a] & sets[b]) / len(sets[a] | sets[b])
-
-    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
-    kept = sorted(r.doc_id for r in simhash.one_of_each(docs).collect())
-    for gone in set(range(len(rows))) - set(kept):
-        assert max(jaccard(gone, k) for k in range(len(rows)) if k < gone) >= 0.8
-    near = [(a, b) for a in kept for b in kept if a < b and jaccard(a, b) >= 0.8]
-    prints = simhash._fingerprints([x.encode() for x in rows], 5, 2).view(np.uint64)
-    assert not [p for p in near if np.bitwise_count(prints[p[0]] ^ prints[p[1]]).sum() <= 25]
-    assert set(range(360)) <= set(kept) | {b for a in range(360) for b in range(a + 1, a + 6) if b < 360 and jaccard(a, b) >= 0.8}
-    assert len([k for k in kept if k >= 370]) == 1
-
-
-def brute_shingles(text):
-    words = text.split()
-    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+def test_one_document_of_each_group_stays(spark, documents, sf_dir):
+    """The pipeline's stage keeps the smallest key of every group of the query, and nothing else."""
+    kept = sorted(r.doc_id for r in simhash.one_of_each(documents).collect())
+    groups = queries.op5_simhash(spark, sf_dir).collect()
+    assert kept == sorted({r.component_id for r in groups})
+
+
+def test_which_row_of_a_group_stays(spark):
+    text = "one two three four five six seven eight nine ten"
+    rows = [(None, text, "a"), (7, text, "b"), (3, text.upper(), "c"), (3, text, "d"), (None, "x", "e"), (None, "x", "f"), (9, "y", "g")]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string, _row string")).collect()
+    assert sorted((r.doc_id or 0, r.text.lower()) for r in kept) == [(0, "x"), (3, text), (9, "y")]
