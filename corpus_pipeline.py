@@ -1,8 +1,8 @@
 """From raw documents to token ids: five stages, each over all that the one before kept.
 
 1. toxicity: documents scored 0.7 or more by a lexicon learned from the labels go.
-2. near duplicates: one document of each group stays, the one with the smallest doc_id. Texts whose fingerprints of
-   128 bits over five-word shingles differ in 25 bits at most are compared; a Jaccard similarity of 0.8 links them.
+2. near duplicates: fingerprints over four-word shingles that differ in 4 bits at most are linked; one document of each
+   group stays, the one with the smallest doc_id.
 3. repeated passages: words in windows of 35 that occur anywhere else go, everywhere; documents all stay.
 4. mixing: documents are left out or repeated so that sources meet their target weights, in training order. The order ends
    with this stage: its rows carry no position, and Spark packs its files anew when they are read.
