@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitepulse.llm import arc, language, masked, mixing, pieces, search, simhash, substrings, toxicity, vectors
+from sitepulse.llm import arc, language, masked, mixing, pieces, search, simhash, sketches, spelling, substrings, toxicity, vectors, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +71,21 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of all documents with its more frequent spelling."""
+    return spelling.report(_table(spark, sf_dir, "documents"))
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sketch of every document and of its edited text, and how like they and the next document's are."""
+    return sketches.report(_table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the 32 strongest whitened components of all of them."""
+    return whitening.report(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict:
     return {
         "op1_vectors": (op1_vectors, vectors.SQL),
@@ -83,4 +98,7 @@ def queries() -> dict:
         "op8_toxicity": (op8_toxicity, None),
         "op9_language": (op9_language, None),
         "op10_substrings": (op10_substrings, None),
+        "op11_spelling": (op11_spelling, None),
+        "op12_fingerprints": (op12_fingerprints, None),
+        "op13_whitening": (op13_whitening, None),
     }
