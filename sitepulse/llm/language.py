@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 from sitepulse.llm.text import over_texts, utf8, values
 from sitepulse.session import stage
 
-_HIDDEN = re.compile(r"(?is)<(script|style|noscript)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
-# Of the first <html> tag that names one, wherever it stands in the page.
-_LANG = r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})\b"
+_OPENED = re.compile(r"(?i)<(?:(script|style|noscript)\b|!--)")
+_CLOSED = {kind: re.compile(rf"(?i)</{kind}\s*>") for kind in ("script", "style", "noscript")} | {"comment": re.compile("-->")}
+# Every <html> tag, up to its end or that of the page, and the language it names. Neither goes back over what it read.
+_TAGS, _LANG = r"(?i)<html\b[^>]*+", r"(?is)^<html\b.*?\blang\s*+=\s*+[\"']?+([a-z]{2,3})\b"
 _HOST = r"(?i)^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:\s]+)"
 
 
@@ -53,8 +54,22 @@ def trigrams(text: str, buckets: int) -> np.ndarray:
 
 
 def visible(page: str) -> str:
-    """Text of a page without markup, scripts and styles."""
-    return markup.unescape(_HIDDEN.sub(" ", page))
+    """Text of a page without tags, comments, and scripts and styles that are closed; in one pass over the page."""
+    out, at, unclosed = [], 0, set()
+    while (start := page.find("<", at)) >= 0:
+        opened = _OPENED.match(page, start)
+        kind = (opened[1] or "comment").lower() if opened else None
+        end = None
+        if kind and kind not in unclosed:
+            end = _CLOSED[kind].search(page, opened.end())
+            if end is None:
+                unclosed.add(kind)  # nor further on
+        stop = end.end() if end else page.find(">", start) + 1
+        if not stop:
+            break
+        out += [page[at:start], " "]
+        at = stop
+    return markup.unescape("".join([*out, page[at:]]))
 
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", settings: Settings = Settings()) -> TextModel:
@@ -98,14 +113,16 @@ def evidence(pages: DataFrame, model: TextModel, key: str, url: str, html: str,
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), _HOST, 1))
     host = F.rtrim(host, F.lit("."))
     host = F.when(host != "", host)
-    named = F.lower(F.regexp_extract(F.coalesce(F.col(html), F.lit("")), _LANG, 1))
+    # Of the first <html> tag that names one, wherever it stands in the page.
+    tags = F.regexp_extract_all(F.coalesce(F.col(html), F.lit("")), F.lit(_TAGS), F.lit(0))
+    named = F.filter(F.transform(tags, lambda t: F.lower(F.regexp_extract(t, _LANG, 1))), lambda x: x != "")
     labels = F.split(host, r"\.")
     rows = pages.select(
         F.col(key).cast("bigint").alias("_key"),
         host.alias("_host"),
         F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), ".").alias("_domain"),
         F.element_at(labels, -1).alias("_suffix"),
-        F.when(named != "", named).alias("_declared"),
+        F.get(named, F.lit(0)).alias("_declared"),
         utf8(html).alias("_text"),
     )
 

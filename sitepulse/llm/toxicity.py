@@ -51,13 +51,13 @@ class Training:
     """Bounds and thresholds of the fit; rows are taken in the order of a hash of their key."""
 
     rows: int = 20_000  # labelled documents at most
-    entries: int = 4_000  # lexicon entries at most
+    entries: int | None = None  # lexicon entries at most, if bounded
     beginnings: tuple[int, ...] = (4, 5, 6)
     least_documents: float = 0.004  # share of the toxic rows that an entry is found in; two rows at least
     least_weight: float = 3.0
     least_share: float = 0.6  # of toxic documents among those a lexicon entry is found in, on other rows
     least_exception: int = 3
-    phrases: int = 1_000
+    phrases: int | None = None  # exception phrases at most, if bounded
 
 
 @dataclass(frozen=True)
@@ -156,7 +156,8 @@ def learn(
     counted = _counts(first.filter("_toxic = 1"), training, None).filter(
         F.col("n") >= max(2, math.ceil(training.least_documents * toxic))
     )
-    common = {r.entry: r.n for r in counted.orderBy(F.desc("n"), "entry").limit(25 * training.entries).collect()}
+    # The share of the toxic rows that an entry needs bounds their number by that of the words of 250 average texts.
+    common = {r.entry: r.n for r in counted.collect()}
     among = {r.entry: r.n for r in _counts(first.filter("_toxic = 0"), training, frozenset(common)).collect()}
     weights = {
         e: math.log((n + 0.5) / (toxic + 1)) - math.log((among.get(e, 0) + 0.5) / (clean + 1)) for e, n in common.items()
@@ -193,8 +194,9 @@ def _confirmed(draft: Lexicon, texts: DataFrame, training: Training) -> Lexicon:
         _usage(Lexicon(kept, draft.exceptions, draft.curve), texts)
         .filter(f"kind = 'phrase' and toxic = 0 and n >= {training.least_exception}")
         .orderBy(F.desc("n"), "entry")
-        .limit(training.phrases)
     )
+    if training.phrases is not None:
+        phrases = phrases.limit(training.phrases)
     lexicon = Lexicon(kept, (*draft.exceptions, *(r.entry for r in phrases.collect())), draft.curve)
 
     @F.arrow_udf("double")
