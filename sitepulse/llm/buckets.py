@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitepulse.llm.text import arrow_schema
@@ -22,16 +22,20 @@ BROADCAST_ROWS = 100_000
 Pairs = Callable[[dict[str, np.ndarray], np.ndarray, np.ndarray], object]
 
 
-def blocks(rows: DataFrame, block: int = BLOCK) -> DataFrame:
+def sampled() -> Column:
+    """Whether a row's ``_id`` is among those that are counted."""
+    return F.pmod(F.xxhash64("_id"), F.lit(SAMPLE)) == 0
+
+
+def blocks(rows: DataFrame, block: int = BLOCK, *, sample: DataFrame | None = None) -> DataFrame:
     """Add ``_pair`` to rows of ``_bucket`` (long) and ``_id`` (long).
 
     Two rows of a bucket are to be compared where they meet, in the rows with equal bucket and pair. A small
     bucket is one pair; a bucket of n blocks makes n(n+1)/2, and each of its rows enters n of them. Rows that
     enter a pair of different blocks carry their block in ``_side``, and only different sides are compared
-    there; a block with itself has side -1.
+    there; a block with itself has side -1. ``sample`` are the rows of ``sampled`` ids, if they come cheaper on their own.
     """
-    spark = rows.sparkSession
-    counted = rows.filter(F.pmod(F.xxhash64("_id"), F.lit(SAMPLE)) == 0).groupBy("_bucket").count()
+    counted = (rows.filter(sampled()) if sample is None else sample).groupBy("_bucket").count()
     hot = stage(
         counted.filter(F.col("count") * SAMPLE > block).select(
             "_bucket", F.ceil(F.col("count") * SAMPLE / block).cast("int").alias("_parts")

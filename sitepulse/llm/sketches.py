@@ -24,13 +24,13 @@ TABLES = 3
 #: Cells a table of a fingerprint.
 WIDTH = 4
 #: Peeling steps of an attempt; each goes over one table.
-STEPS = 9
+STEPS = 6
 #: Buckets a shuffle partition that neighbours are searched in.
 BUCKETS = 4
 #: Attempts; each is four times as wide as the one before, so this many are never needed.
 ATTEMPTS = 20
 
-_GROUP = ["_row", "_kind", "_width", "_cell", "_digest"]
+_PAIR = ["_row", "_kind", "_width"]
 
 
 def digests(text: Column) -> Column:
@@ -82,23 +82,22 @@ def _in_order(place) -> tuple:
 
 
 def _check(key: Column, seed: int) -> Column:
-    return F.xxhash64(key, F.lit(seed), F.lit("check"))
+    return F.xxhash64(key, F.lit(seed), F.lit(TABLES))
 
 
 def _cell(table: int, key: Column, seed: int) -> Column:
     return (F.col("_width") * table + F.pmod(F.xxhash64(key, F.lit(seed), F.lit(table)), F.col("_width"))).cast("bigint")
 
 
-def _content(cell: Column, digest: Column, count: Column, key: Column, check: Column) -> Column:
-    return F.struct(
-        cell.alias("_cell"), digest.cast("bigint").alias("_digest"), count.cast("bigint").alias("_count"),
-        key.cast("bigint").alias("_key"), check.cast("bigint").alias("_check"),
-    )
+def _content(cell: Column | int, count: Column | int, key: Column | int, check: Column | int, digest: Column | None = None) -> Column:
+    fields = {"_cell": cell, "_count": count, "_key": key, "_check": check} | ({} if digest is None else {"_digest": digest})
+    return F.struct(*((x if isinstance(x, Column) else F.lit(x)).cast("bigint").alias(name) for name, x in fields.items()))
 
 
 def _added(rows: DataFrame) -> DataFrame:
     """Cells of the same place added up; empty ones go."""
-    added = rows.groupBy(*_GROUP).agg(
+    place = [*_PAIR, "_cell", *(["_digest"] if "_digest" in rows.columns else [])]
+    added = rows.groupBy(*place).agg(
         F.sum("_count").alias("_count"), F.bit_xor("_key").alias("_key"), F.bit_xor("_check").alias("_check")
     )
     return added.filter("_cell < 0 OR _count <> 0 OR _key <> 0 OR _check <> 0")
@@ -107,36 +106,38 @@ def _added(rows: DataFrame) -> DataFrame:
 def subtracted(pairs: DataFrame, seed: int = 0) -> DataFrame:
     """The sketch of ``_a`` minus that of ``_b``, arrays of digests, for every ``_row`` and ``_kind``, ``_width`` wide."""
     signed = lambda side, sign: F.transform(side, lambda d: F.struct(d.alias("_key"), F.lit(sign).alias("_count")))
-    entries = pairs.select("_row", "_kind", "_width", F.inline(F.concat(signed("_a", 1), signed("_b", -1))))
+    entries = pairs.select(*_PAIR, F.inline(F.concat(signed("_a", 1), signed("_b", -1))))
     key = F.col("_key")
-    into = [_content(_cell(t, key, seed), F.lit(None), F.col("_count"), key, _check(key, seed)) for t in range(TABLES)]
-    return _added(entries.select("_row", "_kind", "_width", F.inline(F.array(*into))))
+    into = [_content(_cell(t, key, seed), F.col("_count"), key, _check(key, seed)) for t in range(TABLES)]
+    return _added(entries.select(*_PAIR, F.inline(F.array(*into))))
 
 
-def peeled(cells: DataFrame, seed: int = 0, steps: int = STEPS) -> DataFrame:
-    """``cells`` after peeling: what was recovered has cell -1, its ``_digest``, and ``_count`` 1 (only in a) or -1."""
-    key, count = F.col("_key"), F.col("_count")
-    own = _content(F.col("_cell"), F.col("_digest"), count, key, F.col("_check"))
+def peeled(cells: DataFrame, seed: int = 0, steps: int = STEPS, kept: bool = True) -> DataFrame:
+    """``cells`` after peeling: what was recovered from the first side has cell -1, from the second -2.
+
+    It comes as a row per ``_digest``, or, unless they are to be ``kept``, as one row a side with their number as ``_count``.
+    """
+    key, count, check = F.col("_key"), F.col("_count"), F.col("_check")
+    if kept:
+        cells = cells.withColumn("_digest", F.lit(None).cast("bigint"))
+    none, known = (F.lit(None), F.col("_digest")) if kept else (None, None)
     for step in range(steps):
         table = step % TABLES  # a digest is in one cell of a table, so no step meets it twice
         here = F.floor(F.col("_cell") / F.col("_width")) == table
-        pure = here & (F.abs(count) == 1) & (F.col("_check") == _check(key, seed))
-        taken = [_content(_cell(t, key, seed), F.lit(None), -count, key, F.col("_check")) for t in range(TABLES) if t != table]
-        found = _content(F.lit(-1).cast("bigint"), key, count, F.lit(0), F.lit(0))
-        after = F.when(pure, F.array(*taken, found)).otherwise(F.array(own))
-        cells = _added(cells.select("_row", "_kind", "_width", F.inline(after)))
+        pure = here & (F.abs(count) == 1) & (check == _check(key, seed))
+        taken = [_content(_cell(t, key, seed), -count, key, check, none) for t in range(TABLES) if t != table]
+        found = _content(F.when(count > 0, -1).otherwise(-2), 1, 0, 0, key if kept else None)
+        after = F.when(pure, F.array(*taken, found)).otherwise(F.array(_content(F.col("_cell"), count, key, check, known)))
+        cells = _added(cells.select(*_PAIR, F.inline(after)))
     return cells
 
 
-def differences(rows: DataFrame, kinds: dict[int, tuple[str, str]], found=None) -> DataFrame:
-    """For every ``_row`` and kind, what ``found`` makes of the digests that only one of two columns has.
+def _settled(rows: DataFrame, kinds: dict[int, tuple[str, str]], kept: bool) -> list[DataFrame]:
+    """Peeled cells of the pairs that left none, attempt by attempt, each staged.
 
-    ``rows`` are staged: ``_row`` is unique, the columns named in ``kinds`` are arrays of distinct digests. By default
-    the result is a row per differing digest: ``_row``, ``_kind``, ``_digest`` and ``_count``, 1 if only the first column has it,
-    -1 if only the second. Pairs whose peeling ends with cells left are sketched again, wider and with other hashes;
-    every pair is settled in the end.
+    Pairs whose peeling ends with cells left are sketched again, with other hashes, at first as wide as all their digests
+    ask for, then four times as wide each time; every pair is settled in the end.
     """
-    groups = ["_row", "_kind"]
     results, todo = [], None
     for attempt in range(ATTEMPTS):
         if todo is None:
@@ -146,29 +147,45 @@ def differences(rows: DataFrame, kinds: dict[int, tuple[str, str]], found=None)
             given = rows.join(todo.groupBy("_row").agg(F.collect_set("_kind").alias("_kinds")).hint("merge"), "_row")
         each = []
         for kind, (a, b) in kinds.items():
-            wide = F.lit(WIDTH) if not attempt else WIDTH + F.ceil((F.size(a) + F.size(b)) * 4.0 ** (attempt - 2))
+            wide = F.lit(WIDTH) if not attempt else WIDTH + (F.size(a) + F.size(b)) * 4 ** (attempt - 1)
             each.append(F.struct(F.lit(kind).alias("_kind"), wide.cast("bigint").alias("_width"), F.col(a).alias("_a"), F.col(b).alias("_b")))
         asked = F.array(*each) if todo is None else F.filter(F.array(*each), lambda p: F.array_contains("_kinds", p["_kind"]))
-        state = peeled(subtracted(given.select("_row", F.inline(asked)), attempt), attempt)
-        if found is not None:
-            state = state.groupBy(*groups).agg(*found, F.count_if(F.col("_cell") >= 0).alias("_left"))
+        state = peeled(subtracted(given.select("_row", F.inline(asked)), attempt), attempt, kept=kept)
+        left = F.count_if(F.col("_cell") >= 0)
+        if kept:
+            state = state.withColumn("_left", left.over(Window.partitionBy("_row", "_kind")))
         else:
-            left = F.count_if(F.col("_cell") >= 0).over(Window.partitionBy(*groups))
-            state = state.withColumn("_left", left).select(*groups, "_digest", "_count", "_left", "_cell")
+            side = lambda cell: F.coalesce(F.max(F.when(F.col("_cell") == cell, F.col("_count"))), F.lit(0))
+            state = state.groupBy("_row", "_kind").agg(side(-1).alias("_first"), side(-2).alias("_second"), left.alias("_left"))
         state = stage(state, "differences")
-        done = state.filter("_left = 0")
-        results.append(done.select(*groups, "_digest", "_count") if found is None else done.drop("_left"))
-        todo = state.filter("_left > 0").select(*groups).distinct()
+        results.append(state.filter("_left = 0"))
+        todo = state.filter("_left > 0").select("_row", "_kind").distinct()
         if todo.isEmpty():
-            break
-    else:
-        raise RuntimeError("sketches of any width left cells")
-    out = results[0]
-    for more in results[1:]:
+            return results
+    raise RuntimeError("sketches of any width left cells")
+
+
+def _together(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for more in parts[1:]:
         out = out.unionByName(more)
     return out
 
 
+def differences(rows: DataFrame, kinds: dict[int, tuple[str, str]]) -> DataFrame:
+    """The digests that only one of two columns has: ``_row``, ``_kind``, ``_digest``, and ``_side``, 1 or 2.
+
+    ``rows`` are staged: ``_row`` is unique, the columns named in ``kinds`` are arrays of distinct digests.
+    """
+    found = _together(_settled(rows, kinds, True)).filter("_cell < 0")
+    return found.select("_row", "_kind", "_digest", (-F.col("_cell")).cast("int").alias("_side"))
+
+
+def difference_sizes(rows: DataFrame, kinds: dict[int, tuple[str, str]]) -> DataFrame:
+    """How many digests only the first or second of two columns has: ``_row``, ``_kind``, ``_first``, ``_second``; no row for none."""
+    return _together(_settled(rows, kinds, False)).select("_row", "_kind", "_first", "_second")
+
+
 def _fingerprint(kind: int) -> Column:
     """The cells of one kind in order, as text."""
     cell = F.struct("_cell", "_count", "_key", "_check")
@@ -201,8 +218,7 @@ def report(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFram
         ),
         "versions",
     )
-    one_side = lambda sign: F.count_if((F.col("_cell") < 0) & (F.col("_count") == sign))
-    settled = differences(rows, {0: ("_a", "_b"), 1: ("_a", "_c")}, [one_side(1).alias("_first"), one_side(-1).alias("_second")])
+    settled = difference_sizes(rows, {0: ("_a", "_b"), 1: ("_a", "_c")})
     which = lambda name, kind: F.coalesce(F.max(F.when(F.col("_kind") == kind, F.col(name))), F.lit(0)).alias(f"{name}{kind}")
     sides = settled.groupBy("_row").agg(*(which(name, kind) for name in ("_first", "_second") for kind in (0, 1)))
 

@@ -2,22 +2,26 @@
 
 Two words are near if one inserted, deleted or replaced code point makes one of the other. Search:
 
-1. Words are compared in classes: class c holds words of c and of c - 1 code points, so every word is in two classes and
-   two near words meet in that of the longer one.
-2. The gram dictionary of a class: all grams of two code points, and longer ones up to ``longest(c)`` whose beginning is
+1. Words are compared in classes: class c holds words of c code points, the long ones, and of c - 1, the short ones. Every
+   word is long in one class and short in the next, and near words meet in the class of the longer one, at least one of
+   them as a long one.
+2. The gram dictionary: all grams of two code points, and longer ones, up to half of a class, whose beginning is
    frequent. Rare grams are not extended (their lists are short already), so the dictionary is given by its frequent
    grams, whose number is bounded.
 3. A word is decomposed at each place into the longest gram of the dictionary that starts there, without those that lie
    inside an earlier one.
-4. One edit changes at most so many of a word's grams: those that contain the place, and shorter ones right behind it that a
-   new gram may swallow. The others stay, so near words share at least the grams that neither bound allows to change.
-5. Words are listed under their rarest grams, one more than their bound: two near words meet in one list. There
-   the lists' words are merged: pairs that share fewer grams than both bounds leave are dropped, the rest is verified.
+4. One edit changes at most so many of a word's grams, its bound: those that contain the place, and shorter ones right
+   behind it that a new gram may swallow. The others stay, at their place, or one further in the longer word. With grams up to
+   half of the class there is always one that stays.
+5. A short word is in the lists of all its grams, at both places. A long word is in as many lists as its bound and one more,
+   those of its rarest grams: of these one stays, whatever the edit. So each near pair meets in a list. Two long words
+   take their lists in the same order of rarity, so they meet too. What meets in a list is verified.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,16 +40,20 @@ SHORTEST = 7
 #: A form occurs at least so many times as often as its variant.
 RATIO = 10
 #: Code points of the shortest and, in any class, the longest gram.
-GRAM, LONGEST = 2, 6
+GRAM, LONGEST = 2, 8
 #: Frequent grams at most: a gram is frequent if it has more than its share of all. Broadcast, some MB.
 FREQUENT = 1 << 16
-#: Words up to this length carry their grams and are verified as a matrix; longer ones one by one.
+#: Words of so many code points below 256 are verified as two numbers of 64 bits, others one by one.
+PACKED = 16
+#: Words of more code points are verified when their pairs are known, and have no say in which grams are frequent.
 WIDE = 64
+#: Pairs verified at a time.
+_PAIRS = 1 << 18
 
 
 def longest(size: int) -> int:
-    """The longest grams of a class: half of its shorter words, so that one edit leaves a gram of any word as it is."""
-    return max(GRAM, min(LONGEST, (size - 1) // 2))
+    """The longest grams of a class: half of its longer words, so that one edit leaves a gram of any word as it is."""
+    return max(GRAM, min(LONGEST, size // 2))
 
 
 # ---------------------------------------------------------------- words
@@ -73,27 +81,27 @@ def observed(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
 # ---------------------------------------------------------------- grams
 
 
-def frequent_grams(words: DataFrame, most: int = FREQUENT) -> list[str]:
-    """The grams that the dictionary extends: those with more than their share of all grams of all words.
+def frequent_grams(words: DataFrame, most: int = FREQUENT) -> dict[str, int]:
+    """The grams that the dictionary extends, and how often they occur: those with more than their share of all grams.
 
     A word has one gram of each length at each place; a gram is frequent if it has over 1/``most`` of all, so there are
     fewer than ``most``. Words of over 64 code points have no say.
     """
     sizes = range(GRAM, LONGEST)
     places = sum((F.greatest(F.length("word") - size + 1, F.lit(0)) for size in sizes), F.lit(0))
-    words = words.filter(F.length("word").between(LONGEST, WIDE))
+    words = words.filter(F.length("word").between(SHORTEST, WIDE))
     total = words.agg(F.coalesce(F.sum(places.cast("bigint")), F.lit(0))).first()[0]
-    each = [
-        F.transform(F.sequence(F.lit(1), F.length("word") - size + 1), lambda i, size=size: F.substring("word", i, F.lit(size)))
-        for size in sizes
-    ]
-    grams = words.select(F.explode(F.concat(*each)).alias("gram"))
+
+    def each(size: int) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.length("word") - size + 1), lambda i: F.substring("word", i, F.lit(size)))
+
+    grams = words.select(F.explode(F.concat(*map(each, sizes))).alias("gram"))
     kept = grams.groupBy("gram").count().filter(F.col("count") * most > total)
-    return sorted(r.gram for r in kept.select("gram").collect())
+    return {r.gram: r["count"] for r in kept.collect()}
 
 
-def decomposed(word: str, frequent: frozenset[str], most: int) -> tuple[list[tuple[int, int]], int]:
-    """The grams of a word as (first, last) places, and how many of them one edit changes at most."""
+def decomposed(word: str, frequent: Container[str], most: int) -> tuple[tuple[int, int], ...]:
+    """The grams of a word as (first, last) places."""
     size, end, grams = len(word), -1, []
     for first in range(size - GRAM + 1):
         last = first + GRAM - 1
@@ -102,46 +110,51 @@ def decomposed(word: str, frequent: frozenset[str], most: int) -> tuple[list[tup
         if last > end:
             grams.append((first, last))
             end = last
-    # Grams are in order of first and of last place, so those that an edit changes are neighbours.
-    starts, ends = np.array(grams).T
-    short = np.concatenate([[0], np.cumsum(ends - starts + 1 < most)])
-    at = np.arange(size + 1)
-    low, over, behind = np.searchsorted(ends, at), np.searchsorted(starts, at, side="right"), np.searchsorted(starts, at)
+    return tuple(grams)
 
-    def swallowed(first, reach):
-        """Shorter grams from the ``first`` on that end within ``reach`` of a new one."""
-        return short[np.maximum(np.searchsorted(ends, reach, side="right"), first)] - short[first]
 
-    replaced = (over - low + swallowed(over, at + most - 1))[:-1]
-    inserted = behind - low + swallowed(behind, at + most - 2)
-    # The last gram may be short only because the word ends, and grow when something is added.
-    open_end = ends[-1] - starts[-1] + 1 < most and word[starts[-1] :] in frequent
-    inserted[-1] += bool(open_end)
-    return grams, int(max(replaced.max(), inserted.max()))
+@lru_cache(1 << 16)
+def bound(grams: tuple[tuple[int, int], ...], size: int, most: int) -> int:
+    """How many grams of a long word one deleted or replaced code point changes at most."""
+    starts, ends = np.array(grams).T
+    short = np.concatenate([[0], np.cumsum(ends - starts + 1 < most)])
+    # Grams are in order of first and of last place, so those that an edit changes are neighbours: those that contain the
+    # place, and behind it shorter ones up to where a new gram reaches.
+    at = np.arange(size)
+    low, over = np.searchsorted(ends, at), np.searchsorted(starts, at, side="right")
+    reach = np.maximum(np.searchsorted(ends, at + most - 1, side="right"), over)
+    return int((over - low + short[reach] - short[over]).max())
 
 
-def _listed(words: DataFrame, frequent: list[str]) -> DataFrame:
-    """A row per word, class and gram: ``_id``, ``_class``, ``_gram`` (a hash), ``_bound``, ``_count``."""
-    schema = "_id bigint, _class int, _gram bigint, _bound int, _count int"
+def _entries(words: DataFrame, frequent: dict[str, int]) -> DataFrame:
+    """A row per word and list: ``_bucket``, ``_id``, ``_short``, the word as two numbers, or else as ``_word``, empty for a very long one."""
+    schema = "_bucket bigint, _id bigint, _short int, _low bigint, _high bigint, _word string"
     target = arrow_schema(schema)
+    digest = xxhash.xxh64_intdigest
 
     def batch(rows: list[tuple]) -> pa.RecordBatch:
         columns = list(zip(*rows)) if rows else [[] for _ in target]
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, target)], schema=target)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, rows = frozenset(frequent), []
+        rows: list[tuple] = []
         for given in batches:
             for number, word in zip(given.column("_id").to_pylist(), values(given.column("word"))):
-                for size in (len(word), len(word) + 1):
-                    grams, bound = decomposed(word, known, longest(size))
-                    seen: dict[str, int] = {}
-                    for first, last in grams:
-                        gram = word[first : last + 1]
-                        nth = seen[gram] = seen.get(gram, 0) + 1
-                        # Equal grams of a word are told apart by their number, so that common grams are counted.
-                        rows.append((number, size, _hash(f"{nth}:{gram}"), bound, len(grams)))
-                        if len(rows) == 1 << 16:
+                size = len(word)
+                packed = _packed(word)
+                # A very long word stays at home: it may have as many lists as letters.
+                rest = (*packed, None) if packed else (0, 0, word if size <= WIDE else "")
+                for short in (0, 1):
+                    most = longest(size + short)
+                    grams = decomposed(word, frequent, most)
+                    if not short:
+                        rarity = sorted((frequent.get(word[a : b + 1], 0), a, b) for a, b in grams)
+                        grams = [(a, b) for _, a, b in rarity[: (bound if size <= WIDE else bound.__wrapped__)(grams, size, most) + 1]]
+                    for a, b in grams:
+                        for place in (a, a + 1) if short else (a,):
+                            bucket = digest(f"{size + short} {place} {word[a : b + 1]}".encode(), 42) - (1 << 63)
+                            rows.append((bucket, number, short, *rest))
+                        if len(rows) >= 1 << 16:
                             yield batch(rows)
                             rows = []
         yield batch(rows)
@@ -149,127 +162,138 @@ def _listed(words: DataFrame, frequent: list[str]) -> DataFrame:
     return words.select("_id", "word").mapInArrow(run, schema)
 
 
-def _hash(text: str) -> int:
-    return xxhash.xxh64_intdigest(text.encode(), 42) - (1 << 63)
+def _packed(word: str) -> tuple[int, int] | None:
+    """A short word of single bytes as two numbers, its first code point lowest."""
+    try:
+        raw = word.encode("latin-1")
+    except UnicodeEncodeError:
+        return None
+    if len(raw) > PACKED or 0 in raw:
+        return None
+    raw = raw.ljust(PACKED, b"\0")
+    return int.from_bytes(raw[:8], "little", signed=True), int.from_bytes(raw[8:], "little", signed=True)
 
 
 # ---------------------------------------------------------------- pairs
 
 
-def near_pairs(words: DataFrame) -> DataFrame:
-    """(a, b): every two near words, a before b, of ``words`` (a column ``word`` of distinct words of 7 code points or more).
+def near_ids(words: DataFrame) -> DataFrame:
+    """(u, v): the ids of every two near words, each pair once, of ``words`` (_id, word; both distinct).
 
-    Shorter words are left out. Lists of over 4,096 words are cut into pairs of blocks.
+    Words of fewer than 7 code points are left out. Lists of over 4,096 words are cut into pairs of blocks.
     """
-    numbered = words.filter(F.length("word") >= SHORTEST).select(F.monotonically_increasing_id().alias("_id"), "word")
-    words = stage(numbered, "words")
-    listed = stage(_listed(words, frequent_grams(words)), "grams")
-    counts = listed.groupBy("_class", "_gram").agg(F.count("*").alias("_rank"))
-    of_word = (
-        listed.join(counts, ["_class", "_gram"])
-        .groupBy("_id", "_class")
-        .agg(
-            F.array_sort(F.collect_list(F.struct("_rank", "_gram"))).alias("_grams"),
-            F.first("_bound").alias("_bound"),
-            F.first("_count").alias("_count"),
-        )
-    )
-    rarest = F.slice("_grams", 1, F.least(F.col("_bound") + 1, F.size("_grams")))
-    size = F.length("word")
-    carried = F.when(size <= WIDE, F.col("_grams._gram")).otherwise(F.expr("cast(array() AS array<bigint>)"))
-    rows = of_word.join(words, "_id").select(
-        "_id",
-        "_class",
-        size.alias("_size"),
-        (F.col("_count") - F.col("_bound")).alias("_shared"),
-        carried.alias("_all"),
-        "word",
-        F.inline(F.filter(rarest, lambda g: g["_rank"] > 1)),  # what stands alone in its list meets nothing
-    )
-    entered = rows.select(F.xxhash64("_class", "_gram").alias("_bucket"), "_id", "_class", "_size", "_gram", "_shared", "_all", "word")
-    found = buckets.compare(buckets.blocks(entered), _near, _as_words, "a string, b string")
+    words = words.filter(F.length("word") >= SHORTEST).select("_id", "word")
+    frequent = frequent_grams(words)
+    entered = buckets.blocks(_entries(words, frequent), sample=_entries(words.filter(buckets.sampled()), frequent))
+    dealt = entered.repartition("_bucket", "_pair").sortWithinPartitions("_bucket", "_pair", "_short")
     # Near words may meet in several lists.
-    return stage(found.distinct(), "near-words")
-
-
-#: Pairs whose grams are laid side by side at a time.
-_PAIRS = 1 << 15
-
-
-def _near(columns, i, j):
-    """Of the pairs of a list those of its class that share enough grams and are near."""
-    same = (columns["_class"][i] == columns["_class"][j]) & (columns["_gram"][i] == columns["_gram"][j])
-    same &= np.maximum(columns["_size"][i], columns["_size"][j]) == columns["_class"][i]
-    i, j = i[same], j[same]
-    found = []
-    for at in range(0, len(i), _PAIRS):
-        a, b = i[at : at + _PAIRS], j[at : at + _PAIRS]
-        a, b = _merged(columns, a, b)
-        if len(a):
-            near = _one_edit(columns["word"], a, b)
-            if near.any():
-                found.append((a[near], b[near]))
-    return tuple(np.concatenate(x) for x in zip(*found)) if found else None
-
-
-def _merged(columns, i, j):
-    """Pairs that share as many grams as both words' bounds leave; long words are verified at once."""
-    grams = columns["_all"]
-    if not grams.shape[1]:
-        return i, j
-    left, right = grams[i], grams[j]
-    shared = np.zeros(len(i), np.int64)
-    for k in range(left.shape[1]):
-        own = left[:, k]
-        shared += (own != 0) & (own[:, None] == right).any(axis=1)
-    enough = shared >= np.maximum(columns["_shared"][i], columns["_shared"][j])
-    carried = (left[:, 0] != 0) & (right[:, 0] != 0)
-    kept = enough | ~carried
-    return i[kept], j[kept]
-
-
-def _one_edit(words: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Whether exactly one inserted, deleted or replaced code point lies between the words of each pair."""
-    out = np.zeros(len(i), bool)
-    each, inverse = np.unique(np.concatenate([i, j]), return_inverse=True)
-    size = np.array([len(words[k]) for k in each])
-    a, b = inverse[: len(i)], inverse[len(i) :]
-    flip = size[a] > size[b]
-    a, b = np.where(flip, b, a), np.where(flip, a, b)  # b is the longer one
-    short = np.flatnonzero((size[b] <= WIDE) & (size[b] - size[a] <= 1))
-    if len(short):
-        width = WIDE
-        code = np.array([words[k] if len(words[k]) <= width else "" for k in each], f"U{width}").view(np.uint32).reshape(len(each), width)
-        at = np.arange(width)
-        back = np.take_along_axis(code, np.clip(size[:, None] - 1 - at, 0, width - 1), axis=1)
-        x, y = a[short], b[short]
-        within = at < size[x][:, None]
-        front = np.logical_and.accumulate((code[x] == code[y]) & within, axis=1).sum(axis=1)
-        rear = np.logical_and.accumulate((back[x] == back[y]) & within, axis=1).sum(axis=1)
-        # All but one code point of the longer word match from the front or from the rear.
-        out[short] = (front + rear >= size[y] - 1) & ((front < size[x]) | (size[x] < size[y]))
-    for k in np.flatnonzero((size[b] > WIDE) & (size[b] - size[a] <= 1)):
-        out[k] = _one_edit_apart(words[each[a[k]]], words[each[b[k]]])
-    return out
+    met = stage(dealt.mapInArrow(_met, "u bigint, v bigint, sure boolean").distinct(), "met-words")
+    left, right = (words.select(F.col("_id").alias(x), F.col("word").alias(f"_{x}")) for x in "uv")
+    verified = met.filter("NOT sure").join(left, "u").join(right, "v").filter("levenshtein(_u, _v, 1) = 1")
+    return stage(met.filter("sure").select("u", "v").unionAll(verified.select("u", "v")), "near-words")
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The near pairs of each list; a stretch of rows holds whole lists, its long words first."""
+    rest: dict[str, np.ndarray] | None = None
+
+    def found(columns: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for u, v, sure in _near(columns):
+            arrays = [np.minimum(u, v), np.maximum(u, v), np.full(len(u), sure)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["u", "v", "sure"])
+
+    for batch in batches:
+        if not len(batch):
+            continue
+        columns = {name: batch.column(name).to_numpy(zero_copy_only=False) for name in batch.schema.names}
+        if rest is not None:
+            columns = {name: np.concatenate([rest[name], x]) for name, x in columns.items()}
+        last = (columns["_bucket"] == columns["_bucket"][-1]) & (columns["_pair"] == columns["_pair"][-1])
+        whole = len(last) if last.all() else len(last) - int(np.argmin(last[::-1]))
+        whole = 0 if last.all() else whole
+        yield from found({name: x[:whole] for name, x in columns.items()})
+        rest = {name: x[whole:] for name, x in columns.items()}
+    if rest is not None:
+        yield from found(rest)
+
+
+def _near(columns: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """Pairs of ids, and whether they are verified."""
+    bucket, pair, short, side = (columns[name] for name in ("_bucket", "_pair", "_short", "_side"))
+    n = len(bucket)
+    if not n:
+        return
+    begins = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (pair[1:] != pair[:-1])]))
+    end = np.repeat(np.append(begins[1:], n), np.diff(np.append(begins, n)))
+    # Every long word with all rows behind it in its list; two short ones are not compared.
+    first = np.flatnonzero(short == 0)
+    partners = end[first] - first - 1
+    before = np.concatenate([[0], np.cumsum(partners)])
+    lanes = _Lanes(columns)
+    at = 0
+    while at < len(first):
+        to = max(at + 1, int(np.searchsorted(before, before[at] + _PAIRS, side="right")) - 1)
+        many = partners[at:to]
+        i = np.repeat(first[at:to], many)
+        j = i + 1 + np.arange(len(i)) - np.repeat(before[at:to] - before[at], many)
+        if (side[i] >= 0).any():
+            met = (side[i] < 0) | (side[i] != side[j])
+            i, j = i[met], j[met]
+        close, unread = lanes.one_edit(i, j)
+        for which, sure in ((close, True), (unread, False)):
+            if which.any():
+                yield columns["_id"][i[which]], columns["_id"][j[which]], sure
+        at = to
+
+
+class _Lanes:
+    """The words of a stretch as numbers, from the front and from the back."""
+
+    def __init__(self, columns: dict[str, np.ndarray]) -> None:
+        self.words = columns["_word"]
+        self.odd = np.array([w is not None for w in self.words])
+        self.unread = np.array([w == "" for w in self.words])
+        self.front = np.ascontiguousarray(np.stack([columns["_low"], columns["_high"]], axis=1))
+        letters = self.front.view(np.uint8).reshape(-1, PACKED)
+        self.size = (letters != 0).sum(axis=1)
+        at = self.size[:, None] - 1 - np.arange(PACKED)
+        turned = np.where(at >= 0, np.take_along_axis(letters, np.maximum(at, 0), axis=1), 0)
+        self.back = np.ascontiguousarray(turned).view(np.int64).reshape(-1, PACKED // 8)
+
+    def one_edit(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether exactly one edit lies between the words of each pair, and whether that is not to be seen here; no j is longer."""
+        most = self.size[i] - 1  # all but one letter of the longer word match from the front or from the back
+        front = _equal(self.front, i, j)
+        close = front < PACKED  # equal words are the same word
+        close[close] = front[close] + _equal(self.back, i[close], j[close]) >= most[close]
+        unread = self.unread[i] | self.unread[j]
+        close &= ~unread
+        for k in np.flatnonzero((self.odd[i] | self.odd[j]) & ~unread):
+            close[k] = _one_edit_apart(self.text(j[k]), self.text(i[k]))
+        return close, unread
+
+    def text(self, at: int) -> str:
+        return self.words[at] or self.front[at].tobytes().rstrip(b"\0").decode("latin-1")
+
+
+def _equal(lanes: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """How many letters are equal from the first one on, 16 if all are."""
+    differ = lanes[i, 0] ^ lanes[j, 0]
+    equal = np.bitwise_count((differ & -differ) - 1).astype(np.int64) >> 3
+    same = np.flatnonzero(differ == 0)
+    if len(same):
+        rest = lanes[i[same], 1] ^ lanes[j[same], 1]
+        more = np.bitwise_count((rest & -rest) - 1).astype(np.int64) >> 3
+        equal[same] = 8 + np.where(rest == 0, 8, more)
+    return equal
 
 
 def _one_edit_apart(a: str, b: str) -> bool:
-    """The same for two long words, ``b`` not the shorter one."""
-    if a == b:
+    """The same for two words as text, ``b`` not the shorter one."""
+    if a == b or not 0 <= len(b) - len(a) <= 1:
         return False
-    low, high = 0, len(a)
-    while low < high:  # the longest common beginning
-        middle = (low + high + 1) // 2
-        low, high = (middle, high) if a[:middle] == b[:middle] else (low, middle - 1)
-    return a[low + (len(a) == len(b)) :] == b[low + 1 :]
-
-
-def _as_words(columns, found):
-    i = np.concatenate([x[0] for x in found]) if found else np.zeros(0, np.int64)
-    j = np.concatenate([x[1] for x in found]) if found else np.zeros(0, np.int64)
-    words = columns["word"]
-    pairs = [(words[x], words[y]) if words[x] < words[y] else (words[y], words[x]) for x, y in zip(i, j)]
-    return pa.array([p[0] for p in pairs], pa.string()), pa.array([p[1] for p in pairs], pa.string())
+    at = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+    return a[at + (len(a) == len(b)) :] == b[at + 1 :]
 
 
 # ---------------------------------------------------------------- forms
@@ -282,16 +306,16 @@ def variants(counts: DataFrame, ratio: int = RATIO) -> DataFrame:
     times as often as the word. Its root is the last of the forms' forms, the word itself if it has none. Counts rise along
     forms, so their chains are as short as the counts have digits; they are followed by doubling.
     """
-    counts = stage(counts, "word-counts")
-    pairs = near_pairs(counts)
-    both = pairs.select(F.col("a").alias("word"), F.col("b").alias("other")).unionAll(
-        pairs.select(F.col("b").alias("word"), F.col("a").alias("other"))
+    counts = stage(counts.select("word", "n", F.monotonically_increasing_id().alias("_id")), "word-counts")
+    pairs = near_ids(counts)
+    both = pairs.select(F.col("u").alias("_id"), F.col("v").alias("_other")).unionAll(
+        pairs.select(F.col("v").alias("_id"), F.col("u").alias("_other"))
     )
-    others = counts.select(F.col("word").alias("other"), F.col("n").alias("other_n"))
+    others = counts.select(F.col("_id").alias("_other"), F.col("word").alias("other"), F.col("n").alias("other_n"))
     best = F.min(F.struct((-F.col("other_n")).alias("minus"), F.col("other")))
-    of_word = both.join(others, "other").groupBy("word").agg(F.count("*").alias("n_near"), best.alias("_best"))
+    of_word = both.join(others, "_other").groupBy("_id").agg(F.count("*").alias("n_near"), best.alias("_best"))
     enough = -F.col("_best.minus") >= F.col("n") * ratio
-    found = counts.join(of_word, "word", "left").select(
+    found = counts.join(of_word, "_id", "left").select(
         "word",
         F.when(enough, F.col("_best.other")).alias("form"),
         "n",

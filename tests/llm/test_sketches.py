@@ -98,8 +98,10 @@ def test_recovered_digests_are_the_differing_ones(spark, sizes):
         rows.append((i, a + both, rng.sample(both, len(both)) + b))
     df = stage(spark.createDataFrame(rows, "_row bigint, x array<bigint>, y array<bigint>"), "test-sets")
     got = sketches.differences(df, {4: ("x", "y")}).collect()
-    want = {(i, d, 1) for i, a, b in rows for d in set(a) - set(b)} | {(i, d, -1) for i, a, b in rows for d in set(b) - set(a)}
-    assert {(r._row, r._digest, r._count) for r in got} == want and len(got) == len(want)
+    want = {(i, d, 1) for i, a, b in rows for d in set(a) - set(b)} | {(i, d, 2) for i, a, b in rows for d in set(b) - set(a)}
+    assert {(r._row, r._digest, r._side) for r in got} == want and len(got) == len(want)
+    counted = sketches.difference_sizes(df, {4: ("x", "y")}).collect()
+    assert {(r._row, r._first, r._second) for r in counted} == {(i, sizes[0], sizes[1]) for i in range(20) if sizes[0] + sizes[1]}
 
 
 def test_only_native_steps_and_one_shuffle_by_row(spark, documents):
