@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from contract import analogs, reports as report_queries
 from contract.analogs import read
@@ -259,11 +259,29 @@ def incremental_ingest(spark, sf_dir):
     for client in ("chrome", "android"):
         drop = docs.where(F.col("release").startswith(client)).select("doc", "release")
         drop.write.mode("append").partitionBy("release").text(source)
-        ingest.ingest_hars(spark, source, target, checkpoint).awaitTermination()
-    ingest.ingest_hars(spark, source, target, checkpoint).awaitTermination()
+        ingest.ingest_hars(spark, source, target, checkpoint)
+    ingest.ingest_hars(spark, source, target, checkpoint)
     return _imported(spark.read.parquet(target))
 
 
+@register(f"SELECT 2 * count(*) AS with_body, CAST(0 AS BIGINT) AS rejected, 3 AS runs, CAST(2 * count(*) AS BIGINT) AS bodies FROM pages WHERE {_HOME}")
+def incremental_counters(spark, sf_dir):
+    """What three runs of an incremental import count and store, in batches of a few files; the last run finds nothing."""
+    source, target, checkpoint = (scratch_path(spark, f"ingest-{n}") for n in ("source", "target", "checkpoint"))
+    docs = hars(spark, sf_dir).withColumn("release", release.release_of_path(F.col("path")))
+    counted = []
+    for client in ("chrome", "android", "nothing"):
+        drop = docs.where(F.col("release").startswith(client)).select("doc", "release")
+        drop.write.mode("append").partitionBy("release").text(source)
+        counted.append(ingest.ingest_hars(spark, source, target, checkpoint, max_files_per_batch=64))
+    stored = spark.read.parquet(target).where("table = 'response_bodies'")
+    sums = [sum(c.get(name, 0) for c in counted) for name in ("with_body", "rejected")]
+    return stored.agg(F.count(F.lit(1)).alias("bodies")).select(
+        F.lit(sums[0]).cast("bigint").alias("with_body"), F.lit(sums[1]).cast("bigint").alias("rejected"),
+        F.lit(len(counted)).alias("runs"), "bodies",
+    )
+
+
 _BUDGET = 1000
 
 
@@ -331,9 +349,9 @@ def _dump_lines(spark: SparkSession, sf_dir: str, bad_from: int | None = None) -
 @register("""SELECT o_orderkey AS id, CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE 'na "' || o_custkey || '" x' END AS name,
   CASE WHEN o_orderkey % 7 = 0 THEN 'one, two' ELSE o_orderpriority || ', x' END AS note,
   CASE WHEN o_orderkey % 3 <> 0 THEN o_totalprice END AS price, o_orderkey % 2 = 0 AS open,
-  DATE '2018-12-15' AS date, 'mobile' AS client FROM orders""")
+  DATE '2018-12-15' AS date, 'mobile' AS client, CAST(10 AS BIGINT) AS bad_rows FROM orders""")
 def csv_load(spark, sf_dir):
-    """A gzip dump with ten bad rows, loaded as one partition and read back."""
+    """A gzip dump with ten bad rows, loaded as one partition and read back, with the number of rows set aside."""
     dump, target = scratch_path(spark, "csv"), scratch_path(spark, "csv-table")
     bad = spark.range(10).select(F.lit("not a number,x,y,z,0").alias("value"))
     _dump_lines(spark, sf_dir).unionByName(bad).write.option("compression", "gzip").text(dump)
@@ -341,7 +359,8 @@ def csv_load(spark, sf_dir):
     rows = csvdump.load_dump(spark, dump, schema)
     archive = F.lit("mobile_Dec_15_2018")
     csvdump.write_partition(rows, target, release.archive_date(archive), release.archive_client(archive))
-    return spark.read.parquet(target)
+    kept = spark.read.parquet(csvdump.rejects_path(spark)).where(F.col("source") == dump)
+    return spark.read.parquet(target).join(F.broadcast(kept.agg(F.count(F.lit(1)).alias("bad_rows"))))
 
 
 @register("""SELECT 'bad ' || o_orderkey || ',x,y,z,0' AS line FROM orders WHERE o_orderkey % 50 = 0
@@ -536,6 +555,41 @@ def classify_requests(spark, sf_dir):
     return classify.classify(analogs.dealt(read(spark, sf_dir, "pages")).select(page.alias("page"), "url"), rules)
 
 
+# Which pages give a rule of each kind.
+_HOST_RULES, _PATH_RULES, _RUN_RULES, _EXPRESSION_RULES = "page_id % 7 = 0", "page_id % 3 = 0", "page_id % 5 < 2", "page_id % 4 = 0"
+
+
+@register(f"""WITH p AS (SELECT page_id, url, {_HOST_SQL} AS host FROM pages),
+hosts AS (SELECT DISTINCT host FROM p WHERE {_HOST_RULES}),
+paths AS (SELECT DISTINCT '/' || (page_id % 1000) || '?' AS r FROM p WHERE {_PATH_RULES} UNION SELECT DISTINCT '/' || (page_id % 1000) || '/' FROM p WHERE {_PATH_RULES}),
+runs AS (SELECT DISTINCT 'n/' || (page_id % 700) || '?u' AS r FROM p WHERE {_RUN_RULES}),
+expressions AS (SELECT DISTINCT '/' || (page_id % 500) || '.html' AS r FROM p WHERE {_EXPRESSION_RULES}),
+f AS (SELECT p.page_id, p.url,
+  EXISTS (SELECT 1 FROM hosts h WHERE p.host = h.host OR ends_with(p.host, '.' || h.host)) AS h,
+  EXISTS (SELECT 1 FROM paths WHERE contains(p.url, paths.r)) AS pa,
+  EXISTS (SELECT 1 FROM runs WHERE contains(p.url, runs.r)) AS ru,
+  EXISTS (SELECT 1 FROM expressions WHERE ends_with(p.url, expressions.r) AND regexp_matches(p.url, '[a-z]/[0-9]+\\.html$')) AS e FROM p)
+SELECT url AS page, url, CASE WHEN h AND NOT e THEN 'hosts' WHEN pa THEN 'paths' WHEN ru THEN 'runs' WHEN e THEN 'expressions' ELSE '' END AS type FROM f""")
+def classify_generated(spark, sf_dir):
+    """Requests against thousands of rules derived from the pages themselves, of every kind a rule is filed under."""
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", weburl.host(F.col("url")).alias("host"))
+    number = lambda n: (F.col("page_id") % n).cast("string")
+    html = F.concat(F.lit("/[a-z]\\/"), number(500), F.lit("\\.html$/"))
+    lists = (
+        ("hosts", _HOST_RULES, (F.concat(F.lit("||"), F.col("host"), F.lit("^")),)),
+        ("hosts", _EXPRESSION_RULES, (F.concat(F.lit("@@"), html),)),
+        ("paths", _PATH_RULES, (F.concat(F.lit("/"), number(1000), F.lit("?")), F.concat(F.lit("/"), number(1000), F.lit("/|")), F.concat(F.lit("/"), number(1000), F.lit("/?")))),
+        ("runs", _RUN_RULES, (F.concat(F.lit("n/"), number(700), F.lit("?u")),)),
+        ("expressions", _EXPRESSION_RULES, (html,)),
+    )
+    lines = None
+    for i, (name, which, rules) in enumerate(lists):
+        made = pages.where(which).select(F.lit(name).alias("list"), F.lit(max(i - 1, 0)).alias("priority"), F.explode(F.array(*rules)).alias("line"))
+        lines = made if lines is None else lines.unionByName(made)
+    rules = classify.parse_rules(lines.distinct())
+    return classify.classify(analogs.dealt(read(spark, sf_dir, "pages")).select(F.col("url").alias("page"), "url"), rules)
+
+
 @register(f"""SELECT url, {_HOST_SQL} AS host, {_DOMAIN_SQL} AS domain, array_to_string({_PARTS_SQL}, '.') AS subdomain FROM pages""")
 def url_domains(spark, sf_dir):
     url = F.col("url")
@@ -690,6 +744,49 @@ def published_series_import(spark, sf_dir):
     return _columns(other.series())
 
 
+@register(_long_series(["numUrls", "bytesTotal"], ["base"]))
+def published_array_import(spark, sf_dir):
+    """Series published as one JSON array each, over several lines, brought into a store that has one of them already."""
+    tables, store, other = analogs.tables(spark, sf_dir), _store(spark), _store(spark)
+    path = scratch_path(spark, "published")
+    for name in ("numUrls", "bytesTotal"):
+        reports.run_series(tables, store, pattern=name)
+    reports.run_series(tables, other, "2018_03_01", pattern="numUrls")
+    whole = store.series().select("metric", F.struct("date", "timestamp", "client", *series.MEASURES).alias("r"))
+    arrays = whole.groupBy("metric").agg(F.to_json(F.sort_array(F.collect_list("r"))).alias("value"))
+    arrays = arrays.withColumn("value", F.replace("value", F.lit("},{"), F.lit("},\n{")))
+    arrays.repartition("metric").write.partitionBy("metric").text(path)
+    for name in ("numUrls", "bytesTotal"):
+        reports.import_series(other, f"{path}/metric={name}", "base", name)
+    return _columns(other.series())
+
+
+def _placed(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of exported reports with their place in the file, from 0."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("f"), F.monotonically_increasing_id().alias("i"))
+    place = F.row_number().over(Window.partitionBy("f").orderBy("i")) - 1
+    return lines.select(place.alias("place"), F.from_json("value", schema).alias("r")).select("place", "r.*")
+
+
+_ORDERED = _long_histograms(["bytesTotal"], ["base"], "date = DATE '2021-05-01'")
+
+
+@register(f"""SELECT 'histogram' AS report, CAST(row_number() OVER (ORDER BY bin NULLS FIRST, client) - 1 AS INTEGER) AS place, client,
+  CAST(bin AS VARCHAR) AS label FROM (SELECT client, CAST(bin AS BIGINT) AS bin FROM ({_ORDERED}))
+UNION ALL SELECT 'series', CAST(row_number() OVER (ORDER BY date DESC, client) - 1 AS INTEGER), client, date FROM ({_long_series(["bytesTotal"], ["base"])})""")
+def export_order(spark, sf_dir):
+    """Exported rows in the order a reader meets them: histograms by bin and client, series newest first."""
+    tables, store, path = analogs.tables(spark, sf_dir), _store(spark), scratch_path(spark, "export")
+    reports.run_reports(tables, store, "2021_05_01", pattern="bytesTotal")
+    reports.run_series(tables, store, pattern="bytesTotal")
+    reports.export_histograms(store, f"{path}/h", "2021_05_01")
+    reports.export_series(store, f"{path}/t")
+    bins = _placed(spark, f"{path}/h/lens=base/date=2021_05_01/metric=bytesTotal", "client string, bin double")
+    dates = _placed(spark, f"{path}/t/lens=base/metric=bytesTotal", "client string, date string")
+    bins = bins.select(F.lit("histogram").alias("report"), "place", "client", F.col("bin").cast("bigint").cast("string").alias("label"))
+    return bins.unionByName(dates.select(F.lit("series").alias("report"), "place", "client", F.col("date").alias("label")))
+
+
 _RUN_DATE = "2021-05-01"
 
 

@@ -8,7 +8,6 @@ from contract.analogs import read
 from contract.reports import DATED, density_sql, rounded
 from sitepulse.functions import jsoncols, scalar
 from sitepulse.operators import distribution, histogram, joins, kilobytes, timeseries as ts
-from sitepulse.session import stage
 
 QUERIES: dict = {}
 
@@ -283,21 +282,23 @@ long AS (SELECT 'TOTAL' AS metric, "TOTAL" AS value, rank FROM weights UNION ALL
 _PARTS = ("TOTAL", "HTML", "JS", "OTHER")
 
 
-def _weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _flat_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as a flat page table."""
-    pages = read(spark, sf_dir, "lineitem").selectExpr(
+    return read(spark, sf_dir, "lineitem").selectExpr(
         "l_partkey % 5000 AS rank", "l_extendedprice * 30 AS bytesTotal", "l_extendedprice AS bytesHtml",
         "l_quantity * 2000 AS bytesJS", "l_quantity AS bytesCSS", "l_tax AS bytesImg", "l_tax AS bytesFont",
         "l_tax AS bytesFlash", "l_tax AS bytesJson", "l_extendedprice * l_discount AS bytesOther",
         "l_quantity * 100 AS bytesVideo", "l_extendedprice * l_tax AS bytesAudio",
     )
-    return kilobytes.kilobytes(pages)
+
+
+def _weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kilobytes.kilobytes(_flat_pages(spark, sf_dir))
 
 
 def _weight_counts(spark, sf_dir, max_rank=None):
     long = kilobytes.long_form(_weights(spark, sf_dir), _PARTS, max_rank)
-    # Counts feed several steps; a written table keeps the raw rows to one scan.
-    return stage(distribution.value_counts(long, F.col("value"), ["metric"]), "weight-counts")
+    return distribution.value_counts(long, F.col("value"), ["metric"])
 
 
 @register(f'WITH {_EDA} SELECT rank AS "RANK", "TOTAL", "HTML", "JS", "OTHER", count(*) AS n FROM weights GROUP BY ALL')
@@ -306,6 +307,14 @@ def eda_kb(spark, sf_dir):
     return weights.groupBy("RANK", *_PARTS).agg(F.count(F.lit(1)).alias("n"))
 
 
+@register(f"""WITH {_EDA} SELECT rank AS "RANK", "TOTAL", "HTML", "JS", "OTHER1" AS "OTHER", count(*) AS n FROM w GROUP BY ALL""")
+def eda_kb_older(spark, sf_dir):
+    """The older page tables, which count neither video nor audio."""
+    older = _flat_pages(spark, sf_dir).drop("bytesVideo", "bytesAudio")
+    weights = kilobytes.kilobytes(older, with_media=False).select("RANK", *_PARTS)
+    return weights.groupBy("RANK", *_PARTS).agg(F.count(F.lit(1)).alias("n"))
+
+
 @register(f"""WITH {_EDA}, kept AS (SELECT * FROM long WHERE rank < 1000),
 c AS (SELECT metric, CAST(trunc(quantile_cont(CAST(value AS DOUBLE), 0.97)) AS BIGINT) AS cut FROM kept GROUP BY metric)
 SELECT metric, least(value * 50 // cut, 49) AS bin, least(value * 50 // cut, 49) * cut / 50 AS low,

@@ -6,7 +6,8 @@
     python -m sitepulse directory --ranked RANKS.csv --directory DUMP.xml --target D
     python -m sitepulse delete-date --store S --date 2024_01_01 --lens top1k --reports "crux*"
     python -m sitepulse dates --tables T --min 2023_01_01
-    python -m sitepulse import-har --source DIR --target T
+    python -m sitepulse import-series --store S --file REPORT.json --lens base --metric bytesCss
+    python -m sitepulse import-har --source DIR --target T --max-size 2097152
     python -m sitepulse ingest-har --source DIR --target T --checkpoint C
     python -m sitepulse import-csv --archive mobile_Dec_15_2018 --pages P --requests R --target T
     python -m sitepulse extract-facts --tables T --target T2
@@ -62,12 +63,24 @@ def _parser() -> argparse.ArgumentParser:
     har_job.add_argument("--whole-files", action="store_true", help="one document per file")
     har_job.add_argument("--overwrite", action="store_true", help="replace releases that are there already")
     har_job.add_argument("--marker", help="file that has to exist before the import starts")
-    job("ingest-har", source="folder of release folders", target="folder of the tables", checkpoint="shared folder")
-    job("import-csv", archive="name", pages="CSV", requests="CSV", target="folder of the tables")
+    ingest_job = job("ingest-har", source="folder of release folders", target="folder of the tables", checkpoint="shared folder")
+    ingest_job.add_argument("--archive", help="folder that files done are moved to")
+    for sub in (har_job, ingest_job):
+        sub.add_argument("--max-size", type=int, help="rows over it go to the table of oversize rows; no limit by default")
+        sub.add_argument("--in-bytes", action="store_true", help="sizes in UTF-8 bytes instead of characters")
+        sub.add_argument("--url-fallback", action="store_true", help="a request without a full URL takes its short one")
+    csv_job = job("import-csv", archive="name", pages="CSV", requests="CSV", target="folder of the tables")
+    csv_job.add_argument("--unique", action="store_true", help="one row per identity, the lowest id")
+    series_job = job("import-series", store="folder of the report tables", file="published report", lens="lens", metric="metric")
+    series_job.add_argument("--lines", action="store_true", help="one JSON object a line instead of one array")
     job("extract-facts", tables="folder of the raw crawl tables", target="folder of the typed tables")
     return parser
 
 
+def _limits(args: argparse.Namespace) -> har.HarOptions:
+    return har.HarOptions(args.max_size, args.in_bytes, args.url_fallback)
+
+
 def main(arguments: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = _parser().parse_args(arguments)
     if spark is None:
@@ -110,12 +123,17 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
         docs = har.read_files(spark, args.source) if args.whole_files else har.read_lines(spark, args.source)
         docs = har.with_release(docs)
         if not args.overwrite:
+            for date, client, files in har.imported(docs, args.target):
+                print(f"skipped {date} {client}: there already, {files} files left out")
             docs = har.not_imported(docs, args.target)
-        print(har.write_tables(docs, args.target, mode="overwrite" if args.overwrite else "append"))
+        print(har.write_tables(docs, args.target, _limits(args), "overwrite" if args.overwrite else "append"))
     elif args.job == "ingest-har":
-        ingest.ingest_hars(spark, args.source, args.target, args.checkpoint).awaitTermination()
+        print(ingest.ingest_hars(spark, args.source, args.target, args.checkpoint, _limits(args), archive=args.archive))
     elif args.job == "import-csv":
-        print(csvdump.load_archive(spark, args.archive, args.pages, args.requests, args.target))
+        print(csvdump.load_archive(spark, args.archive, args.pages, args.requests, args.target, args.unique))
+    elif args.job == "import-series":
+        store = reports.ReportStore(spark, args.store)
+        reports.import_series(store, args.file, args.lens, args.metric, args.lines)
     elif args.job == "extract-facts":
         tables = CrawlTables.read(spark, args.tables)
         facts.write_page_facts(tables.pages, f"{args.target}/pages")

@@ -1,8 +1,10 @@
 """Classification of requests against ordered filter lists.
 
-Rules become a table. A rule anchored to a host, or holding a delimited word, is looked up by
-equality with the hosts and words of each URL, and its expression is checked on those few
-candidates only. The remaining rules, which can match anywhere, are put into combined expressions.
+Rules become a table. A URL that a rule matches holds the rule's tokens: the host it is anchored to, its delimited
+words, or else the runs of four or three characters of its plain text. How often each of these tokens occurs in the
+URLs at hand is counted, and a rule is filed under its rarest one. URLs are looked up by equality with the tokens that
+have a rule, and a rule's expression is checked on those few candidates only. What is left are expressions without any
+plain run; they are put into combined expressions.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sitepulse.functions import weburl
+from sitepulse.session import stage
 
 # Filter syntax.
 _SUPPORTED_OPTION = r"^(~?third-party|domain=.*)$"
@@ -23,12 +26,16 @@ _COMMON_WORDS = ("http", "https", "www", "com", "net", "org", "html", "js", "css
 _WORD = r"[A-Za-z0-9%]"
 # Alternatives per combined expression.
 _COMBINED = 100
+# Runs of plain text that rules without a word are filed under, longer ones first.
+_GRAMS = (4, 3)
+_KEY = "array<struct<kind: string, key: string>>"
 
 
 def parse_rules(lines: DataFrame) -> DataFrame:
     """Rule table from lines ``list, priority, line``.
 
-    Columns: ``list, priority, exception, regex, third_party, include, exclude, kind, key``.
+    Columns: ``list, priority, exception, regex, third_party, include, exclude, keys``. Every URL the rule matches has
+    all of its ``keys``; a rule without any can match anywhere.
     Comments, element-hiding rules and rules with other options than ``third-party`` and
     ``domain`` are left out.
     """
@@ -72,18 +79,8 @@ def parse_rules(lines: DataFrame) -> DataFrame:
     words = F.regexp_extract_all(
         F.col("_pattern"), F.lit(f"(?<=[^A-Za-z0-9%*])({_WORD}{{2,}})(?=[^A-Za-z0-9%*])"), F.lit(1)
     )
-    # The longest word, common ones last.
-    best = F.array_max(
-        F.transform(
-            words,
-            lambda w: F.struct(
-                (~F.lower(w).isin(*_COMMON_WORDS)).alias("rare"), F.length(w).alias("length"), w.alias("word")
-            ),
-        )
-    )
     regular = F.col("_pattern").rlike(r"^/.+/$")
-    word = F.when(best["rare"], best["word"])
-    return rules.withColumns({"_anchored": anchored, "_found": word}).select(
+    return rules.withColumns({"_anchored": anchored, "_words": words, "_regular": regular}).select(
         "list",
         "priority",
         "exception",
@@ -91,18 +88,50 @@ def parse_rules(lines: DataFrame) -> DataFrame:
         "third_party",
         "include",
         "exclude",
-        F.when(regular, "any")
-        .when(F.col("_anchored") != "", "host")
-        .when(F.col("_found").isNotNull(), "word")
-        .otherwise("any")
-        .alias("kind"),
-        F.when(regular, F.lit(None))
-        .when(F.col("_anchored") != "", F.lower("_anchored"))
-        .otherwise(F.col("_found"))
-        .alias("key"),
+        _rule_keys().alias("keys"),
     )
 
 
+def _rule_keys() -> Column:
+    """The tokens of every URL that a rule matches: host and rare words, or else runs of its plain text."""
+    none = F.array().cast(_KEY)
+    host = F.when(F.col("_anchored") != "", _as_keys("host", F.array(F.lower("_anchored")))).otherwise(none)
+    rare = F.filter("_words", lambda w: ~F.lower(w).isin(*_COMMON_WORDS))
+    found = F.when(~F.col("_regular"), F.concat(host, _as_keys("word", rare))).otherwise(none)
+
+    # Plain text between what stands for something else.
+    body = F.regexp_replace("_pattern", r"^\|{1,2}|\|$", "")
+    inner = F.substring(F.col("_pattern"), F.lit(2), F.length("_pattern") - 2)
+    for of, sign in (
+        (r"(?<!\\)\[(?:\\.|[^\]\\])*\]", "\u0001"),  # classes
+        (r"\\[A-Za-z0-9]", "\u0001"),
+        (r"\\(.)", "$1\u0002"),  # a sign that stands for itself
+        (r".\u0002?[*?]", "\u0001"),  # what may be missing
+        (r".\u0002?\{[^}]*\}", "\u0001"),
+        (r"[.+^$](?!\u0002)", "\u0001"),
+        (r"\u0002", ""),
+    ):
+        inner = F.regexp_replace(inner, of, sign)
+    inner = F.when(F.col("_pattern").rlike(r"[|()]|\\\\"), "").otherwise(inner)
+    runs = F.when(F.col("_regular"), F.split(inner, "\u0001")).otherwise(F.split(body, r"[*^]"))
+
+    def grams(size: int) -> Column:
+        pieces = F.filter(runs, lambda r: F.length(r) >= size)
+        return _as_keys(f"gram{size}", F.flatten(F.transform(pieces, lambda r: _grams(r, size))))
+
+    longer = grams(_GRAMS[0])
+    return F.when(F.size(found) > 0, found).when(F.size(longer) > 0, longer).otherwise(grams(_GRAMS[1]))
+
+
+def _as_keys(kind: str, values: Column) -> Column:
+    return F.transform(F.array_distinct(values), lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("key")))
+
+
+def _grams(text: Column, size: int) -> Column:
+    """All runs of so many characters of a text that has that many."""
+    return F.transform(F.sequence(F.lit(1), F.length(text) - size + 1), lambda i: F.substring(text, i, F.lit(size)))
+
+
 def _character(c: Column) -> Column:
     """One character of a filter pattern: two stand for something, signs stand for themselves."""
     return (
@@ -135,16 +164,37 @@ def _options_hold(third_party: Column, include: Column, exclude: Column) -> Colu
     )
 
 
-def _keys(url: Column) -> Column:
-    """Everything in a URL a rule can be looked up by: parent domains of its host, and its words."""
+def _keys(url: Column, kinds: Sequence[str]) -> Column:
+    """Everything in a URL a rule can be looked up by: parent names of its host, its words, runs of its characters."""
     authority = F.regexp_extract(url, r"^(?:[^:/?#]+:)?(?://)?([^/?#]*)", 1)
     pieces = F.filter(F.split(F.lower(authority), r"[^\w.%\-]+"), lambda p: p != "")
-    hosts = F.flatten(F.transform(pieces, weburl.domain_suffixes))
-    words = F.filter(F.split(url, f"{_WORD.replace('[', '[^')}+"), lambda w: F.length(w) > 1)
-    return F.concat(
-        F.transform(F.array_distinct(hosts), lambda h: F.struct(F.lit("host").alias("kind"), h.alias("key"))),
-        F.transform(F.array_distinct(words), lambda w: F.struct(F.lit("word").alias("kind"), w.alias("key"))),
+    found = {
+        "host": F.flatten(F.transform(pieces, weburl.domain_suffixes)),
+        "word": F.filter(F.split(url, f"{_WORD.replace('[', '[^')}+"), lambda w: F.length(w) > 1),
+    }
+    found |= {
+        f"gram{size}": F.when(F.length(url) >= size, _grams(url, size)).otherwise(F.array().cast("array<string>")) for size in _GRAMS
+    }
+    parts = [_as_keys(kind, found[kind]) for kind in kinds]
+    return F.concat(*parts) if parts else F.array().cast(_KEY)
+
+
+def filed(rules: DataFrame, urls: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Rules with the ``kind`` and ``key`` they are looked up by, the rarest of their keys in ``urls``, and the kinds in use.
+
+    A rule one of whose keys is in no URL matches none and is left out.
+    """
+    keyed = stage(rules.where(F.size("keys") > 0).withColumn("_rule", F.monotonically_increasing_id()), "rules")
+    offered = keyed.select("_rule", F.inline("keys"))
+    kinds = sorted(r.kind for r in offered.select("kind").distinct().collect())
+    wanted = offered.select("kind", "key").distinct()
+    in_urls = urls.select(F.inline(_keys(F.col("url"), kinds))).join(wanted, ["kind", "key"], "left_semi")
+    counts = in_urls.groupBy("kind", "key").agg(F.count(F.lit(1)).alias("_n"))
+    rated = offered.join(counts, ["kind", "key"], "left").groupBy("_rule").agg(
+        F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "kind", "key")).alias("_best")
     )
+    chosen = rated.where("_best.n > 0").select("_rule", "_best.kind", "_best.key")
+    return stage(keyed.drop("keys").join(chosen, "_rule").drop("_rule"), "filed-rules"), kinds
 
 
 def _anywhere(rules: Sequence) -> dict[tuple[str, bool], Column]:
@@ -177,7 +227,7 @@ def classify(requests: DataFrame, rules: DataFrame) -> DataFrame:
         row.list
         for row in rules.groupBy("list").agg(F.min("priority").alias("p")).orderBy("p").collect()
     ]
-    keyless = rules.where(F.col("kind") == "any").collect()
+    keyless = rules.where(F.size("keys") == 0).drop("keys").collect()
     keyed = requests.withColumns(
         {
             "_page_host": weburl.host(F.col("page")),
@@ -185,14 +235,13 @@ def classify(requests: DataFrame, rules: DataFrame) -> DataFrame:
         }
     ).withColumn("_domain", weburl.registered_domain(F.col("page")))
     decide = ["url", "_domain", "_third_party"]
-    distinct = keyed.select(*decide).distinct().withColumn(
-        "_page_domains", weburl.domain_suffixes(F.col("_domain"))
-    )
-    candidates = distinct.withColumn("_k", F.explode(_keys(F.col("url")))).select(
-        *decide, "_page_domains", F.col("_k.kind").alias("kind"), F.col("_k.key").alias("key")
-    )
+    distinct = stage(keyed.select(*decide).distinct(), "distinct-urls")
+    distinct = distinct.withColumn("_page_domains", weburl.domain_suffixes(F.col("_domain")))
+    index, kinds = filed(rules, distinct)
+    # Tokens that no rule is filed under go before the rules are met.
+    candidates = distinct.select(*decide, "_page_domains", F.inline(_keys(F.col("url"), kinds)))
     hits = (
-        candidates.join(rules.where(F.col("kind") != "any"), ["kind", "key"])
+        candidates.join(index, ["kind", "key"])
         .where(_options_hold(F.col("third_party"), F.col("include"), F.col("exclude")))
         .where(F.expr("url RLIKE regex"))
     )

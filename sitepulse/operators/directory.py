@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sitepulse.functions import weburl
+from sitepulse.session import stage
 
 # Topics one row holds, about; a domain listed more often takes several rows, told apart by ``part``.
 TOPICS_PER_ROW = 10_000
-# Ways a domain's entries are dealt before they meet the number of its parts.
-_SALTS = 64
+# Domains with more entries than one row may hold are broadcast up to this number.
+_BROADCAST_ROWS = 100_000
 
 
 def is_home_page(url: Column) -> Column:
@@ -39,22 +40,21 @@ def ranked_directory(ranked: DataFrame, entries: DataFrame, topics_per_row: int
     unbounded list and no topic is lost. A domain without entries has part 0 and no topics.
     """
     home = _home_pages(entries)
-    # The first entry by its position alone, which has a fixed width; its texts are fetched after.
-    counted = home.groupBy("_domain").agg(F.count(F.lit(1)).alias("_n"), F.min("position").alias("_position"))
-    parts = counted.select("_domain", "_position", F.ceil(F.col("_n") / F.lit(topics_per_row)).alias("_parts"))
-    # Entries of one domain meet the number of its parts under several salts, never in one task.
-    salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_salt")
-    salted = home.withColumn("_salt", F.pmod(F.xxhash64("position"), F.lit(_SALTS)).cast("int"))
-    topics = (
-        salted.join(parts.select("_domain", "_parts", "_position", salts), ["_domain", "_salt"])
-        .groupBy("_domain", F.pmod(F.xxhash64("position", F.lit("part")), F.col("_parts")).cast("int").alias("part"))
-        .agg(
-            F.sort_array(F.collect_list(F.struct("position", "topic"))).alias("_topics"),
-            F.any_value(F.when(F.col("position") == F.col("_position"), F.struct("url", "title", "description")), True).alias("_own"),
-        )
-    )
-    first = topics.where(F.col("_own").isNotNull()).select("_domain", F.col("_own").alias("_first"))
-    found = topics.drop("_own").join(first, "_domain")
+    # Few domains have more entries than a row may hold: no more than entries / topics_per_row.
+    counted = home.groupBy("_domain").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > topics_per_row)
+    heavy = stage(counted.select("_domain", F.ceil(F.col("_n") / F.lit(topics_per_row)).alias("_parts")), "heavy-domains")
+    known = heavy.limit(_BROADCAST_ROWS + 1).count()
+    topic = F.sort_array(F.collect_list(F.struct("position", "topic"))).alias("_topics")
+    own = F.min_by(F.struct("url", "title", "description"), "position").alias("_first")
+    if not known:
+        found = home.groupBy("_domain").agg(topic, own).withColumn("part", F.lit(0))
+    else:
+        near = F.broadcast(heavy) if known <= _BROADCAST_ROWS else heavy
+        light = home.join(near, "_domain", "left_anti").groupBy("_domain").agg(topic, own).withColumn("part", F.lit(0))
+        dealt = home.join(near, "_domain").withColumn("part", F.pmod(F.xxhash64("position"), F.col("_parts")).cast("int"))
+        parts = dealt.groupBy("_domain", "part").agg(topic, own, F.min("position").alias("_position"))
+        first = parts.groupBy("_domain").agg(F.min_by("_first", "_position").alias("_first"))
+        found = light.unionByName(parts.drop("_first", "_position").join(first, "_domain").select(*light.columns))
     return _ranked_once(ranked).join(found, F.col("alexa_domain") == F.col("_domain"), "left").select(
         "alexa_domain",
         "alexa_rank",

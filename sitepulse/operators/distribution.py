@@ -1,7 +1,8 @@
-"""Exact distributions of whole numbers: running sums, quantiles, CDFs and summaries.
+"""Exact distributions: running sums, quantiles, CDFs and summaries.
 
-Everything starts from counts per distinct value, so ties cost one row, and running sums go in
-two levels, so no task ever holds one whole series. ``by`` names the columns that label a series.
+Everything starts from counts per distinct value, so ties cost one row. Running sums are taken inside ranges of
+values that Spark deals by size, and the totals of the ranges before are added back, so no task ever holds one whole
+series. ``by`` names the columns that label a series.
 """
 
 from __future__ import annotations
@@ -11,8 +12,7 @@ from math import nextafter
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Distinct values per bucket of the two-level running sum.
-BUCKET_WIDTH = 1024
+from sitepulse.session import stage
 
 
 def value_counts(rows: DataFrame, value: Column, by: Sequence[str]) -> DataFrame:
@@ -28,32 +28,24 @@ def value_counts(rows: DataFrame, value: Column, by: Sequence[str]) -> DataFrame
 def running_total(counts: DataFrame, by: Sequence[str]) -> DataFrame:
     """Add ``upto`` (rows with a value up to this one) and ``total`` to value counts.
 
-    The value range is cut into buckets: totals per bucket are summed in value order, then the
-    sum inside each bucket is added on top.
+    The counts are dealt to ranges of (series, value) and staged, so they are computed once however often the result is
+    used; a series of any share of all rows is spread over the tasks. What a range adds to each series is one
+    row, and these rows are summed in order.
     """
-    bucketed = counts.withColumn("_bucket", F.floor(F.col("value") / F.lit(BUCKET_WIDTH)))
+    ranges = stage(counts.repartitionByRange(*by, "value").withColumn("_range", F.spark_partition_id()), "value-ranges")
     series = Window.partitionBy(*by)
-    buckets = (
-        bucketed.groupBy(*by, "_bucket")
+    before = series.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (
+        ranges.groupBy(*by, "_range")
         .agg(F.sum("n").alias("_n"))
-        .withColumn(
-            "_before",
-            F.sum("_n").over(
-                series.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            )
-            - F.col("_n"),
+        .select(
+            *by, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.sum("_n").over(series).alias("total")
         )
-        .withColumn("total", F.sum("_n").over(series))
-        .drop("_n")
-    )
-    inside = (
-        Window.partitionBy(*by, "_bucket")
-        .orderBy("value")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    inside = Window.partitionBy(*by, "_range").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        bucketed.withColumn("_inside", F.sum("n").over(inside))
-        .join(buckets, [*by, "_bucket"], "inner")
+        ranges.withColumn("_inside", F.sum("n").over(inside))
+        .join(totals, [*by, "_range"])
         .select(*by, "value", "n", (F.col("_before") + F.col("_inside")).alias("upto"), "total")
     )
 
@@ -66,7 +58,14 @@ def exact_quantiles(
     Linear interpolation between neighbours, or with ``discrete`` the smallest value whose share
     of rows up to it reaches the probability.
     """
-    ranked = running_total(counts, by).withColumn("_from", F.col("upto") - F.col("n"))
+    return _quantiles(running_total(counts, by), probabilities, by, discrete)
+
+
+def _quantiles(
+    ranked: DataFrame, probabilities: Mapping[str, float], by: Sequence[str], discrete: bool = False, *more: Column
+) -> DataFrame:
+    """The quantiles of running totals, and ``more`` aggregates of the same rows."""
+    ranked = ranked.withColumn("_from", F.col("upto") - F.col("n"))
 
     def at(position: Column) -> Column:
         inside = (F.col("_from") <= position) & (position < F.col("upto"))
@@ -87,25 +86,26 @@ def exact_quantiles(
             h = (F.col("_total") - 1) * F.lit(float(p))
             lo, hi = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
             results.append((lo + (hi - lo) * (h - F.floor(h))).alias(name))
-    return ranked.groupBy(*by).agg(*parts).select(*by, *results)
+    names = [f"_more{i}" for i in range(len(more))]
+    found = ranked.groupBy(*by).agg(*parts, *(column.alias(name) for name, column in zip(names, more)))
+    return found.select(*by, *results, *names)
 
 
 def quartile_summary(counts: DataFrame, by: Sequence[str]) -> DataFrame:
     """Quartiles and mean of each series, cut to whole numbers."""
-    quartiles = exact_quantiles(counts, {"q1": 0.25, "q2": 0.5, "q3": 0.75}, by)
-    means = counts.groupBy(*by).agg(
-        (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean")
-    )
-    return quartiles.join(means, list(by)).select(*by, *[F.col(c).cast("bigint").alias(c) for c in ("q1", "q2", "q3", "mean")])
+    mean = F.sum(F.col("value") * F.col("n")) / F.sum("n")
+    found = _quantiles(running_total(counts, by), {"q1": 0.25, "q2": 0.5, "q3": 0.75}, by, False, mean)
+    found = found.withColumnRenamed("_more0", "mean")
+    return found.select(*by, *[F.col(c).cast("bigint").alias(c) for c in ("q1", "q2", "q3", "mean")])
 
 
-def _with_cut(counts: DataFrame, trim: float, by: Sequence[str]) -> DataFrame:
+def _with_cut(ranked: DataFrame, trim: float, by: Sequence[str]) -> DataFrame:
     """Add ``cut``, the whole part of the trim quantile of each series.
 
     One row per series, so the join is broadcast when Spark finds it small.
     """
-    cuts = exact_quantiles(counts, {"cut": trim}, by).withColumn("cut", F.col("cut").cast("bigint"))
-    return counts.join(cuts, list(by))
+    cuts = _quantiles(ranked, {"cut": trim}, by).withColumn("cut", F.col("cut").cast("bigint"))
+    return ranked.join(cuts, list(by))
 
 
 def equal_width_histogram(
@@ -118,7 +118,7 @@ def equal_width_histogram(
     position = F.expr(f"(value * {bins}) div cut").cast("int")
     inside = (F.col("cut") > 0) & F.col("value").between(F.lit(0), F.col("cut"))
     return (
-        _with_cut(counts, trim, by)
+        _with_cut(running_total(counts, by), trim, by)
         .where(inside)
         .groupBy(*by, "cut", F.least(position, F.lit(bins - 1)).alias("bin"))
         .agg(F.sum("n").alias("n"))
@@ -140,17 +140,15 @@ def empirical_cdf(counts: DataFrame, by: Sequence[str], trim: float | None = Non
     """
     ranked = running_total(counts, by)
     last = F.greatest(F.col("total") - 1, F.lit(1))
-    cdf = ranked.select(
+    if trim is not None:
+        ranked = _with_cut(ranked, trim, by).where(F.col("value") <= F.col("cut"))
+    return ranked.select(
         *by,
         "value",
         "n",
         ((F.col("upto") - F.col("n")) / last).alias("cdf_first"),
         ((F.col("upto") - 1) / last).alias("cdf_last"),
     )
-    if trim is None:
-        return cdf
-    cuts = exact_quantiles(counts, {"cut": trim}, by)
-    return cdf.join(cuts, list(by)).where(F.col("value") <= F.col("cut").cast("bigint")).drop("cut")
 
 
 def cdf_points(cdf: DataFrame, by: Sequence[str], chunk: int = 65_536) -> DataFrame:

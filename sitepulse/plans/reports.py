@@ -1,9 +1,9 @@
 """Keeping reports up to date: readiness, incremental runs, forced runs, deletion, export.
 
 All reports live in two long tables. Histograms are immutable per (date, lens, metric) and are
-overwritten partition by partition. Time series are small, so every change writes a new generation
-of the whole table and publishes it by appending to a commit log; readers see the last published
-generation, and a job that dies half-way publishes nothing.
+overwritten partition by partition. Time series are partitioned by date: a run replaces only the dates whose rows it
+changes, and then notes how far each (lens, metric) has come. A job that dies before that leaves the mark where it was, and
+the next run replaces the same dates again.
 """
 
 from __future__ import annotations
@@ -12,12 +12,12 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sitepulse.functions import scalar
 from sitepulse.plans import histograms, lens as lenses_, metrics as m, series
 from sitepulse.plans.tables import CrawlTables
-from sitepulse.session import drop
+from sitepulse.session import drop, stage
 
 HISTOGRAM_SCHEMA = (
     "client string, bin double, volume double, pdf double, cdf double, date string, lens string, metric string"
@@ -27,7 +27,7 @@ SERIES_SCHEMA = (
     + ", ".join(f"{name} {dtype}" for name, dtype in series.MEASURES.items())
     + ", lens string, metric string"
 )
-_REACHED = "lens string, metric string, date string, generation bigint"
+_REACHED = "lens string, metric string, date string, change bigint"
 CLIENTS = ("desktop", "mobile")
 # Fixed value: the most rows of one report that the published reader fetches; a limit only where asked for.
 MAX_REPORT_ROWS = 1_000_000
@@ -80,47 +80,57 @@ class ReportStore:
 
     # -- time series
 
-    def generation(self) -> int:
-        """Number of the last published generation; 0 when there is none."""
-        commits = _read_or_empty(self.spark, f"{self.root}/commits", "generation bigint")
-        return commits.agg(F.max("generation")).first()[0] or 0
-
     def series(self) -> DataFrame:
-        last = self.generation()
-        path = f"{self.root}/series/generation={last}"
-        return _read_or_empty(self.spark, path, SERIES_SCHEMA) if last else self.spark.createDataFrame([], SERIES_SCHEMA)
+        return _read_or_empty(self.spark, f"{self.root}/series", SERIES_SCHEMA)
+
+    def replace_series(self, fresh: DataFrame, replaced: Sequence[tuple[str, str]] = (), gone: Column | None = None) -> None:
+        """Put ``fresh`` rows in place of those of the same (date, lens, metric).
 
-    def publish_series(self, table: DataFrame) -> None:
-        """Write a whole new generation, then publish it."""
-        following = self.generation() + 1
+        All other rows of the ``replaced`` pairs go, and rows that are ``gone``. Only dates with a changed row are
+        written; a date without any row left loses its folder.
+        """
         columns = [f.name for f in self.spark.createDataFrame([], SERIES_SCHEMA).schema]
+        fresh = stage(fresh.select(*columns), "fresh-series")
+        old = self.series().select(*columns)
+        out = F.lit(False) if gone is None else F.coalesce(gone, F.lit(False))
+        for lens_names, names in _batches(replaced):
+            out = out | (F.col("lens").isin(*lens_names) & F.col("metric").isin(*names))
+        # A short list: one date per crawl.
+        touched = [r.date for r in old.where(out).select("date").union(fresh.select("date")).distinct().collect()]
+        if not touched:
+            return
+        kept = old.where(F.col("date").isin(*touched) & ~out).join(fresh, ["date", "lens", "metric"], "left_anti")
+        content = stage(fresh.unionByName(kept), "changed-series")
         (
-            table.select(*columns)
-            .repartition("lens", "metric")
+            content.repartition("date")
             .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy("lens", "metric")
-            .parquet(f"{self.root}/series/generation={following}")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("date")
+            .parquet(f"{self.root}/series")
         )
-        published = self.spark.createDataFrame([(following,)], "generation bigint")
-        published.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
-        # The generation before stays for readers that have begun; older ones go.
-        drop(self.spark, f"{self.root}/series/generation={following - 2}")
+        left = {r.date for r in content.select("date").distinct().collect()}
+        for date in sorted(set(touched) - left):
+            drop(self.spark, f"{self.root}/series/date={date}")
 
-    def record_reached(self, pairs: Sequence[tuple[str, str]], date: str | None) -> None:
+    def record_reached(self, reached: dict[tuple[str, str], str | None]) -> None:
         """Note up to which date series are complete, also those that have no row; None: from the start again."""
-        if pairs:
-            rows = [(lens, metric, date, self.generation()) for lens, metric in pairs]
-            noted = self.spark.createDataFrame(rows, _REACHED)
-            noted.coalesce(1).write.mode("append").parquet(f"{self.root}/reached")
+        if reached:
+            log = _read_or_empty(self.spark, f"{self.root}/reached", _REACHED)
+            change = (log.agg(F.max("change")).first()[0] or 0) + 1
+            rows = [(lens, metric, date, change) for (lens, metric), date in reached.items()]
+            self.spark.createDataFrame(rows, _REACHED).coalesce(1).write.mode("append").parquet(f"{self.root}/reached")
+
+    def newest(self, pairs: Sequence[tuple[str, str]]) -> dict[tuple[str, str], str | None]:
+        """The newest row's date of each pair, None for one without rows."""
+        found = self.series().groupBy("lens", "metric").agg(F.max("date").alias("date")).collect()
+        dates = {(r.lens, r.metric): r.date for r in found}
+        return {pair: dates.get(pair) for pair in pairs}
 
     def last_dates(self) -> dict[tuple[str, str], str]:
-        """The date each (lens, metric) series has reached: that of its newest row, or for one without rows that noted."""
+        """The date each (lens, metric) series has reached; one row a pair."""
         noted = _read_or_empty(self.spark, f"{self.root}/reached", _REACHED)
-        noted = noted.groupBy("lens", "metric").agg(F.max_by("date", "generation").alias("date")).where("date IS NOT NULL")
-        newest = self.series().groupBy("lens", "metric").agg(F.max("date").alias("date"))
-        found = {(row.lens, row.metric): row.date for row in noted.toLocalIterator()}
-        return found | {(row.lens, row.metric): row.date for row in newest.toLocalIterator()}
+        noted = noted.groupBy("lens", "metric").agg(F.max_by("date", "change").alias("date")).where("date IS NOT NULL")
+        return {(row.lens, row.metric): row.date for row in noted.toLocalIterator()}
 
 
 # ---------------------------------------------------------------- readiness and dates
@@ -258,7 +268,6 @@ def run_series(
     if not planned:
         return []
     until = _iso(date) if date else None
-    old = store.series()
     fresh, pairs, replaced = None, [], []
     for start, wanted in planned.items():
         for lens_names, names in _batches(wanted):
@@ -270,13 +279,13 @@ def run_series(
         pairs += wanted
         if start is None:
             replaced += wanted
-    for lens_names, names in _batches(replaced):
-        old = old.where(~(F.col("lens").isin(*lens_names) & F.col("metric").isin(*names)))
-    store.publish_series(fresh.unionByName(old))
+    store.replace_series(fresh, replaced)
     crawled = [pair for pair in pairs if not m.is_rum(m.SERIES[pair[1]])]
+    reached: dict[tuple[str, str], str | None] = {}
     if crawled and tables.pages is not None:
-        reached = date or tables.pages.agg(scalar.report_date(F.max("date"))).first()[0]
-        store.record_reached(crawled, reached)
+        until = date or tables.pages.agg(scalar.report_date(F.max("date"))).first()[0]
+        reached = dict.fromkeys(crawled, until)
+    store.record_reached(reached | store.newest([pair for pair in pairs if pair not in reached]))
     return pairs
 
 
@@ -340,12 +349,11 @@ def delete_date(
     names = [metric.name for metric in m.matching(m.SERIES, pattern)]
     chosen = [x.name for x in lenses_.select(lens)]
     gone = (F.col("date") == date) & F.col("lens").isin(*chosen) & F.col("metric").isin(*names)
-    left = store.series().where(~gone)
     if dry_run:
-        return left
-    store.publish_series(left)
+        return store.series().where(~gone)
+    store.replace_series(store.spark.createDataFrame([], SERIES_SCHEMA), gone=gone)
     # What was noted no longer holds; a series with rows continues after its newest one.
-    store.record_reached([(lens, metric) for lens in chosen for metric in names], None)
+    store.record_reached(store.newest([(lens, metric) for lens in chosen for metric in names]))
     return store.series()
 
 
@@ -366,7 +374,8 @@ def export_histograms(store: ReportStore, path: str, date: str, max_rows: int |
     _check_size(rows, ["lens", "metric"], max_rows)
     (
         rows.repartition("lens", "metric")
-        .sortWithinPartitions("lens", "metric", F.col("bin").asc_nulls_first(), "client")
+        # Partition columns first, in their order: the writer sorts by them, and would lose the order of the rows.
+        .sortWithinPartitions("lens", "date", "metric", F.col("bin").asc_nulls_first(), "client")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("lens", "date", "metric")
@@ -393,8 +402,8 @@ def import_series(store: ReportStore, path: str, lens: str, metric: str, lines:
     columns = [f for f in store.spark.createDataFrame([], SERIES_SCHEMA).schema if f.name not in ("lens", "metric")]
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in columns)
     given = read_json_report(store.spark, path, schema, lines).withColumns({"lens": F.lit(lens), "metric": F.lit(metric)})
-    others = store.series().where((F.col("lens") != lens) | (F.col("metric") != metric))
-    store.publish_series(others.unionByName(given))
+    store.replace_series(given, [(lens, metric)])
+    store.record_reached(store.newest([(lens, metric)]))
 
 
 def read_json_report(spark: SparkSession, path: str, schema: str, lines: bool = False) -> DataFrame:

@@ -24,6 +24,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        # One JVM is driver and executors at once; its default heap of 1 GB is too small for both.
+        "spark.driver.memory": "6g",
         # Hundreds of columns are built per report run; their source lines are not needed.
         "spark.sql.dataFrameQueryContext.enabled": "false",
         **conf,

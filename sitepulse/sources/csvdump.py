@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F, types as T
 
-from sitepulse.session import stage
+from sitepulse.session import shared_dir, stage
 from sitepulse.sources import release, schemas
 
 # Bad rows a load tolerates, rows per output file.
@@ -28,66 +24,45 @@ class TooManyBadRows(ValueError):
     """More rows do not fit the schema than a load tolerates."""
 
 
-_PIECE = "file string, block bigint, first boolean, open boolean, value string"
-
-
-def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Records of each block of a file, with what its first and last line may share with other blocks."""
-    place, held, first = None, [], True
-
-    def record(is_open: bool) -> tuple:
-        return (*place, first, is_open, "".join(held))
-
-    for batch in batches:
-        rows = []
-        for value, file, block in zip(*(c.to_pylist() for c in batch.columns)):
-            if (file, block) != place:
-                if held:
-                    rows.append(record(True))
-                place, held, first = (file, block), [], True
-            if value.endswith("\\"):
-                held.append(value[:-1] + ", ")
-                continue
-            held.append(value)
-            rows.append(record(False))
-            held, first = [], False
-        yield _pieces(rows)
-    if held:
-        yield _pieces([record(True)])
-
-
-def _pieces(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.string(), pa.int64(), pa.bool_(), pa.bool_(), pa.string())
-    columns = zip(*rows) if rows else [[]] * len(kinds)
-    names = [part.split()[0] for part in _PIECE.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
-
-
-def _across_blocks(pieces: pd.DataFrame) -> pd.DataFrame:
-    """The records at the edges of one file's blocks: at most two pieces per block."""
-    whole, rest = [], ""
-    for first, is_open, value in pieces.sort_values(["block", "first"], ascending=[True, False])[["first", "open", "value"]].values:
-        if first:
-            value, rest = rest + value, ""
-        if is_open:
-            rest = value
-        else:
-            whole.append(value)
-    return pd.DataFrame({"value": [*whole, rest] if rest else whole})
-
-
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """The rows of a dump as text, column ``value``.
 
     A backslash before a line break continues the row, in any field; the break reads as a comma and a
-    blank. Plain files are read in blocks by many tasks, and rows that cross a block are put together.
+    blank. Plain files are read in blocks by many tasks, and rows that cross a block are put together. Only lines
+    that are part of a continued row are sorted and joined; the others pass as they are.
     """
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path"), F.col("_metadata.file_block_start"))
-    pieces = stage(lines.mapInArrow(_joined, _PIECE), "csv-records")
-    edge = F.col("first") | F.col("open")
-    return pieces.where(~edge).select("value").unionByName(
-        pieces.where(edge).groupBy("file").applyInPandas(_across_blocks, "value string")
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"),  # rises with the lines of a block
+        F.col("value").endswith("\\").alias("open"),
+        "value",
     )
+    lines = stage(lines, "csv-lines")
+    # Where a block's last line goes on: the first line of the file's next block that has any.
+    blocks = lines.groupBy("file", "block").agg(F.min("id").alias("_first"), F.max("id").alias("_last"))
+    ahead = F.lead("_first").over(Window.partitionBy("file").orderBy("block"))
+    blocks = blocks.select("file", "block", "_last", ahead.alias("_ahead"))
+    opened = lines.where("open").select("file", "block", "id").join(blocks, ["file", "block"])
+    follows = opened.select(F.when(F.col("id") < F.col("_last"), F.col("id") + 1).otherwise(F.col("_ahead")).alias("id")).dropna()
+    marks = opened.select("id", F.lit(True).alias("open"), F.lit(False).alias("late"))
+    marks = marks.unionAll(follows.select("id", F.lit(False), F.lit(True)))
+    parts = stage(marks.groupBy("id").agg(F.max("open").alias("open"), F.max("late").alias("late")), "csv-parts")
+
+    alone = lines.join(parts, "id", "left_anti").select("value")
+    text = F.when(parts["open"], F.concat(F.expr("left(value, length(value) - 1)"), F.lit(", "))).otherwise(F.col("value"))
+    pieces = lines.select("file", "block", "id", "value").join(parts, "id").withColumn("text", text)
+    # A row is numbered by the rows that begin up to it: those of the blocks before, and those inside its own.
+    begins = F.count_if(~F.col("late"))
+    inside = Window.partitionBy("file", "block").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    totals = pieces.groupBy("file", "block").agg(begins.alias("_n"))
+    totals = totals.select("file", "block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    numbered = pieces.withColumn("_inside", begins.over(inside)).join(totals, ["file", "block"])
+    rows = numbered.groupBy("file", (F.col("_before") + F.col("_inside")).alias("_row")).agg(
+        F.array_sort(F.collect_list(F.struct("block", "id", "text"))).alias("_texts")
+    )
+    return alone.unionByName(rows.select(F.array_join("_texts.text", "").alias("value")))
 
 
 def read_dump(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -116,19 +91,25 @@ def _is_bad(schema: T.StructType) -> Column:
     return bad
 
 
+def rejects_path(spark: SparkSession) -> str:
+    """Where bad rows go that no other folder is named for: columns ``source`` (the dump) and ``line``."""
+    return f"{shared_dir(spark)}/sitepulse/csv-rejects"
+
+
 def load_dump(
     spark: SparkSession, path: str, schema: T.StructType, max_bad: int = MAX_BAD_RECORDS, rejects: str | None = None
 ) -> DataFrame:
     """Rows of a dump in their own types; refuses a dump with too many bad rows.
 
-    Bad rows are appended as text below ``rejects``, if given, in any case. The dump is read once, into the
-    shared folder; the check and the result parse that.
+    Bad rows are appended as text below ``rejects`` in any case, by default in ``csv-rejects`` of the shared folder. The
+    dump is read once, into the shared folder; the check and the result parse that.
     """
     rows = read_dump(spark, path, schema)
+    rejects = rejects or rejects_path(spark)
     bad = rows.where(_is_bad(schema)).select(F.lit(path).alias("source"), F.col("_line").alias("line"))
-    if rejects is not None:
-        bad.write.mode("append").parquet(rejects)
-    if bad.limit(max_bad + 1).count() > max_bad:
+    seen = Observation("csv dump")
+    bad.observe(seen, F.count(F.lit(1)).alias("bad")).write.mode("append").parquet(rejects)
+    if seen.get["bad"] > max_bad:
         raise TooManyBadRows(f"{path}: more than {max_bad} bad rows")
     return rows.where(~_is_bad(schema)).select(*[_typed(f.name, f.dataType).alias(f.name) for f in schema])
 
@@ -196,13 +177,10 @@ def write_slices(rows: DataFrame, path: str, by: tuple[str, ...], replace: bool
 
 
 def first_of_each(rows: DataFrame, identity: tuple[str, ...], *order: str) -> DataFrame:
-    """One row per identity, the lowest by ``order``; copies combine before the shuffle.
+    """One row per identity, the lowest by ``order``; of rows that share it one is taken. NULLs are an identity.
 
-    The lowest order comes from a fixed-width aggregate; of rows that share it one is taken.
+    A pruned rank: every task keeps only its lowest row of each identity before the one shuffle, so an identity that
+    holds most rows sends one row per task.
     """
-    least = rows.groupBy(*identity).agg(F.min(F.struct(*order)).alias("_least"))
-    same = F.lit(True)
-    for name in identity:
-        same = same & rows[name].eqNullSafe(least[name])
-    lowest = rows.join(least, same & F.struct(*[rows[c] for c in order]).eqNullSafe(least["_least"]), "left_semi")
-    return lowest.dropDuplicates([*identity])
+    rank = F.row_number().over(Window.partitionBy(*identity).orderBy(*order))
+    return rows.withColumn("_first_of_each", rank).where("_first_of_each = 1").drop("_first_of_each")

@@ -40,12 +40,9 @@ _PAGE = (
 )
 _ENTRY = (
     "_full_url string, url string, _request_id string, _id string, _raw_id string, "
-    "response struct<content: struct<text: string>>"
+    "response struct<content: string>"
 )
 
-# Strings of any length; without it a document with one of over 20 million characters reads as NULL.
-_ANY_LENGTH = {"maxStringLen": str(2**31 - 1)}
-
 
 @dataclass(frozen=True)
 class HarOptions:
@@ -106,7 +103,7 @@ def parse(docs: DataFrame) -> DataFrame:
     ``entries``, ``report``, ``crawl_depth``, ``detected`` and ``detected_apps``. Lines that hold no
     page get NULLs.
     """
-    split = docs.withColumn("_d", F.from_json("doc", _DOCUMENT, _ANY_LENGTH | {"columnNameOfCorruptRecord": "_corrupt"}))
+    split = docs.withColumn("_d", F.from_json("doc", _DOCUMENT, text.ANY_LENGTH | {"columnNameOfCorruptRecord": "_corrupt"}))
     page = split.withColumns(
         {
             "payload": _compact(F.get(F.col("_d.log.pages"), F.lit(0))),
@@ -114,7 +111,7 @@ def parse(docs: DataFrame) -> DataFrame:
             "report": _compact(F.col("_d._lighthouse")),
             "_broken": F.col("_d._corrupt").isNotNull(),
         }
-    ).withColumn("_p", F.from_json("payload", _PAGE, _ANY_LENGTH))
+    ).withColumn("_p", F.from_json("payload", _PAGE, text.ANY_LENGTH))
     return page.withColumns(
         {
             "page_url": F.coalesce(F.col("_p._metadata.tested_url"), F.col("_p._URL")),
@@ -156,7 +153,7 @@ def detected_technologies(detected: Column, detected_apps: Column) -> Column:
     name and an info. An id no app accounts for is itself the app. A list in place of the apps map
     means nothing was detected.
     """
-    apps = F.map_entries(F.from_json(detected_apps, "map<string,string>", _ANY_LENGTH))
+    apps = F.map_entries(F.from_json(detected_apps, "map<string,string>", text.ANY_LENGTH))
     ids = F.flatten(
         F.transform(
             F.filter(apps, lambda a: F.length(a["value"]) > 0),
@@ -173,7 +170,7 @@ def detected_technologies(detected: Column, detected_apps: Column) -> Column:
     )
     known = F.coalesce(ids, F.array().cast("array<struct<id: string, app: string>>"))
     categories = F.filter(
-        F.map_entries(F.from_json(detected, "map<string,string>", _ANY_LENGTH)), lambda c: c["value"].isNotNull()
+        F.map_entries(F.from_json(detected, "map<string,string>", text.ANY_LENGTH)), lambda c: c["value"].isNotNull()
     )
 
     def row(category: Column, id: Column) -> Column:
@@ -272,19 +269,18 @@ def fan_out(parsed: DataFrame, tables: Sequence[str] = tuple(TABLES), options: H
     kind, of = F.col("i.kind"), F.col("i.url")
     rows = items
     if "lighthouse" in tables:
-        rows = rows.withColumn(
-            "_report",
-            text.drop_json_member(F.when(kind == "lighthouse", F.col("i.text")), "audits", "screenshot-thumbnails", "details", "items"),
-        )
+        report = F.when(kind == "lighthouse", F.col("i.text"))
+        rows = text.drop_json_member(rows, "_report", report, "audits", "screenshot-thumbnails", "details", "items")
     if wants_entries:
-        rows = rows.withColumn("_e", F.when(kind == "entry", F.from_json(F.col("i.text"), _ENTRY, _ANY_LENGTH)))
+        entry = F.when(kind == "entry", F.col("i.text"))
+        rows = rows.withColumn("_e", F.from_json(entry, _ENTRY, text.ANY_LENGTH))
+        content = F.col("_e.response.content")
+        if "response_bodies" in tables:
+            is_object = content.startswith("{") & F.contains(entry, F.concat(F.lit('"content":'), content))
+            body = F.from_json(F.when(is_object, content), "text string", text.ANY_LENGTH)["text"]
+            rows = rows.withColumn("_body", body)
         if "requests" in tables:
-            rows = rows.withColumn(
-                "_payload",
-                text.drop_json_member(
-                    F.when(kind == "entry", F.col("i.text")), "response", "content", "text", require_parent=True
-                ),
-            )
+            rows = text.drop_json_member(rows, "_payload", entry, "response", "content", "text", require_parent=True, parent=content)
 
     tagged = {"pages": _row(table=F.lit("pages"), url=of, payload=F.col("i.text"), skipped=~F.col("_fits"))}
     if "lighthouse" in tables:
@@ -335,7 +331,7 @@ def _entry_rows(page: Column, tables: Sequence[str], options: HarOptions) -> lis
             )
         )
     if "response_bodies" in tables:
-        body = entry["response"]["content"]["text"]
+        body = F.col("_body")
         if options.max_size is None:
             cut = body
         elif options.in_bytes:
@@ -440,11 +436,21 @@ def not_imported(docs: DataFrame, path: str) -> DataFrame:
 
     The releases there are partition names, one row per date and client.
     """
-    spark = docs.sparkSession
-    if not exists(spark, path):
-        return docs
-    there = spark.read.parquet(path).select("date", "client").distinct()
-    return docs.join(there, ["date", "client"], "left_anti")
+    there = _releases(docs.sparkSession, path)
+    return docs if there is None else docs.join(there, ["date", "client"], "left_anti")
+
+
+def imported(docs: DataFrame, path: str) -> list[tuple]:
+    """What ``not_imported`` leaves out: date, client and number of files of releases that are there."""
+    there = _releases(docs.sparkSession, path)
+    if there is None:
+        return []
+    left_out = docs.join(there, ["date", "client"], "left_semi").groupBy("date", "client").agg(F.count_distinct("path").alias("files"))
+    return [tuple(row) for row in left_out.orderBy("date", "client").collect()]
+
+
+def _releases(spark: SparkSession, path: str) -> DataFrame | None:
+    return spark.read.parquet(path).select("date", "client").distinct() if exists(spark, path) else None
 
 
 def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
