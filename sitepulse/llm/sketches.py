@@ -25,8 +25,8 @@ TABLES = 3
 WIDTH = 4
 #: Peeling steps of an attempt; each goes over one table.
 STEPS = 6
-#: Buckets a shuffle partition that neighbours are searched in.
-BUCKETS = 4
+#: Parts a shuffle partition of texts and sketches: digests grow into cells, which should stay in a task's memory.
+PARTS = 4
 #: Attempts; each is four times as wide as the one before, so this many are never needed.
 ATTEMPTS = 20
 
@@ -51,8 +51,7 @@ def with_next(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataF
     """
     given = docs.select(F.col(key).alias("_key"), F.coalesce(text, F.lit("")).alias("_text"))
     place = F.struct(F.col("_key").isNull().alias("last"), F.col("_key").alias("key"), F.xxhash64("_text").alias("tie"))
-    parts = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = given.select(place.alias("_place")).repartitionByRange(parts, "_place")
+    ranges = given.select(place.alias("_place")).repartitionByRange(_parts(docs), "_place")
     ranges = ranges.withColumn("_part", F.spark_partition_id())
     heads = sorted((r[0] for r in ranges.groupBy("_part").agg(F.min("_place")).select("min(_place)").collect()), key=_in_order)
     if not heads:
@@ -74,6 +73,10 @@ def with_next(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataF
     return entered.withColumn("_next", F.lead("_text").over(order)).filter("_own").select("_key", "_text", "_next")
 
 
+def _parts(rows: DataFrame) -> int:
+    return PARTS * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _in_order(place) -> tuple:
     return (place.last, 0 if place.key is None else place.key, place.tie)
 
@@ -141,10 +144,11 @@ def _settled(rows: DataFrame, kinds: dict[int, tuple[str, str]], kept: bool) ->
     results, todo = [], None
     for attempt in range(ATTEMPTS):
         if todo is None:
-            given = rows.repartition("_row")
+            given = rows.repartition(_parts(rows), "_row")
         else:
-            # Sorted and merged, so that both sides are dealt by row and the sketches need no shuffle.
-            given = rows.join(todo.groupBy("_row").agg(F.collect_set("_kind").alias("_kinds")).hint("merge"), "_row")
+            # Both sides are dealt by row alike, and merged, so that the sketches need no further shuffle.
+            failed = todo.repartition(_parts(rows), "_row").groupBy("_row").agg(F.collect_set("_kind").alias("_kinds"))
+            given = rows.repartition(_parts(rows), "_row").join(failed.hint("merge"), "_row")
         each = []
         for kind, (a, b) in kinds.items():
             wide = F.lit(WIDTH) if not attempt else WIDTH + (F.size(a) + F.size(b)) * 4 ** (attempt - 1)
@@ -222,7 +226,7 @@ def report(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFram
     which = lambda name, kind: F.coalesce(F.max(F.when(F.col("_kind") == kind, F.col(name))), F.lit(0)).alias(f"{name}{kind}")
     sides = settled.groupBy("_row").agg(*(which(name, kind) for name in ("_first", "_second") for kind in (0, 1)))
 
-    dealt = rows.repartition("_row")
+    dealt = rows.repartition(_parts(rows), "_row")
     versions = [
         F.struct(F.lit(kind).alias("_kind"), F.lit(WIDTH).cast("bigint").alias("_width"), F.col(column).alias("_a"), F.expr("cast(array() AS array<bigint>)").alias("_b"))
         for kind, column in enumerate(("_a", "_b"))
