@@ -62,17 +62,24 @@ def drop_json_member(
         parent = F.from_json(doc, kind, ANY_LENGTH)
         for name in path[:-1]:
             parent = parent[name]
-    given = rows.withColumns({"_doc": doc, "_parent": parent})
+    given = rows.withColumns({"_given": doc, "_parent": parent})
+    needle = F.concat(F.lit(f'"{key}":'), F.col("_parent"))
+    compact = F.coalesce(F.get_json_object("_given", "$"), F.col("_given"))
+    given = given.withColumn("_doc", F.when(F.contains(F.col("_given"), needle), F.col("_given")).otherwise(compact))
     given = given.withColumn("_cut", F.when(F.col("_parent").startswith("{"), _without(F.col("_parent"), member)))
     doc, parent, cut = F.col("_doc"), F.col("_parent"), F.col("_cut")
-    swapped = F.replace(doc, F.concat(F.lit(f'"{key}":'), parent), F.concat(F.lit(f'"{key}":'), cut))
+    swapped = F.replace(doc, needle, F.concat(F.lit(f'"{key}":'), cut))
     given = given.withColumn("_swapped", F.when(cut.isNotNull() & (cut != parent), swapped))
     swapped, label = F.col("_swapped"), F.lit(f'"{member}":')
     once = F.length(doc) - F.length(swapped) == F.length(parent) - F.length(cut)
     is_document = F.from_json(doc, "map<string, string>", ANY_LENGTH).isNotNull()
+    # A text that looks like an object reads the same as one; in the document it has quotes before it.
+    place = "$" + "".join(f"['{name}']" for name in path[:-1])
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(doc), place, "variant"))
+    is_object = parent.startswith("{") & (F.contains(doc, needle) | F.coalesce(kind.startswith("OBJECT"), F.lit(False)))
     result = (
         F.when(doc.isNull() | ~doc.startswith("{") | (doc == "{}"), F.lit(None))
-        .when(parent.isNull() | ~parent.startswith("{"), F.lit(None) if require_parent else F.when(is_document, doc))
+        .when(parent.isNull() | ~is_object, F.lit(None) if require_parent else F.when(is_document, doc))
         .when(~parent.contains(label), doc)
         .when(once & ~cut.contains(label), swapped)
         .otherwise(_rebuilt(doc, path))

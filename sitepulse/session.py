@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 # Settings this library relies on. Shuffle width and memory belong to the cluster.
 SESSION_CONF = {
@@ -64,6 +65,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def observed(seen: Observation) -> dict[str, int]:
+    """What an observation counted; nothing where Spark found the plan empty and left it out."""
+    try:
+        return dict(seen.get)
+    except Py4JJavaError:
+        return {}
+
+
 def drop(spark: SparkSession, path: str) -> None:
     """Delete a staged folder that no later step reads."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

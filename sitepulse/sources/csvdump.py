@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F, types as T
 
-from sitepulse.session import shared_dir, stage
+from sitepulse.session import observed, shared_dir, stage
 from sitepulse.sources import release, schemas
 
 # Bad rows a load tolerates, rows per output file.
@@ -109,7 +109,7 @@ def load_dump(
     bad = rows.where(_is_bad(schema)).select(F.lit(path).alias("source"), F.col("_line").alias("line"))
     seen = Observation("csv dump")
     bad.observe(seen, F.count(F.lit(1)).alias("bad")).write.mode("append").parquet(rejects)
-    if seen.get["bad"] > max_bad:
+    if observed(seen).get("bad", 0) > max_bad:
         raise TooManyBadRows(f"{path}: more than {max_bad} bad rows")
     return rows.where(~_is_bad(schema)).select(*[_typed(f.name, f.dataType).alias(f.name) for f in schema])
 

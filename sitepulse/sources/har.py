@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from sitepulse.functions import text
-from sitepulse.session import exists
+from sitepulse.session import exists, observed
 from sitepulse.sources import release as release_
 
 TABLES = {
@@ -385,6 +385,9 @@ def tables(docs: DataFrame, options: HarOptions = CURRENT) -> dict[str, DataFram
     return {name: table_of(fan_out(parsed, tuple(TABLES) if name == "oversize" else (name,), options), name) for name in TABLES}
 
 
+COUNTERS = ("with_body", "truncated_body", "skipped_pages", "skipped_requests", "skipped_lighthouse", "rejected")
+
+
 def counter_columns() -> list[Column]:
     """What the import counts: bodies, cut bodies, rows over the size limit, and documents set aside."""
 
@@ -428,7 +431,7 @@ def write_tables(
         .partitionBy("table", "date", "client")
         .parquet(path)
     )
-    return dict(seen.get)
+    return dict.fromkeys(COUNTERS, 0) | observed(seen)
 
 
 def not_imported(docs: DataFrame, path: str) -> DataFrame:

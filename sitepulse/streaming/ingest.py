@@ -6,6 +6,7 @@ from collections import Counter
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from sitepulse.session import observed
 from sitepulse.sources import har
 
 PARTITIONS = ("table", "date", "client", "batch")
@@ -28,7 +29,7 @@ def write_batch(docs: DataFrame, target: str, batch: str, options: har.HarOption
         .partitionBy(*PARTITIONS)
         .parquet(target)
     )
-    return dict(seen.get)
+    return dict.fromkeys(har.COUNTERS, 0) | observed(seen)
 
 
 def ingest_hars(

@@ -128,5 +128,30 @@ def test_each_document_is_scanned_once(spark, tmp_path):
     docs(spark, document()).write.parquet(str(tmp_path / "docs"))
     rows_ = har.fan_out(har.parse(spark.read.parquet(str(tmp_path / "docs"))))
     plan = rows_._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan") == 1 and "Exchange" not in plan
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan and "Python" not in plan
     assert rows_.where(F.col("table") == "pages").count() == 1
+
+
+def test_a_repeated_batch_adds_nothing(spark, tmp_path):
+    from sitepulse.streaming import ingest
+
+    lines = docs(spark, document(entries=[{"_full_url": "u", "response": {"content": {"text": "b"}}}]), "{bad")
+    target = str(tmp_path / "ingested")
+    for _ in range(2):
+        assert ingest.write_batch(lines, target, "c-0")["with_body"] == 1
+    assert ingest.write_batch(lines, target, "c-1")["rejected"] == 1
+    assert har.read_table(spark, target, "response_bodies").count() == 2
+    assert spark.read.parquet(target).where("table = 'pages'").select("batch").distinct().count() == 2
+
+
+def test_ingest_counts_and_archives(spark, tmp_path):
+    from sitepulse.streaming import ingest
+
+    source, archive = tmp_path / "in" / "chrome-Mar_1_2020", tmp_path / "done"
+    for n in range(3):
+        source.mkdir(parents=True, exist_ok=True)
+        (source / f"{n}.json").write_text(json.dumps(document(entries=[{"_full_url": f"u{n}", "response": {"content": {"text": "b"}}}])) + "\n")
+        found = ingest.ingest_hars(spark, str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "c"), archive=str(archive))
+        assert found["with_body"] == 1
+    assert har.read_table(spark, str(tmp_path / "t"), "pages").count() == 3
+    assert ingest.ingest_hars(spark, str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "c")) == {}

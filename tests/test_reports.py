@@ -120,3 +120,29 @@ def test_json_array_report(spark):
     spark.createDataFrame([('[{"date": "2023_05_01", "urls": 3},\n {"date": "2023_04_01", "urls": 2}]',)], "value string").coalesce(1).write.text(path)
     found = reports.read_json_report(spark, path, "date string, urls bigint").agg({"date": "max"}).first()[0]
     assert found == "2023_05_01"
+
+
+def test_untouched_dates_keep_their_files(spark, crawl, store):
+    from pathlib import Path
+
+    def files():
+        return {str(p) for p in Path(store.root.removeprefix("file:").replace("//", "/")).glob("series/date=*/*.parquet")}
+
+    reports.run_series(crawl, store, "2023_06_01", pattern="numUrls")
+    before = files()
+    reports.run_series(crawl, store, "2023_07_01", pattern="numUrls")
+    after = files()
+    assert len(before) == 2 and before < after and len(after) == 3
+    reports.delete_date(store, "2023_06_01")
+    left = files()
+    assert len(left) == 2 and left < after
+    assert store.last_dates() == {("base", "numUrls"): "2023_07_01"}
+
+
+def test_array_reports_replace_a_series(spark, crawl, store):
+    reports.run_series(crawl, store, pattern="numUrls")
+    path = scratch_path(spark, "test-array")
+    spark.createDataFrame([('[{"date": "2023_01_01", "client": "desktop"},\n {"date": "2023_02_01", "client": "desktop"}]',)], "value string").coalesce(1).write.text(path)
+    reports.import_series(store, path, "base", "numUrls")
+    assert sorted(r.date for r in store.series().collect()) == ["2023_01_01", "2023_02_01"]
+    assert store.last_dates() == {("base", "numUrls"): "2023_02_01"}

@@ -49,6 +49,10 @@ def test_archive_is_loaded_once(spark):
 def test_first_of_each(spark):
     rows = spark.createDataFrame([(3, "k", "c"), (1, "k", "a"), (2, "j", "b")], "id int, key string, v string")
     assert sorted(r.v for r in csvdump.first_of_each(rows, ("key",), "id").collect()) == ["a", "b"]
+    nulls = spark.createDataFrame([(2, None), (1, None), (3, "k")], "id int, key string")
+    assert sorted(r.id for r in csvdump.first_of_each(nulls, ("key",), "id").collect()) == [1, 3]
+    plan = csvdump.first_of_each(rows, ("key",), "id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("WindowGroupLimit") >= 2 and "Join" not in plan
 
 
 def test_release_names(spark):
@@ -98,6 +102,11 @@ def test_hot_domain_is_split_and_whole(spark):
     ranked = spark.createDataFrame([(1, "hot.com")], "alexa_rank int, alexa_domain string")
     rows = directory.ranked_directory(ranked, entries, topics_per_row=1000).collect()
     assert len(rows) == 5 and sorted(int(t) for r in rows for t in r.dmoz_topic) == list(range(5000))
+    both = entries.union(spark.createDataFrame([(9000, "http://rare.com/", "r", "", "x"), (8000, "http://rare.com/", "q", "", "y")], entries.schema))
+    ranked = spark.createDataFrame([(1, "hot.com"), (2, "rare.com"), (3, "none.com")], "alexa_rank int, alexa_domain string")
+    rows = directory.ranked_directory(ranked, both, topics_per_row=1000).collect()
+    assert [(r.part, r.dmoz_topic, r.dmoz_title) for r in rows if r.alexa_domain == "rare.com"] == [(0, ["y", "x"], "q")]
+    assert len(rows) == 7 and {r.dmoz_title for r in rows if r.alexa_domain == "hot.com"} == {"t"}
 
 
 def test_json_lines(spark):
@@ -129,3 +138,6 @@ def test_bad_rows_are_kept(spark):
     rows = csvdump.load_dump(spark, dump(spark, "1,a,1,1", "x,a,1,1", "1,a,1"), schema, rejects=kept)
     assert rows.count() == 1
     assert sorted(r.line for r in spark.read.parquet(kept).collect()) == ["1,a,1", "x,a,1,1"]
+    path = dump(spark, "1,a,1,1", "y,a,1,1")
+    csvdump.load_dump(spark, path, schema)
+    assert [r.line for r in spark.read.parquet(csvdump.rejects_path(spark)).where(F.col("source") == path).collect()] == ["y,a,1,1"]
