@@ -139,3 +139,22 @@ def test_rare_values_speak_too(spark, model):
     assert got.keys() == want.keys()
     for k, r in want.items():
         assert got[k].lang == r.lang and math.isclose(got[k].confidence, r.confidence, rel_tol=1e-9)
+
+
+def test_markup_is_removed_in_one_pass():
+    """As a pattern that goes back would, and megabytes of unclosed tags in seconds."""
+    import html
+    import random
+    import re
+    import time
+
+    pattern = re.compile(r"(?is)<(script|style|noscript)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
+    rng = random.Random(3)
+    parts = ["<script>", "</script>", "<STYLE x>", "</style >", "<!--", "-->", "<", ">", "<b>", "text", " &amp; ", "<!-->", "</noscript>", "<noscript"]
+    for _ in range(3000):
+        page = "".join(rng.choice(parts) for _ in range(rng.randrange(12)))
+        assert language.visible(page) == html.unescape(pattern.sub(" ", page)), page
+    start = time.perf_counter()
+    for opened in ("<script ", "<!-- ", "<", "<script>", "</script "):
+        language.visible(opened * (5_000_000 // len(opened)))
+    assert time.perf_counter() - start < 20
