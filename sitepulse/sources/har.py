@@ -134,15 +134,14 @@ def reject_reason() -> Column:
 
 def rejects(docs: DataFrame) -> DataFrame:
     """Documents without a usable page, with the reason."""
-    return parse(docs).select("path", "doc", reject_reason().alias("reason")).where(F.col("reason").isNotNull())
-
-
-def home_pages(parsed: DataFrame) -> DataFrame:
-    """Documents of home pages with a usable page. A document without metadata is a home page."""
-    return parsed.where(reject_reason().isNull() & _is_home())
+    reason = reject_reason()
+    # Unnested, not filtered: a filter on parsed values would move below the parse and repeat it.
+    found = F.when(reason.isNotNull(), F.array(F.struct("path", "doc", reason.alias("reason"))))
+    return parse(docs).select(F.inline(found))
 
 
 def _is_home() -> Column:
+    """A document without metadata is a home page."""
     return F.coalesce(F.col("crawl_depth"), F.lit("")).isin("", "0", "false")
 
 
@@ -208,11 +207,7 @@ def fan_out(parsed: DataFrame, tables: Sequence[str] = tuple(TABLES), options: H
     Rows over the size limit stay, marked ``skipped``, so they can be counted; ``table_of`` and
     the writer leave them out. Other columns of the documents (date, client) are carried along.
     """
-    reason = reject_reason()
-    if "rejects" in tables:
-        docs = parsed.withColumn("_reason", reason).where(F.col("_reason").isNotNull() | _is_home())
-    else:
-        docs = home_pages(parsed).withColumn("_reason", F.lit(None).cast("string"))
+    docs = parsed.withColumn("_reason", reject_reason())
     carried = [c for c in ("date", "client", "path") if c in parsed.columns]
     url = F.col("page_url")
     page_size = _size(F.col("payload"), options)
@@ -220,7 +215,8 @@ def fan_out(parsed: DataFrame, tables: Sequence[str] = tuple(TABLES), options: H
         page_size = page_size + F.octet_length(url)
     page_fits = ~_exceeds(page_size, options)
 
-    # First level: one row per page, report, technology and entry.
+    # First level: one row per page, report, technology and entry. Documents that give none have an empty array: a filter
+    # on parsed values would move below the parse, and below the step that deals documents out, and repeat the parse.
     part = "kind: string, url: string, category: string, app: string, info: string, text: string"
 
     def item(kind: str, of: Column, value: Column, category=None, app=None, info=None) -> Column:
@@ -260,6 +256,7 @@ def fan_out(parsed: DataFrame, tables: Sequence[str] = tuple(TABLES), options: H
     rejected = F.array(item("rejects", source, F.col("doc"), info=F.col("_reason")))
     of_document = (
         F.when(F.col("_reason").isNotNull(), rejected if "rejects" in tables else none)
+        .when(~_is_home(), none)
         .when(page_fits, F.concat(*pieces) if pieces else none)
         .otherwise(over)
     )

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from contract import etl
 from sitepulse.sources import har
 
 
@@ -155,3 +156,20 @@ def test_ingest_counts_and_archives(spark, tmp_path):
         assert found["with_body"] == 1
     assert har.read_table(spark, str(tmp_path / "t"), "pages").count() == 3
     assert ingest.ingest_hars(spark, str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "c")) == {}
+
+
+def test_documents_are_parsed_once_above_where_they_are_dealt(spark):
+    given = docs(spark, document(), document({"_metadata": {"crawl_depth": "1"}}), "{bad").repartition(3)
+    plans = {name: table for name, table in har.tables(given).items()} | {"all": har.fan_out(har.parse(given)), "reasons": har.rejects(given)}
+    for name, table in plans.items():
+        text = table._jdf.queryExecution().optimizedPlan().toString()
+        assert text.count("from_json(StructField(log") == 1, name
+        assert text.index("from_json(StructField(log") < text.index("Repartition"), name
+
+
+def test_only_the_marked_body_is_large(spark, tmp_path):
+    pages = [(1, "http://a/", "x"), (2, "http://b/", "@large@"), (3, "http://c/", "a @large@ b"), (None, "http://d/", "@large@")]
+    spark.createDataFrame(pages, "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    bodies = har.tables(etl.large_hars(spark, str(tmp_path)))["response_bodies"].where("body <> ''")
+    found = {(r.page, r.n, r.start) for r in bodies.selectExpr("page", "length(body) AS n", "left(body, 12) AS start").collect()}
+    assert found == {("http://a/", 21_000_000, "012345678901"), ("http://c/#tested", 11, "a @large@ b"), ("http://d/", 7, "@large@")}
