@@ -70,11 +70,12 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 def read_files(spark: SparkSession, glob: str, partitions: int | None = None) -> DataFrame:
     """Documents from (gzip) files of one document each, found by a glob.
 
-    ``partitions`` spreads the documents before the expensive parse.
+    ``partitions`` spreads the documents before the expensive parse, where the files come in fewer splits.
     """
     files = spark.read.text(glob, wholetext=True)
     docs = files.select(F.col("value").alias("doc"), F.col("_metadata.file_path").alias("path"))
-    return docs.repartition(partitions) if partitions else docs
+    # Many files come in many splits already; dealing those to a fixed number would make the longest task grow with them.
+    return docs.repartition(partitions) if partitions and docs.rdd.getNumPartitions() < partitions else docs
 
 
 def with_release(docs: DataFrame) -> DataFrame:

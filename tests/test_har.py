@@ -173,3 +173,16 @@ def test_only_the_marked_body_is_large(spark, tmp_path):
     bodies = har.tables(etl.large_hars(spark, str(tmp_path)))["response_bodies"].where("body <> ''")
     found = {(r.page, r.n, r.start) for r in bodies.selectExpr("page", "length(body) AS n", "left(body, 12) AS start").collect()}
     assert found == {("http://a/", 21_000_000, "012345678901"), ("http://c/#tested", 11, "a @large@ b"), ("http://d/", 7, "@large@")}
+
+
+def test_tasks_grow_in_number_with_files_not_in_length(spark, tmp_path):
+    pages = spark.range(100).selectExpr("id AS page_id", "'http://' || id AS url", "'x' AS html").coalesce(1)
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    written = etl.hars(spark, str(tmp_path), 9).select("doc")
+    assert written.rdd.getNumPartitions() == 12
+    written.write.option("compression", "gzip").option("maxRecordsPerFile", 1).text(f"{tmp_path}/files")
+    # Files come in several splits, which are kept; only fewer splits are dealt out.
+    splits = har.read_files(spark, f"{tmp_path}/files/*.gz").rdd.getNumPartitions()
+    assert splits > 2 and har.read_files(spark, f"{tmp_path}/files/*.gz", partitions=2).rdd.getNumPartitions() == splits
+    assert har.read_files(spark, f"{tmp_path}/files/*.gz", partitions=50).rdd.getNumPartitions() == 50
+    assert har.read_files(spark, f"{tmp_path}/files/*.gz", partitions=2).count() == 100
