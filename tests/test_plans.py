@@ -74,3 +74,12 @@ def test_all_lenses_share_one_scan(stored):
     text = plan(histograms.crawl_histograms(stored, [m.HISTOGRAMS["bytesCss"], m.HISTOGRAMS["tcp"]], lens.select("ALL")))
     assert len(re.findall(r"^\(\d+\) Scan parquet", text, re.M)) == 1
     assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_facts_are_written_by_size_not_by_split(spark, stored):
+    pages = stored.pages.crossJoin(spark.range(60)).drop("id").repartition(6)
+    path = scratch_path(spark, "test-facts-files")
+    facts.write_page_facts(pages, path)
+    written = spark.read.parquet(path)
+    # Six tasks have rows of the one date and client; one share of them is written, and sorted, by one task.
+    assert written.count() == 60 and len(written.inputFiles()) == 1
