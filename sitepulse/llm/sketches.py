@@ -39,6 +39,13 @@ def digests(text: Column) -> Column:
     return F.array_distinct(F.transform(found, lambda p: F.xxhash64(p)))
 
 
+def shared_start(a: Column, b: Column) -> Column:
+    """How many elements two arrays have in common at their beginning."""
+    same = F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False)))
+    differs = F.array_position(same, False).cast("int")
+    return F.when(differs == 0, F.size(a)).otherwise(differs - 1)
+
+
 # ---------------------------------------------------------------- neighbours
 
 
@@ -135,7 +142,7 @@ def peeled(cells: DataFrame, seed: int = 0, steps: int = STEPS, kept: bool = Tru
     return cells
 
 
-def _settled(rows: DataFrame, kinds: dict[int, tuple[str, str]], kept: bool) -> list[DataFrame]:
+def _settled(rows: DataFrame, kinds: dict[int, tuple[str | Column, str | Column]], kept: bool) -> list[DataFrame]:
     """Peeled cells of the pairs that left none, attempt by attempt, each staged.
 
     Pairs whose peeling ends with cells left are sketched again, with other hashes, at first as wide as all their digests
@@ -151,8 +158,9 @@ def _settled(rows: DataFrame, kinds: dict[int, tuple[str, str]], kept: bool) ->
             given = rows.repartition(_parts(rows), "_row").join(failed.hint("merge"), "_row")
         each = []
         for kind, (a, b) in kinds.items():
+            a, b = (F.col(side) if isinstance(side, str) else side for side in (a, b))
             wide = F.lit(WIDTH) if not attempt else WIDTH + (F.size(a) + F.size(b)) * 4 ** (attempt - 1)
-            each.append(F.struct(F.lit(kind).alias("_kind"), wide.cast("bigint").alias("_width"), F.col(a).alias("_a"), F.col(b).alias("_b")))
+            each.append(F.struct(F.lit(kind).alias("_kind"), wide.cast("bigint").alias("_width"), a.alias("_a"), b.alias("_b")))
         asked = F.array(*each) if todo is None else F.filter(F.array(*each), lambda p: F.array_contains("_kinds", p["_kind"]))
         state = peeled(subtracted(given.select("_row", F.inline(asked)), attempt), attempt, kept=kept)
         left = F.count_if(F.col("_cell") >= 0)
@@ -176,16 +184,17 @@ def _together(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def differences(rows: DataFrame, kinds: dict[int, tuple[str, str]]) -> DataFrame:
+def differences(rows: DataFrame, kinds: dict[int, tuple[str | Column, str | Column]]) -> DataFrame:
     """The digests that only one of two columns has: ``_row``, ``_kind``, ``_digest``, and ``_side``, 1 or 2.
 
-    ``rows`` are staged: ``_row`` is unique, the columns named in ``kinds`` are arrays of distinct digests.
+    ``rows`` are staged: ``_row`` is unique, the columns in ``kinds`` are arrays of distinct digests, by name or made of
+    columns of ``rows`` after these are dealt.
     """
     found = _together(_settled(rows, kinds, True)).filter("_cell < 0")
     return found.select("_row", "_kind", "_digest", (-F.col("_cell")).cast("int").alias("_side"))
 
 
-def difference_sizes(rows: DataFrame, kinds: dict[int, tuple[str, str]]) -> DataFrame:
+def difference_sizes(rows: DataFrame, kinds: dict[int, tuple[str | Column, str | Column]]) -> DataFrame:
     """How many digests only the first or second of two columns has: ``_row``, ``_kind``, ``_first``, ``_second``; no row for none."""
     return _together(_settled(rows, kinds, False)).select("_row", "_kind", "_first", "_second")
 
@@ -219,17 +228,21 @@ def report(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFram
             digests(F.col("_text")).alias("_a"),
             digests(F.col("_edited")).alias("_b"),
             digests(F.col("_next")).alias("_c"),
-        ),
+        )
+        .withColumn("_start", shared_start(F.col("_a"), F.col("_b")))
+        .withColumn("_b", F.expr("slice(_b, _start + 1, size(_b))")),
         "versions",
     )
-    settled = difference_sizes(rows, {0: ("_a", "_b"), 1: ("_a", "_c")})
+    # An edited text begins as the text does, so only the rest of its digests is stored and dealt.
+    edited_digests = F.concat(F.expr("slice(_a, 1, _start)"), F.col("_b"))
+    settled = difference_sizes(rows, {0: ("_a", edited_digests), 1: ("_a", "_c")})
     which = lambda name, kind: F.coalesce(F.max(F.when(F.col("_kind") == kind, F.col(name))), F.lit(0)).alias(f"{name}{kind}")
     sides = settled.groupBy("_row").agg(*(which(name, kind) for name in ("_first", "_second") for kind in (0, 1)))
 
     dealt = rows.repartition(_parts(rows), "_row")
     versions = [
-        F.struct(F.lit(kind).alias("_kind"), F.lit(WIDTH).cast("bigint").alias("_width"), F.col(column).alias("_a"), F.expr("cast(array() AS array<bigint>)").alias("_b"))
-        for kind, column in enumerate(("_a", "_b"))
+        F.struct(F.lit(kind).alias("_kind"), F.lit(WIDTH).cast("bigint").alias("_width"), side.alias("_a"), F.expr("cast(array() AS array<bigint>)").alias("_b"))
+        for kind, side in enumerate((F.col("_a"), edited_digests))
     ]
     prints = subtracted(dealt.select("_row", F.inline(F.array(*versions)))).groupBy("_row")
     prints = prints.agg(_fingerprint(0).alias("fingerprint"), _fingerprint(1).alias("edited_fingerprint"))

@@ -110,3 +110,24 @@ def test_only_native_steps_and_one_shuffle_by_row(spark, documents):
     plan = sketches.peeled(sketches.subtracted(given))._jdf.queryExecution().toString()
     physical = plan[plan.index("== Physical Plan ==") :]
     assert physical.count("Exchange") == 1 and "Python" not in plan and "Arrow" not in plan
+
+
+def test_digests_an_edited_text_shares_are_stored_once(spark, monkeypatch):
+    kept = {}
+
+    def keep(df, name):
+        kept[name] = stage(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(sketches, "stage", keep)
+    rows = [(i, ". ".join(f"sentence {i} {j}" for j in range(40))) for i in range(8)]
+    got, _ = found(sketches.report(spark.createDataFrame(rows, "doc_id bigint, text string")))
+    assert got == expected(rows)
+    sizes = kept["versions"].selectExpr("size(_a) AS a", "size(_b) AS b").collect()
+    assert all(r.a == 40 and r.b < 15 for r in sizes)
+
+
+def test_shared_start(spark):
+    pairs = [([], [], 0), ([1], [], 0), ([], [1], 0), ([1, 2], [1, 2], 2), ([1, 2], [1, 2, 3], 2), ([1, 2, 3], [1, 9, 3], 1), ([5], [6], 0)]
+    df = spark.createDataFrame(pairs, "a array<bigint>, b array<bigint>, n int")
+    assert all(r.n == r.found for r in df.withColumn("found", sketches.shared_start(F.col("a"), F.col("b"))).collect())
