@@ -7,8 +7,10 @@ document once and writes all tables, partitioned by table, date and client, with
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from sitepulse.functions import text
@@ -67,15 +69,91 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.col("value").alias("doc"), F.col("_metadata.file_path").alias("path"))
 
 
+# Small files a task reads. A split holds some 32 of them, and a task for each would take longer to start than to read them.
+_FILES = 512
+
+
+def _folders(spark: SparkSession, folder: str) -> list[str] | None:
+    """The folders a glob finds, if they hold nothing but files; None where only the glob itself tells what it finds."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    try:
+        files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+        # Only folders have an entry ".", which has to be escaped, or a path is shortened by it.
+        found = [each.getPath().toString() for each in files.globStatus(path(f"{folder}/\\.")) or ()]
+        if not found or any(set(name) & set("*?[]{}\\") for name in found):
+            return None
+        with ThreadPoolExecutor(8) as listing:
+            nested = any(listing.map(lambda name: len(files.globStatus(path(f"{name}/*/\\."))), found))
+        return None if nested else found
+    except Py4JJavaError:
+        return None
+
+
+def _whole_files(spark: SparkSession, glob: str) -> DataFrame:
+    """Columns ``path, doc`` of the files a glob finds, as text or as gzip bytes.
+
+    Folders are listed by name pattern: a glob is a path for every file it finds, each listed on its own. Spark's text reader
+    copies the whole configuration for every file, under a lock all tasks of an executor share; its reader of bytes does not.
+    """
+    folder, _, name = glob.rpartition("/")
+    wild = set(name) & set("*?[{") and folder and all(folder.count(a) == folder.count(b) for a, b in ("{}", "[]"))
+    folders = _folders(spark, folder) if wild else None
+    path = F.col("_metadata.file_path").alias("path")
+    if folders:
+        reader = spark.read.option("pathGlobFilter", name)
+        if name.endswith(".gz") and spark.conf.get("spark.sql.files.ignoreCorruptFiles") != "true":
+            files = reader.format("binaryFile").load(folders).select(path, F.col("content").alias("doc"))
+        else:
+            files = reader.text(folders, wholetext=True).select(path, F.col("value").alias("doc"))
+        # A glob that finds nothing is an error, which is the glob's to raise.
+        if files.rdd.getNumPartitions():
+            return files
+    return spark.read.text(glob, wholetext=True).select(path, F.col("value").alias("doc"))
+
+
+# Bytes of documents that leave a Python worker at once, but for a longer document.
+_BYTES = 16 * 1024 * 1024
+
+
+def _unpacked(files: DataFrame) -> DataFrame:
+    """Gzip bytes to text, in batches of bounded size."""
+    most = _BYTES
+
+    def unpack(batches):
+        import gzip
+
+        import pyarrow as pa
+
+        for batch in batches:
+            paths, docs, size = [], [], 0
+            for path, packed in zip(*batch.columns):
+                doc = gzip.decompress(packed.as_py())
+                if docs and size + len(doc) > most:
+                    yield pa.RecordBatch.from_pydict({"path": paths, "doc": docs})
+                    paths, docs, size = [], [], 0
+                paths.append(path.as_py())
+                docs.append(doc)
+                size += len(doc)
+            yield pa.RecordBatch.from_pydict({"path": pa.array(paths, pa.string()), "doc": pa.array(docs, pa.binary())})
+
+    # To text in Spark, which keeps bytes that are none.
+    return files.mapInArrow(unpack, "path string, doc binary").withColumn("doc", F.col("doc").cast("string"))
+
+
 def read_files(spark: SparkSession, glob: str, partitions: int | None = None) -> DataFrame:
     """Documents from (gzip) files of one document each, found by a glob.
 
     ``partitions`` spreads the documents before the expensive parse, where the files come in fewer splits.
     """
-    files = spark.read.text(glob, wholetext=True)
-    docs = files.select(F.col("value").alias("doc"), F.col("_metadata.file_path").alias("path"))
+    files = _whole_files(spark, glob)
+    splits = files.rdd.getNumPartitions()
+    conf = spark._jsparkSession.sessionState().conf()
+    most = max(1, _FILES * conf.filesOpenCostInBytes() // conf.filesMaxPartitionBytes())
+    least = max(4 * spark.sparkContext.defaultParallelism, partitions or 0)
+    packed = files.coalesce(max(-(-splits // most), least)) if splits > least else files
+    docs = (_unpacked(packed) if dict(files.dtypes)["doc"] == "binary" else packed).select("doc", "path")
     # Many files come in many splits already; dealing those to a fixed number would make the longest task grow with them.
-    return docs.repartition(partitions) if partitions and docs.rdd.getNumPartitions() < partitions else docs
+    return docs.repartition(partitions) if partitions and splits < partitions else docs
 
 
 def with_release(docs: DataFrame) -> DataFrame:

@@ -1,6 +1,8 @@
+import gzip
 import json
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from contract import etl
@@ -186,3 +188,61 @@ def test_tasks_grow_in_number_with_files_not_in_length(spark, tmp_path):
     assert splits > 2 and har.read_files(spark, f"{tmp_path}/files/*.gz", partitions=2).rdd.getNumPartitions() == splits
     assert har.read_files(spark, f"{tmp_path}/files/*.gz", partitions=50).rdd.getNumPartitions() == 50
     assert har.read_files(spark, f"{tmp_path}/files/*.gz", partitions=2).count() == 100
+
+
+def test_whole_files_are_listed_by_folder_and_read_to_the_byte(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "b").mkdir()
+    for i in range(40):
+        (tmp_path / "a" / f"{i:02d}.gz").write_bytes(gzip.compress(b"one %d\n" % i) + gzip.compress(b"\xff two\n"))
+    (tmp_path / "b" / "0.gz").write_bytes(gzip.compress(b""))
+    (tmp_path / "b" / "0.txt").write_bytes(b"plain")
+    (tmp_path / "0.gz").write_bytes(gzip.compress(b"top"))
+
+    def rows(docs):
+        return sorted((r.path, bytes(r.doc)) for r in docs.selectExpr("path", "CAST(doc AS BINARY) AS doc").collect())
+
+    # Folders that hold folders, and what finds them, are left to the glob.
+    for glob in ("a/*.gz", "a/[0-2]*.gz", "*/*.gz", "*/0*", "[ab]/0.{gz,txt}", "{a,b/0.}*", "*", "*.gz", "a/07.gz", "a/*"):
+        given = spark.read.text(f"{tmp_path}/{glob}", wholetext=True).selectExpr("_metadata.file_path AS path", "value AS doc")
+        found = rows(har.read_files(spark, f"{tmp_path}/{glob}"))
+        assert found == rows(given) and found
+    for glob in ("a/*.zip", "c/*.gz"):
+        with pytest.raises(AnalysisException):
+            har.read_files(spark, f"{tmp_path}/{glob}")
+    # Files found by a glob were each a path of their own, listed by a job with a task for each.
+    spark.sparkContext.setJobGroup("listing", "whole files")
+    try:
+        har.read_files(spark, f"{tmp_path}/a/*.gz")
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("listing")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_small_files_share_a_task(spark, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    for i in range(4 * cores + 9):
+        (tmp_path / f"{i}.gz").write_bytes(gzip.compress(b"%d" % i))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")
+    try:
+        docs = har.read_files(spark, f"{tmp_path}/*.gz")
+        assert docs.rdd.getNumPartitions() == 4 * cores
+        assert har.read_files(spark, f"{tmp_path}/*.gz", partitions=4 * cores + 3).rdd.getNumPartitions() == 4 * cores + 3
+        assert sorted(int(r.doc) for r in docs.collect()) == list(range(4 * cores + 9))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_every_document_is_written_once_to_a_file_of_its_own(spark, tmp_path):
+    docs = spark.createDataFrame([("a",), ("b\nc",), (None,), ("ü" * 9,)], "doc string").repartition(3)
+    for _ in range(2):
+        # The second run stands for a repeated task.
+        glob = etl._written_each(docs, f"{tmp_path}/files")
+        files = [f for f in (tmp_path / "files").rglob("*") if f.is_file()]
+        assert sorted(gzip.decompress(f.read_bytes()).decode() for f in files) == ["\n", "a\n", "b\nc\n", "ü" * 9 + "\n"]
+    assert sorted(r.doc for r in har.read_files(spark, glob).collect()) == ["\n", "a\n", "b\nc\n", "ü" * 9 + "\n"]
+
+
+def test_whole_files_of_no_pages(spark, tmp_path):
+    spark.range(0).selectExpr("id AS page_id", "'http://' || id AS url", "'x' AS html").write.parquet(f"{tmp_path}/pages.parquet")
+    assert etl.har_whole_files(spark, str(tmp_path)).count() == 0
